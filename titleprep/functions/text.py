@@ -79,40 +79,52 @@ def is_non_ascii(text: Column) -> Column:
     return text.rlike(r"[^\x00-\x7F]")
 
 
-def _squeeze(text: Column, dropped: str) -> Column:
-    kept = F.regexp_replace(text, dropped, "")
-    return F.trim(F.regexp_replace(kept, rf"(?U)[{_SPACE}]+", " "))
+def _squeeze(text: Column, dropped: str, blanks: str) -> Column:
+    return F.trim(F.regexp_replace(F.regexp_replace(text, dropped, ""), blanks, " "))
+
+
+def _spell_out(text: Column) -> Column:
+    """Characters that stand for several letters, written as these letters."""
+    _, _, longer = _accent_table()
+    expanded = text
+    for ch, base in longer:
+        expanded = F.replace(expanded, F.lit(ch), F.lit(base))
+    # a coarse range is a far cheaper test than the list of characters
+    low = [ch for ch, _ in longer if ord(ch) < 0x10000]
+    high = [ch for ch, _ in longer if ord(ch) >= 0x10000]
+    ranges = "".join(f"{min(part)}-{max(part)}" for part in (low, high) if part)
+    hangul = f"[{chr(_FIRST_SYLLABLE)}-{chr(_LAST_SYLLABLE)}]"
+    spelled = F.when(text.rlike(f"[{ranges}]"), expanded).otherwise(text)
+    return F.when(text.rlike(hangul), _split_hangul(spelled)).otherwise(spelled)
 
 
 def _normalize_native(text: Column) -> Column:
-    source, target, longer = _accent_table()
-    plain = _squeeze(F.lower(text), rf"[^a-z0-9_{_SPACE}]+")
-    spelled = text
-    if longer:
-        members = "".join(ch for ch, _ in longer)
-        expanded = text
-        for ch, base in longer:
-            expanded = F.replace(expanded, F.lit(ch), F.lit(base))
-        spelled = F.when(text.rlike(f"[{members}]"), expanded).otherwise(text)
-    hangul = rf"[{chr(_FIRST_SYLLABLE)}-{chr(_LAST_SYLLABLE)}]"
-    spelled = F.when(text.rlike(hangul), _split_hangul(spelled)).otherwise(spelled)
-    bare = F.regexp_replace(F.translate(spelled, source, target), r"\p{Mn}+", "")
-    wide = _squeeze(F.lower(bare), rf"(?U)[^\p{{L}}\p{{N}}_{_SPACE}]+")
+    source, target, _ = _accent_table()
+    plain = _squeeze(F.lower(text), rf"[^a-z0-9_{_SPACE}]+", rf"[{_SPACE}]+")
+    # combining marks are neither letters nor digits: they go with the punctuation
+    wide = _squeeze(
+        F.lower(F.translate(_spell_out(text), source, target)),
+        rf"(?U)[^\p{{L}}\p{{N}}_{_SPACE}]+",
+        rf"(?U)[{_SPACE}]+",
+    )
     return F.when(is_non_ascii(text), wide).otherwise(plain)
 
 
-_PUNCTUATION = re.compile(r"[^\w\s]")
-_BLANKS = re.compile(r"\s+")
+def _normalize_exact(text: Column) -> Column:
+    punctuation, blanks = re.compile(r"[^\w\s]"), re.compile(r"\s+")
 
+    # a local function travels to the executors by value: they need not have this package
+    def batch(titles: pd.Series) -> pd.Series:
+        def one(title):
+            if title is None:
+                return None
+            letters = unicodedata.normalize("NFD", title)
+            bare = "".join(c for c in letters if unicodedata.category(c) != "Mn").lower()
+            return blanks.sub(" ", punctuation.sub("", bare)).strip()
 
-@F.pandas_udf(StringType())
-def _normalize_exact(text: pd.Series) -> pd.Series:
-    def one(value):
-        if value is None:
-            return None
-        return _BLANKS.sub(" ", _PUNCTUATION.sub("", _base_letters(value).lower())).strip()
+        return titles.map(one)
 
-    return text.map(one)
+    return F.pandas_udf(batch, StringType())(text)
 
 
 def normalize_title(text: Column, exact: bool = False) -> Column:
