@@ -1,0 +1,83 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows_of
+from titleprep.sources import readers, writers
+
+ODD = [
+    ("1", 'say "hi"', "a,b"),
+    ("2", "line\nbreak", None),
+    ("3", "", " padded "),
+    ("4", "back\\slash", "\\N"),
+    ("5", '"', "'"),
+]
+
+
+def test_csv_round_trip(spark, tmp_path):
+    df = spark.createDataFrame(ODD, "id string, a string, b string")
+    writers.write_csv(df, f"{tmp_path}/out")
+    schema = readers.text_schema("id", "a", "b")
+    back = readers.read_csv(spark, f"{tmp_path}/out", schema, keep_empty=True)
+    assert rows_of(back) == rows_of(df)
+    plain = readers.read_csv(spark, f"{tmp_path}/out", schema)
+    assert rows_of(plain) == rows_of(df.withColumn("a", F.nullif("a", F.lit(""))))
+
+
+def test_csv_reads_what_pandas_writes(spark, tmp_path):
+    import pandas as pd
+
+    frame = pd.DataFrame(ODD, columns=["id", "a", "b"])
+    frame.to_csv(f"{tmp_path}/x.csv", index=False)
+    back = readers.read_csv(spark, f"{tmp_path}/x.csv")
+    # an unquoted empty field cannot be told from a missing one
+    wanted = sorted(((i, a or None, b) for i, a, b in ODD), key=repr)
+    assert rows_of(back) == wanted
+
+
+def test_csv_shards_by_glob_and_list_with_index_column(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"train-{i}.csv").write_text(f",tconst,numVotes\n0,tt{i},{i}.0\n1,tx{i},\n")
+    by_glob = readers.read_csv(spark, f"{tmp_path}/train-*.csv")
+    by_list = readers.read_csv(spark, [f"{tmp_path}/train-{i}.csv" for i in range(3)])
+    assert by_glob.columns == ["_c0", "tconst", "numVotes"]
+    assert by_glob.dtypes == [(c, "string") for c in by_glob.columns]
+    assert rows_of(by_glob) == rows_of(by_list) and by_glob.count() == 6
+
+
+def test_single_file(spark, tmp_path):
+    writers.write_csv(spark.range(100).repartition(4), f"{tmp_path}/one", single_file=True)
+    assert len(list((tmp_path / "one").glob("part-*.csv"))) == 1
+
+
+def test_records_per_line_and_as_array(spark, tmp_path):
+    records = [{"movie": "tt1", "writer": "nm1"}, {"movie": "tt1", "writer": None}]
+    (tmp_path / "lines.json").write_text("\n".join(map(json.dumps, records)))
+    (tmp_path / "array.json").write_text(json.dumps(records, indent=1))
+    schema = "movie string, writer string"
+    lines = readers.read_records(spark, f"{tmp_path}/lines.json", schema)
+    array = readers.read_records(spark, f"{tmp_path}/array.json", schema, multiline=True)
+    assert rows_of(lines) == rows_of(array) == [("tt1", "nm1"), ("tt1", None)]
+
+
+def test_columnar_json_pairs_by_position(spark, tmp_path):
+    document = {"movie": {"0": "tt1", "1": "tt2", "2": "tt1"}, "director": {"9": "nm1", "x": None, "0": "nm3"}}
+    (tmp_path / "d.json").write_text(json.dumps(document, indent=2))
+    rows = readers.read_columnar_json(spark, f"{tmp_path}/d.json", "movie", "director")
+    assert rows_of(rows) == [("tt1", "nm1"), ("tt1", "nm3"), ("tt2", None)]
+
+
+def test_columnar_json_rejects_uneven_columns(spark, tmp_path):
+    (tmp_path / "d.json").write_text(json.dumps({"movie": {"0": "a"}, "director": {}}))
+    with pytest.raises(Exception, match="differ in length"):
+        readers.read_columnar_json(spark, f"{tmp_path}/d.json", "movie", "director").collect()
+
+
+def test_predictions_are_in_key_order_without_header(spark, tmp_path):
+    df = spark.range(50).select(
+        F.format_string("tt%03d", "id").alias("tconst"), F.when(F.col("id") % 3 == 0, "True").otherwise("False").alias("label")
+    )
+    writers.write_predictions(df.repartition(7), f"{tmp_path}/p")
+    lines = [line for part in sorted((tmp_path / "p").glob("part-*.csv")) for line in part.read_text().split()]
+    assert lines == ["True" if i % 3 == 0 else "False" for i in range(50)]

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from titleprep import scale
+
 # distinct values one task may hold for the last, exact step
 EXACT_DISTINCT = 1_000_000
 _ACCURACY = 10_000
@@ -49,7 +51,9 @@ def exact_medians(
 ) -> dict[str, float | None]:
     """Exact median per column: ``disc`` is the lower middle value, ``cont`` the mean of the middle two."""
     names = list(columns)
-    values = df.select(*[F.nullif(columns[n].cast("double"), F.lit(math.nan)).alias(n) for n in names])
+    numbers = [F.nullif(columns[n].cast("double"), F.lit(math.nan)).alias(n) for n in names]
+    # every pass below reads these few numbers, not the source again
+    values = scale.reread(df.select(*numbers))
     counts = values.agg(
         *[F.count(n).alias(f"n_{n}") for n in names],
         *[F.approx_count_distinct(n).alias(f"d_{n}") for n in names],

@@ -51,14 +51,32 @@ def match_exact(titles: DataFrame, catalog: DataFrame) -> DataFrame:
     return scale.lookup(titles, [scale.store(keyed)], [TITLE, "year"])
 
 
-def edit_keys(value: Column) -> Column:
-    """Hashes of a text and of the text with each single character left out."""
-    length = F.greatest(F.char_length(value), F.lit(1))
-    shorter = F.transform(
-        F.sequence(F.lit(1), length),
-        lambda p: F.xxhash64(F.concat(F.substring(value, F.lit(1), p - 1), F.substring(value, p + 1, length))),
+def with_edit_keys(df: DataFrame, column: str) -> DataFrame:
+    """One row per hash of the text and of the text with one character left out.
+
+    Leaving out any character of a run gives the same text, so only the last one
+    of a run counts.  ``_whole`` marks the row of the unchanged text.
+    """
+    value, place = F.col(column), F.col("_place")
+    letter = F.substring(value, place, F.lit(1))
+    after = F.substring(value, place + 1, F.char_length(value))
+    shorter = F.concat(F.substring(value, F.lit(1), place - 1), after)
+    places = df.withColumn("_place", F.explode(F.sequence(F.lit(0), F.char_length(value))))
+    return (
+        places.where((place == 0) | (letter != F.substring(after, 1, 1)))
+        .withColumn("_key", F.xxhash64(F.when(place == 0, value).otherwise(shorter)))
+        .withColumn("_whole", place == 0)
+        .drop("_place")
     )
-    return F.array_distinct(F.concat(F.array(F.xxhash64(value)), shorter))
+
+
+def _spread_out(df: DataFrame) -> DataFrame:
+    """``df`` in full parallelism: rows are about to grow by the length of their text.
+
+    Adaptive execution would merge partitions by their size before that.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, df.columns[0])
 
 
 def near_pairs(
@@ -66,22 +84,31 @@ def near_pairs(
 ) -> DataFrame:
     """Pairs of distinct (text, number) at most one edit and at most one number apart.
 
-    A pair comes once per shared key, so several times for texts that differ
-    little; callers aggregate.  Columns: ``text, number, near_text, near_number,
-    distance``.
+    Texts that differ by one edit share exactly one key, and equal texts are
+    taken at the unchanged text only, so a pair comes once (but for a collision
+    of hashes).  Columns: ``text, number, near_text, near_number, distance``.
     """
     a = left.select(F.col(left_on[0]).alias("text"), F.col(left_on[1]).cast("int").alias("number"))
     b = right.select(
         F.col(right_on[0]).alias("near_text"), F.col(right_on[1]).cast("int").alias("near_number")
     )
-    a = a.dropna().distinct().withColumn("_key", F.explode(edit_keys(F.col("text"))))
+    a = with_edit_keys(_spread_out(a.dropna().distinct()), "text")
+    b = with_edit_keys(_spread_out(b.dropna().distinct()), "near_text")
+    b = b.withColumnRenamed("_whole", "_near_whole")
     around = F.array(*[F.col("near_number") + d for d in (-1, 0, 1)])
-    b = b.dropna().distinct().withColumn("number", F.explode(around))
-    b = b.withColumn("_key", F.explode(edit_keys(F.col("near_text"))))
-    distance = F.levenshtein("text", "near_text", 1)
+    b = b.withColumn("number", F.explode(around))
+    once = (F.col("text") != F.col("near_text")) | (F.col("_whole") & F.col("_near_whole"))
     return (
-        a.join(b, ["_key", "number"])
-        .select("text", "number", "near_text", "near_number", distance.alias("distance"))
+        # size estimates do not see that explode multiplies the rows: rule a broadcast out
+        a.join(b.hint("merge"), ["_key", "number"])
+        .where(once)
+        .select(
+            "text",
+            "number",
+            "near_text",
+            "near_number",
+            F.levenshtein("text", "near_text", 1).alias("distance"),
+        )
         .where("distance >= 0")
     )
 

@@ -680,7 +680,8 @@ def catalog_prepare(spark, sf_dir):
 
 
 def _match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clean(spark, sf_dir).select("tconst", "normalized_title", "year", "split")
+    # read several times below: computed once
+    return scale.reread(_clean(spark, sf_dir).select("tconst", "normalized_title", "year", "split"))
 
 
 @query(
@@ -760,7 +761,7 @@ def enrich_nulls(spark, sf_dir):
     + f", {_flags_sql('genre')} from enriched"
 )
 def enrich_encoded(spark, sf_dir):
-    rows = scale.reread(_match_rows(spark, sf_dir))
+    rows = _match_rows(spark, sf_dir)
     done = enrich_splits(_splits(rows), ratings(spark, sf_dir))
     wanted = ["tconst", "has_rt_match", *match.SCORES, *[f"genre_{t}" for t in _TAGS]]
     parts = [done[name].select(*[f"`{c}`" for c in wanted]) for name in SPLITS]

@@ -55,10 +55,11 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_pages = pages.agg(F.max("page_id") + 1).scalar()
     k = F.col("o_orderkey")
     year = F.year("o_orderdate").cast("string")
+    # both sides grow with the data: partition them by page instead of sending one to all
     rows = (
         table(spark, sf_dir, "orders")
         .withColumn("page_id", k % n_pages)
-        .join(pages, "page_id")
+        .join(pages.hint("merge"), "page_id")
         .join(_writer_lists(spark, sf_dir), "o_orderkey", "left")
     )
     return rows.select(

@@ -107,8 +107,9 @@ def hot_keys(rows: DataFrame, keys: Sequence[str]) -> list[tuple[int | None, flo
         rows.select(_key_hash(keys).alias("_key"))
         .groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("_group"))
         .agg(F.expr(sketch).alias("_sketch"), F.count(F.lit(1)).alias("_n"))
+        # grouped, so that no rows give no result
+        .groupBy(F.lit("all"))
         .agg(F.expr(merged).alias("top"), F.sum("_n").alias("n"))
-        .where("n > 0")
         .select("n", F.inline("top"))
         .where(F.col("count") * HOT_SHARE > F.col("n"))
         .collect()

@@ -23,16 +23,21 @@ def read_csv(
     paths: Paths,
     schema: StructType | None = None,
     multiline: bool = True,
+    keep_empty: bool = False,
 ) -> DataFrame:
     """One file, a folder, a glob or a list of these, as one table of text columns.
 
     Without ``schema`` the column names come from the header line alone; no data
     is scanned to guess types.  Quotes are doubled inside quoted fields.  A file
     is read by one task while ``multiline`` is on, so turn it off for big files
-    whose fields hold no line breaks, or keep many shards.
+    whose fields hold no line breaks, or keep many shards.  An empty field is
+    null, quoted or not; with ``keep_empty`` a quoted one is the empty text.
     """
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
     reader = reader.option("multiLine", multiline)
+    if keep_empty:
+        # any text that is not empty tells a missing field from a quoted empty one
+        reader = reader.option("nullValue", "\u0001").option("emptyValue", "")
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(paths if isinstance(paths, str) else list(paths))
