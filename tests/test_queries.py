@@ -1,0 +1,49 @@
+import glob
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+
+QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# MLlib models have no SQL form
+WITHOUT_SQL = {"score_titles", "feature_importance"}
+
+
+@pytest.fixture(scope="module")
+def sql(sf_dir):
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        con.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{path}'")
+    return con
+
+
+def plain(value):
+    return repr(round(value, 6) + 0.0) if isinstance(value, float) else str(value)
+
+
+def test_every_query_has_sql_or_a_reason():
+    assert set(ORACLES) == set(QUERIES) - WITHOUT_SQL
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, sql, sf_dir, name):
+    df = QUERIES[name](spark, sf_dir)
+    names = sorted(df.columns)
+    got = sorted(tuple(plain(r[c]) for c in names) for r in df.collect())
+    result = sql.execute(ORACLES[name])
+    columns = [d[0] for d in result.description]
+    assert sorted(columns) == names
+    places = [columns.index(c) for c in names]
+    assert got == sorted(tuple(plain(r[i]) for i in places) for r in result.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
+def test_model_queries_run(spark, sf_dir, name):
+    assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+def test_entry(spark):
+    df = entry.entry(spark)
+    assert "writer_success_rate" in df.columns and df.count() == 1_500

@@ -7,6 +7,11 @@ from conftest import rows_of
 from titleprep import scale
 
 
+@pytest.fixture(autouse=True)
+def few_rows_are_hot(monkeypatch):
+    monkeypatch.setattr(scale, "HOT_ROWS", 100)
+
+
 @pytest.fixture
 def rows(spark):
     """A third of the rows share one key, a third have none, the rest differ."""
@@ -81,7 +86,13 @@ def test_hot_rows_are_spread_over_tasks(rows, table):
     assert max(sizes) < 3_000
 
 
-def test_two_tables_and_two_keys(spark):
+def test_keys_with_few_rows_are_not_hot(rows, monkeypatch):
+    monkeypatch.setattr(scale, "HOT_ROWS", 3_001)
+    assert scale.hot_keys(rows, ["key"]) == []
+
+
+def test_two_tables_and_two_keys(spark, monkeypatch):
+    monkeypatch.setattr(scale, "HOT_ROWS", 1)
     rows = spark.range(600).select("id", (F.col("id") % 2).alias("a"), F.when(F.col("id") % 5 > 0, F.lit("z")).alias("b"))
     one = scale.store(spark.createDataFrame([(0, "z", 10)], "a bigint, b string, p int"))
     two = scale.store(spark.createDataFrame([(1, "z", 20)], "a bigint, b string, q int"))

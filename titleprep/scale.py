@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType
 
 BROADCAST_BYTES = 32 << 20
-# a key is hot when it holds more than one row in HOT_SHARE, so there are fewer than HOT_SHARE
+# a key is hot when it holds more than one row in HOT_SHARE (so fewer than HOT_SHARE keys are),
+# and too many rows for a single task to take without notice
 HOT_SHARE = 2_000
+HOT_ROWS = 100_000
 _TRACKED_KEYS = 20_000
 _SKETCH_GROUPS = 256
 
@@ -95,7 +97,7 @@ def _key_hash(keys: Sequence[str]) -> Column:
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str]) -> list[tuple[int | None, float]]:
-    """Hashes of the keys that hold more than one row in HOT_SHARE, with their share.
+    """Hashes of the hot keys, with their share of the rows; null stands for unknown keys.
 
     A frequent-items sketch finds them in one pass without a shuffle of the
     rows.  At most HOT_SHARE entries come back.  The result only steers how
@@ -111,7 +113,7 @@ def hot_keys(rows: DataFrame, keys: Sequence[str]) -> list[tuple[int | None, flo
         .groupBy(F.lit("all"))
         .agg(F.expr(merged).alias("top"), F.sum("_n").alias("n"))
         .select("n", F.inline("top"))
-        .where(F.col("count") * HOT_SHARE > F.col("n"))
+        .where((F.col("count") * HOT_SHARE > F.col("n")) & (F.col("count") >= HOT_ROWS))
         .collect()
     )
     return [(r["item"], r["count"] / r["n"]) for r in found]
