@@ -28,31 +28,28 @@ _LAST_SYLLABLE = 0xD7A3
 _SPACE = r"\s\x1c-\x1f"
 
 
-def _base_letters(ch: str) -> str:
-    """``ch`` decomposed, without its combining marks."""
-    return "".join(c for c in unicodedata.normalize("NFD", ch) if unicodedata.category(c) != "Mn")
-
-
 @functools.cache
-def _accent_table() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Characters that change when accents go: one-letter results, and longer ones."""
-    source, target, longer = [], [], []
+def _accent_table() -> tuple[str, str]:
+    """Letters that lose an accent or a mark, and the letter each one becomes.
+
+    Parts of a decomposition that are neither letters nor digits are dropped
+    with the punctuation anyway, which leaves one letter for every character
+    but the Hangul syllables.
+    """
+    source, target = [], []
     for code in range(0x80, sys.maxunicode + 1):
-        if 0xD800 <= code <= 0xDFFF or _FIRST_SYLLABLE <= code <= _LAST_SYLLABLE:
-            continue
         ch = chr(code)
-        # combining marks themselves are dropped with the punctuation
-        if unicodedata.category(ch) in ("Mn", "Cn"):
-            continue
-        base = _base_letters(ch)
-        if base == ch or not base:
+        if not unicodedata.decomposition(ch) or _FIRST_SYLLABLE <= code <= _LAST_SYLLABLE:
             continue
-        if len(base) == 1:
+        letters = [
+            c
+            for c in unicodedata.normalize("NFD", ch)
+            if c.isalnum() and unicodedata.category(c) != "Mn"
+        ]
+        if len(letters) == 1 and letters[0] != ch:
             source.append(ch)
-            target.append(base)
-        else:
-            longer.append((ch, base))
-    return "".join(source), "".join(target), tuple(longer)
+            target.append(letters[0])
+    return "".join(source), "".join(target)
 
 
 def _split_hangul(text: Column) -> Column:
@@ -84,22 +81,12 @@ def _squeeze(text: Column, dropped: str, blanks: str) -> Column:
 
 
 def _spell_out(text: Column) -> Column:
-    """Characters that stand for several letters, written as these letters."""
-    _, _, longer = _accent_table()
-    expanded = text
-    for ch, base in longer:
-        expanded = F.replace(expanded, F.lit(ch), F.lit(base))
-    # a coarse range is a far cheaper test than the list of characters
-    low = [ch for ch, _ in longer if ord(ch) < 0x10000]
-    high = [ch for ch, _ in longer if ord(ch) >= 0x10000]
-    ranges = "".join(f"{min(part)}-{max(part)}" for part in (low, high) if part)
     hangul = f"[{chr(_FIRST_SYLLABLE)}-{chr(_LAST_SYLLABLE)}]"
-    spelled = F.when(text.rlike(f"[{ranges}]"), expanded).otherwise(text)
-    return F.when(text.rlike(hangul), _split_hangul(spelled)).otherwise(spelled)
+    return F.when(text.rlike(hangul), _split_hangul(text)).otherwise(text)
 
 
 def _normalize_native(text: Column) -> Column:
-    source, target, _ = _accent_table()
+    source, target = _accent_table()
     plain = _squeeze(F.lower(text), rf"[^a-z0-9_{_SPACE}]+", rf"[{_SPACE}]+")
     # combining marks are neither letters nor digits: they go with the punctuation
     wide = _squeeze(

@@ -45,10 +45,10 @@ def prepare_catalog(catalog: DataFrame) -> DataFrame:
     return keep_first(rows, [TITLE, YEAR], order=[("missing", -filled)])
 
 
-def match_exact(titles: DataFrame, catalog: DataFrame) -> DataFrame:
+def match_exact(titles: DataFrame, catalog: scale.Stored) -> DataFrame:
     """Scores and genre of the catalogue row with the same title and year, null without one."""
-    keyed = catalog.withColumnRenamed(YEAR, "year")
-    return scale.lookup(titles, [scale.store(keyed)], [TITLE, "year"])
+    keyed = replace(catalog, df=catalog.df.withColumnRenamed(YEAR, "year"))
+    return scale.lookup(titles, [keyed], [TITLE, "year"])
 
 
 def with_edit_keys(df: DataFrame, column: str) -> DataFrame:
@@ -162,11 +162,15 @@ class Enricher:
         the second step, where it finds the same row at distance 0.
         """
         keys = functools.reduce(DataFrame.unionAll, [t.select(*_match_key()) for t in tables])
-        exact = scale.lookup(keys.dropna().distinct(), [self._catalog_as(TITLE, "year")], [TITLE, "year"])
-        exact = scale.reread(exact)
+        keys = keys.dropna().distinct()
+        exact = scale.reread(
+            scale.lookup(keys, [self._catalog_as(TITLE, "year")], [TITLE, "year"], even=True)
+        )
         scored = F.coalesce(*SCORES).isNotNull()
         near = match_near(exact.where(~scored), self.catalog.df)
-        found = scale.lookup(near, [self._catalog_as("near_title", "near_year")], ["near_title", "near_year"])
+        # a catalogue key has as many near titles as there are single edits of it
+        target = ["near_title", "near_year"]
+        found = scale.lookup(near, [self._catalog_as(*target)], target, even=True)
         columns = [TITLE, "year", *PAYLOAD]
         return scale.store(
             exact.where(scored)

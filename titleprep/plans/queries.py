@@ -692,7 +692,9 @@ def _match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
       on p.normalized_title = c.normalized_title and p.rt_year = c."year\""""
 )
 def match_exact(spark, sf_dir):
-    found = match.match_exact(_match_rows(spark, sf_dir), match.prepare_catalog(ratings(spark, sf_dir)))
+    catalog = scale.store(match.prepare_catalog(ratings(spark, sf_dir)))
+    rows = _clean(spark, sf_dir).select("tconst", "normalized_title", "year")
+    found = match.match_exact(rows, catalog)
     return found.select(
         "tconst", *match.PAYLOAD, F.coalesce(*match.SCORES).isNull().cast("int").alias("unmatched")
     )
@@ -702,10 +704,10 @@ def match_exact(spark, sf_dir):
     MATCHED_SQL + ' select normalized_title, "year", distance, near_title, near_year from near'
 )
 def match_fuzzy(spark, sf_dir):
-    catalog = scale.reread(match.prepare_catalog(ratings(spark, sf_dir)))
-    keys = _match_rows(spark, sf_dir).select("normalized_title", "year").distinct()
+    catalog = scale.store(match.prepare_catalog(ratings(spark, sf_dir)))
+    keys = _clean(spark, sf_dir).select("normalized_title", "year").distinct()
     found = match.match_exact(keys, catalog)
-    return match.match_near(found.where(F.coalesce(*match.SCORES).isNull()), catalog)
+    return match.match_near(found.where(F.coalesce(*match.SCORES).isNull()), catalog.df)
 
 
 @query(

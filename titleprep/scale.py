@@ -120,12 +120,17 @@ def hot_keys(rows: DataFrame, keys: Sequence[str]) -> list[tuple[int | None, flo
 
 
 def lookup(
-    rows: DataFrame, tables: Sequence[Stored], keys: Sequence[str], copies: bool = False
+    rows: DataFrame,
+    tables: Sequence[Stored],
+    keys: Sequence[str],
+    copies: bool = False,
+    even: bool = False,
 ) -> DataFrame:
     """Left join ``rows`` with ``tables``, each unique by ``keys``; columns keep their order.
 
     ``copies`` says that ``rows`` may hold many fully identical rows, which a
-    hash of the row could not spread.
+    hash of the row could not spread; ``even`` that no key occurs in many rows,
+    which spares the search for hot keys.
     """
     keys = list(keys)
     columns = rows.columns + [c for t in tables for c in t.df.columns if c not in keys]
@@ -134,7 +139,7 @@ def lookup(
     for table in small:
         rows = rows.join(F.broadcast(table.df), keys, "left")
     if large:
-        hot = hot_keys(rows, keys)
+        hot = [] if even else hot_keys(rows, keys)
         if hot:
             rows = _spread_join(rows, large, keys, hot, copies)
         else:
