@@ -562,7 +562,8 @@ def assemble_lists(spark, sf_dir):
 )
 def normalize_title(spark, sf_dir):
     title = text.normalize_title(F.col("text")).alias("title")
-    documents = table(spark, sf_dir, "documents").select(
+    texts = scale.spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    documents = texts.select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("turn"), title
     )
     turns = table(spark, sf_dir, "conversations").select(

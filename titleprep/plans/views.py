@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleprep.functions.rules import SENTINEL
-
 TITLE_COLUMNS = (
     "tconst",
     "primaryTitle",
@@ -31,83 +29,76 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(
-        "page_id", F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title")
-    )
+    pages = table(spark, sf_dir, "pages")
+    return pages.selectExpr("page_id", "regexp_extract(html, '<title>(.*?)</title>', 1) title")
 
 
 def tconst(key: str) -> Column:
-    return F.concat(F.lit("tt"), F.lpad(F.col(key).cast("string"), 7, "0"))
+    return F.expr(f"concat('tt', lpad(cast({key} as string), 7, '0'))")
 
 
 def person(key: str) -> Column:
-    return F.concat(F.lit("nm"), F.col(key).cast("string"))
+    return F.expr(f"concat('nm', cast({key} as string))")
 
 
 def _writer_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
     names = F.array_join(F.sort_array(F.collect_set(person("l_suppkey"))), ",")
-    return lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(names.alias("writers"))
+    return lines.groupBy("o_orderkey").agg(names.alias("writers"))
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = page_titles(spark, sf_dir)
     n_pages = pages.agg(F.max("page_id") + 1).scalar()
-    k = F.col("o_orderkey")
-    year = F.year("o_orderdate").cast("string")
     # both sides grow with the data: partition them by page instead of sending one to all
     rows = (
         table(spark, sf_dir, "orders")
-        .withColumn("page_id", k % n_pages)
+        .withColumn("page_id", F.col("o_orderkey") % n_pages)
         .join(pages.hint("merge"), "page_id")
         .join(_writer_lists(spark, sf_dir), "o_orderkey", "left")
     )
     return rows.select(
         tconst("o_orderkey").alias("tconst"),
-        F.col("title").alias("primaryTitle"),
-        F.when(k % 5 == 0, None)
-        .when(k % 3 == 0, F.concat("title", F.lit(" *")))
-        .otherwise(F.col("title"))
-        .alias("originalTitle"),
-        F.when(k % 11 == 0, SENTINEL).when(k % 97 == 0, "1800").otherwise(year).alias("startYear"),
-        F.when(k % 11 == 0, year).otherwise(SENTINEL).alias("endYear"),
-        F.when(k % 13 == 0, SENTINEL)
-        .when(k % 17 == 0, "0")
-        .when(k % 19 == 0, "999")
-        .otherwise((60 + k % 120).cast("string"))
-        .alias("runtimeMinutes"),
-        F.when(k % 7 == 0, None)
-        .when(k % 23 == 0, -1.0)
-        .otherwise(F.round("o_totalprice", 0))
-        .alias("numVotes"),
-        F.when(k % 29 == 0, None).otherwise(person("o_custkey")).alias("directors"),
-        "writers",
-        (F.col("o_orderstatus") == "F").alias("label"),
-        F.when(k % 10 < 8, "train").when(k % 10 == 8, "val").otherwise("test").alias("split"),
+        *[
+            F.expr(e)
+            for e in (
+                "title primaryTitle",
+                "case when o_orderkey % 5 = 0 then null when o_orderkey % 3 = 0"
+                " then concat(title, ' *') else title end originalTitle",
+                "case when o_orderkey % 11 = 0 then chr(92) || 'N' when o_orderkey % 97 = 0"
+                " then '1800' else cast(year(o_orderdate) as string) end startYear",
+                "case when o_orderkey % 11 = 0 then cast(year(o_orderdate) as string)"
+                " else chr(92) || 'N' end endYear",
+                "case when o_orderkey % 13 = 0 then chr(92) || 'N' when o_orderkey % 17 = 0"
+                " then '0' when o_orderkey % 19 = 0 then '999'"
+                " else cast(60 + o_orderkey % 120 as string) end runtimeMinutes",
+                "case when o_orderkey % 7 = 0 then null when o_orderkey % 23 = 0 then -1d"
+                " else round(o_totalprice, 0) end numVotes",
+                "case when o_orderkey % 29 <> 0 then concat('nm', cast(o_custkey as string)) end"
+                " directors",
+                "writers",
+                "o_orderstatus = 'F' label",
+                "case when o_orderkey % 10 < 8 then 'train' when o_orderkey % 10 = 8 then 'val'"
+                " else 'test' end split",
+            )
+        ],
     )
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("page_id")
-    title = F.col("title")
-    shorter = F.concat(F.substring(title, 1, 2), F.expr("substring(title, 4)"))
-    return page_titles(spark, sf_dir).select(
-        F.col("page_id").alias("rating_id"),
-        F.when(k % 4 == 1, shorter).otherwise(title).alias("title"),
-        F.when(k % 9 == 0, "not a date")
-        .when(k % 6 == 0, None)
-        .otherwise(F.concat((1995 + k % 7).cast("string"), F.lit("-06-15")))
-        .alias("releaseDateTheaters"),
-        F.when(k % 8 == 0, None)
-        .otherwise(F.concat((1996 + k % 5).cast("string"), F.lit("-01-31")))
-        .alias("releaseDateStreaming"),
-        F.when(k % 10 == 0, None).otherwise(40 + k % 60).alias("tomatoMeter"),
-        F.when(k % 7 == 0, None).otherwise(30 + k % 70).alias("audienceScore"),
-        F.when(k % 12 == 0, None)
-        .when(k % 3 == 0, "Drama, Mystery & thriller")
-        .when(k % 3 == 1, "Sci-fi,Kids & family")
-        .otherwise("Comedy")
-        .alias("genre"),
+    return page_titles(spark, sf_dir).selectExpr(
+        "page_id rating_id",
+        "case when page_id % 4 = 1 then concat(substr(title, 1, 2), substr(title, 4))"
+        " else title end title",
+        "case when page_id % 9 = 0 then 'not a date' when page_id % 6 <> 0"
+        " then concat(cast(1995 + page_id % 7 as string), '-06-15') end releaseDateTheaters",
+        "case when page_id % 8 <> 0"
+        " then concat(cast(1996 + page_id % 5 as string), '-01-31') end releaseDateStreaming",
+        "case when page_id % 10 <> 0 then 40 + page_id % 60 end tomatoMeter",
+        "case when page_id % 7 <> 0 then 30 + page_id % 70 end audienceScore",
+        "case when page_id % 12 = 0 then null when page_id % 3 = 0"
+        " then 'Drama, Mystery & thriller' when page_id % 3 = 1 then 'Sci-fi,Kids & family'"
+        " else 'Comedy' end genre",
     )
 
 

@@ -86,6 +86,15 @@ def store(df: DataFrame, **values: Column) -> Stored:
     return Stored(table, row["_rows"], row["_bytes"], {name: row[name] for name in values})
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """A scan whose files give fewer partitions than there are cores, spread over all cores.
+
+    For costly expressions on few large row groups; a scan of many files stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def unmeasured(df: DataFrame) -> Stored:
     """A table too large to be worth measuring: always joined by shuffle."""
     return Stored(df, -1, math.inf)
