@@ -32,7 +32,9 @@ def test_zero_votes_stay(spark):
 
 
 def test_bad_numbers_become_null(spark):
-    assert column(spark, ["1999", " 7 ", "x", "", None], "string", rules.to_int) == [1999, 7, None, None, None]
+    texts = ["1999", " 7 ", "1999.0", "-3.9", "x", "1999d", "", None]
+    assert column(spark, texts, "string", rules.to_int) == [1999, 7, 1999, -3, None, None, None, None]
+    assert column(spark, [1999.0, None], "double", rules.to_int) == [1999, None]
     assert column(spark, ["1.5", "abc", None], "string", rules.to_float) == [1.5, None, None]
 
 
@@ -40,6 +42,7 @@ def test_flag_from_boolean_and_text(spark):
     assert column(spark, [True, False, None], "boolean", rules.to_flag) == [1, 0, None]
     assert column(spark, ["True", "false", "maybe", None, "1"], "string", rules.to_flag) == [1, 0, None, None, 1]
     assert column(spark, [1, 0, None], "int", rules.to_flag) == [1, 0, None]
+    assert column(spark, [1.0, 0.0, None], "double", rules.to_flag) == [1, 0, None]
 
 
 def test_same_is_zero_for_null(spark):

@@ -14,7 +14,10 @@ def drop_sentinel(text: Column) -> Column:
 
 
 def to_int(col: Column) -> Column:
-    return col.try_cast("int")
+    """Whole number; a decimal part is cut off, other text gives null."""
+    text = col.cast("string")
+    decimal = F.when(text.rlike(r"^\s*[+-]?\d+\.\d*\s*$"), text.try_cast("double").try_cast("int"))
+    return F.coalesce(text.try_cast("int"), decimal)
 
 
 def to_float(col: Column) -> Column:
@@ -27,8 +30,9 @@ def to_double(col: Column) -> Column:
 
 
 def to_flag(col: Column) -> Column:
-    """A boolean, or its text, as 1 or 0."""
-    return col.cast("string").try_cast("boolean").cast("int")
+    """A boolean or a number, or the text of one, as a whole number."""
+    text = col.cast("string")
+    return F.coalesce(text.try_cast("boolean").cast("int"), to_int(text))
 
 
 def within(col: Column, low, high) -> Column:

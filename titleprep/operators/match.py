@@ -195,7 +195,7 @@ class Enricher:
 
 
 def _match_key() -> tuple[Column, Column]:
-    return F.col(TITLE), F.col("year").try_cast("int").alias("year")
+    return F.col(TITLE), rules.to_int(F.col("year")).alias("year")
 
 
 def match_counts(enriched: DataFrame, *group: str) -> DataFrame:
