@@ -187,8 +187,14 @@ enriched as (
 MATCHED_SQL = f"with {TITLES_SQL}, {RATINGS_SQL}, {CLEAN_SQL}, {CATALOG_SQL}, {MATCH_SQL}"
 
 
+def _written_titles(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The view as a table of its own, for queries that read it several times."""
+    rows = titles(spark, sf_dir)
+    return scale.reread(rows.select(*columns) if columns else rows)
+
+
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = titles(spark, sf_dir)
+    raw = _written_titles(spark, sf_dir)
     return Cleaner().fit(_train(raw)).transform(raw)
 
 
@@ -447,7 +453,9 @@ def clean_rules(spark, sf_dir):
     f"with {TITLES_SQL}, {CLEAN_SQL} select tconst, \"year\", runtimeMinutes, numVotes from clean"
 )
 def impute_disc(spark, sf_dir):
-    raw = titles(spark, sf_dir)
+    raw = _written_titles(
+        spark, sf_dir, "tconst", "startYear", "endYear", "runtimeMinutes", "numVotes", "split"
+    )
     model_ = Cleaner().fit(_train(raw))
     return model_.impute(typed(raw)).select("tconst", "year", "runtimeMinutes", "numVotes")
 
@@ -590,7 +598,7 @@ def log_votes(spark, sf_dir):
 
 
 def _directors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = titles(spark, sf_dir).select("tconst", "directors", "label", "split")
+    rows = _written_titles(spark, sf_dir, "tconst", "directors", "label", "split")
     encoder = encode.TargetEncoder("directors", "director_success_rate", "director_movie_count")
     return encoder.fit(_train(rows)).transform(rows)
 
@@ -611,7 +619,7 @@ def target_encode_single(spark, sf_dir):
     " round(writer_movie_count, 6) writer_movie_count from writer_rows"
 )
 def target_encode_multi(spark, sf_dir):
-    rows = titles(spark, sf_dir).select("tconst", "writers", "label", "split")
+    rows = _written_titles(spark, sf_dir, "tconst", "writers", "label", "split")
     encoder = encode.TargetEncoder("writers", "writer_success_rate", "writer_movie_count", multi=True)
     encoded = encoder.fit(_train(rows)).transform(rows)
     return encoded.select("tconst", _round("writer_success_rate"), _round("writer_movie_count"))

@@ -50,12 +50,12 @@ def _writer_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = page_titles(spark, sf_dir)
     n_pages = pages.agg(F.max("page_id") + 1).scalar()
-    # both sides grow with the data: partition them by page instead of sending one to all
+    # all sides grow with the data: partition them by key instead of sending one to all
     rows = (
         table(spark, sf_dir, "orders")
         .withColumn("page_id", F.col("o_orderkey") % n_pages)
         .join(pages.hint("merge"), "page_id")
-        .join(_writer_lists(spark, sf_dir), "o_orderkey", "left")
+        .join(_writer_lists(spark, sf_dir).hint("merge"), "o_orderkey", "left")
     )
     return rows.select(
         tconst("o_orderkey").alias("tconst"),
