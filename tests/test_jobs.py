@@ -27,8 +27,8 @@ def folder(tmp_path_factory):
 
     (root / "train-1.csv").write_text(lines(30, True))
     (root / "train-2.csv").write_text(lines(30, True))
-    (root / "validation_hidden.csv").write_text(lines(10, False))
-    (root / "test_hidden.csv").write_text(lines(10, False))
+    (root / "val.csv").write_text(lines(10, False))
+    (root / "test.csv").write_text(lines(10, False))
     keys = [f"tt{i:03d}" for i in range(1, n + 1)]
     writing = [{"movie": k, "writer": f"nm{(i + j) % 13}"} for i, k in enumerate(keys) for j in range(i % 3)]
     (root / "writing.json").write_text(json.dumps(writing))
@@ -51,8 +51,8 @@ def paths(folder, stage):
 def test_all_stages_from_files_to_files(spark, folder):
     base = {
         "train": f"{folder}/train-*.csv",
-        "validation": f"{folder}/validation_hidden.csv",
-        "test": f"{folder}/test_hidden.csv",
+        "validation": f"{folder}/val.csv",
+        "test": f"{folder}/test.csv",
     }
     merged, clean, features, rich = (paths(folder, s) for s in ("merged", "clean", "features", "rich"))
     jobs.merge_files(spark, base, f"{folder}/writing.json", f"{folder}/directing.json", merged)

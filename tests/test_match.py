@@ -137,7 +137,7 @@ def test_one_search_for_several_tables(spark, catalog):
 
 def test_ties_go_to_the_nearer_year_then_the_smaller_title(spark):
     rows = [("abcx", 2001, 1.0), ("abcy", 2000, 2.0), ("abcz", 2000, 3.0)]
-    catalog = spark.createDataFrame(rows, "normalized_title string, rt_year int, tomatoMeter double")
+    catalog = spark.createDataFrame(rows, "normalized_title string, release_year int, tomatoMeter double")
     keys = spark.createDataFrame([("abc", 2000)], "normalized_title string, year int")
     assert rows_of(match.match_near(keys, catalog)) == [("abc", 2000, 1, "abcy", 2000)]
 

@@ -103,3 +103,11 @@ def test_two_tables_and_two_keys(spark, monkeypatch):
 
 def test_unmeasured_tables_are_never_broadcast_by_hint(spark):
     assert not scale.unmeasured(spark.range(3)).fits_broadcast
+
+
+def test_literal_table(spark):
+    rows = [(1, 0.1, "a"), (-(2**62) - 1, 1e-300, None)]
+    df = scale.literal_table(spark, "k bigint, x double, s string", rows)
+    assert df.dtypes == [("k", "bigint"), ("x", "double"), ("s", "string")]
+    assert rows_of(df) == sorted(rows, key=repr)
+    assert scale.literal_table(spark, "k bigint", []).count() == 0

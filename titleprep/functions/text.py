@@ -8,7 +8,6 @@ letters that are newer than the JVM's Unicode tables.
 from __future__ import annotations
 
 import functools
-import re
 import sys
 import unicodedata
 
@@ -98,18 +97,11 @@ def _normalize_native(text: Column) -> Column:
 
 
 def _normalize_exact(text: Column) -> Column:
-    punctuation, blanks = re.compile(r"[^\w\s]"), re.compile(r"\s+")
-
     # a local function travels to the executors by value: they need not have this package
     def batch(titles: pd.Series) -> pd.Series:
-        def one(title):
-            if title is None:
-                return None
-            letters = unicodedata.normalize("NFD", title)
-            bare = "".join(c for c in letters if unicodedata.category(c) != "Mn").lower()
-            return blanks.sub(" ", punctuation.sub("", bare)).strip()
-
-        return titles.map(one)
+        small = titles.astype("object").str.normalize("NFD").str.lower()
+        kept = small.str.replace(r"[^\w\s]+", "", regex=True)
+        return kept.str.split().str.join(" ")
 
     return F.pandas_udf(batch, StringType())(text)
 

@@ -26,7 +26,7 @@ from titleprep.operators.dedup import keep_first
 SCORES = ("tomatoMeter", "audienceScore")
 PAYLOAD = (*SCORES, "genre")
 TITLE = "normalized_title"
-YEAR = "rt_year"
+YEAR = "release_year"
 
 
 def prepare_catalog(catalog: DataFrame) -> DataFrame:

@@ -110,7 +110,7 @@ def score_files(
     for name, path in out.items():
         write_predictions(model.predictions(features[name]), path, classifier.key, single_file)
     reports = {
-        "cv_auc": spark.createDataFrame([(i, float(a)) for i, a in enumerate(model.cv_auc)], "setting int, auc double"),
+        "cv_auc": scale.literal_table(spark, "setting int, auc double", list(enumerate(model.cv_auc))),
         "accuracy": accuracy(model.transform(features["train"])),
         "importances": model.importances(spark),
     }

@@ -141,29 +141,29 @@ CATALOG_SQL = f"""
 dated as (
   select {_sql_title('title')} normalized_title,
     cast(year(least(try_cast(releaseDateTheaters as date), try_cast(releaseDateStreaming as date)))
-      as integer) rt_year,
+      as integer) release_year,
     cast(tomatoMeter as double) tomatoMeter, cast(audienceScore as double) audienceScore, genre
   from ratings),
 ranked as (
   select *, row_number() over (
-    partition by normalized_title, rt_year
+    partition by normalized_title, release_year
     order by (tomatoMeter is not null)::int + (audienceScore is not null)::int desc,
       tomatoMeter nulls first, audienceScore nulls first, genre nulls first) rn
-  from dated where normalized_title is not null and rt_year is not null),
+  from dated where normalized_title is not null and release_year is not null),
 prepared as (
-  select normalized_title, rt_year, tomatoMeter, audienceScore, genre from ranked where rn = 1)"""
+  select normalized_title, release_year, tomatoMeter, audienceScore, genre from ranked where rn = 1)"""
 
 MATCH_SQL = f"""
 exact as (
   select k.normalized_title, k."year", p.tomatoMeter, p.audienceScore, p.genre
   from (select distinct normalized_title, "year" from clean) k
-  left join prepared p on p.normalized_title = k.normalized_title and p.rt_year = k."year"),
+  left join prepared p on p.normalized_title = k.normalized_title and p.release_year = k."year"),
 near_pairs as (
-  select e.normalized_title, e."year", p.normalized_title near_title, p.rt_year near_year,
+  select e.normalized_title, e."year", p.normalized_title near_title, p.release_year near_year,
     cast(levenshtein({_sql_ascii('e.normalized_title')}, {_sql_ascii('p.normalized_title')}) as integer) distance,
     p.tomatoMeter, p.audienceScore, p.genre
   from (select * from exact where tomatoMeter is null and audienceScore is null) e
-  join (select *, unnest([rt_year - 1, rt_year, rt_year + 1]) y from prepared) p
+  join (select *, unnest([release_year - 1, release_year, release_year + 1]) y from prepared) p
     on p.y = e."year" and abs(length(p.normalized_title) - length(e.normalized_title)) <= 1
    and levenshtein({_sql_ascii('e.normalized_title')}, {_sql_ascii('p.normalized_title')}) <= 1),
 near as (
@@ -698,7 +698,7 @@ def _match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """ select c.tconst, p.tomatoMeter, p.audienceScore, p.genre,
       cast(p.tomatoMeter is null and p.audienceScore is null as integer) unmatched
     from clean c left join prepared p
-      on p.normalized_title = c.normalized_title and p.rt_year = c."year\""""
+      on p.normalized_title = c.normalized_title and p.release_year = c."year\""""
 )
 def match_exact(spark, sf_dir):
     catalog = scale.store(match.prepare_catalog(ratings(spark, sf_dir)))

@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 import functools
+import json
 import math
 import tempfile
 import uuid
@@ -100,6 +101,15 @@ def unmeasured(df: DataFrame) -> Stored:
     return Stored(df, -1, math.inf)
 
 
+def literal_table(spark: SparkSession, schema: str, rows: Sequence[Sequence]) -> DataFrame:
+    """A few values as a table, held in the plan itself, without Python workers."""
+    names = [field.split()[0] for field in schema.split(",")]
+    text = json.dumps([dict(zip(names, row)) for row in rows])
+    fields = ",".join(f"{f.split()[0]}:{f.split()[1]}" for f in schema.split(","))
+    values = F.from_json(F.lit(text), f"array<struct<{fields}>>")
+    return spark.range(1, numPartitions=1).select(F.inline(values))
+
+
 def _key_hash(keys: Sequence[str]) -> Column:
     known = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return F.when(known, F.xxhash64(*keys))
@@ -166,7 +176,7 @@ def _spread_join(rows, tables, keys, hot, copies):
     spark = rows.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     salts = [(key, math.ceil(share * tasks) + 1) for key, share in hot if key is not None]
-    hot_table = spark.createDataFrame(salts, "_key bigint, _salts int")
+    hot_table = literal_table(spark, "_key bigint, _salts int", salts)
     if copies:
         # positions in a written table stay the same when a task is run again
         rows = reread(rows)
