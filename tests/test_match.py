@@ -126,6 +126,14 @@ def test_enrich(spark, catalog, broadcast, monkeypatch):
     assert counts == {"exact": 1, "near": 4, "none": 3}
 
 
+def test_raw_titles_and_years_as_text(spark, catalog):
+    titles = spark.createDataFrame([("t1", "AMÉLIE?", "2001.0"), ("t2", "Alen", "1980")], "tconst string, primaryTitle string, year string")
+    out = match.Enricher.fit(catalog).transform(titles)
+    assert {r["tconst"]: (r["genre"], r["match_stage"]) for r in out.collect()} == {
+        "t1": ("Drama", "exact"), "t2": ("Sci-fi", "near")
+    }
+
+
 def test_one_search_for_several_tables(spark, catalog):
     titles = spark.createDataFrame(TITLES, "tconst string, normalized_title string, year int")
     enricher = match.Enricher.fit(catalog)

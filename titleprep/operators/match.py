@@ -143,7 +143,7 @@ def match_near(keys: DataFrame, catalog: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Enricher:
-    """Adds scores, genre, match stage and match flag to rows with ``normalized_title`` and ``year``."""
+    """Adds scores, genre, match stage and match flag to rows with a title and a year."""
 
     catalog: scale.Stored
 
@@ -161,7 +161,7 @@ class Enricher:
         A catalogue row without any score is no exact match; its key goes on to
         the second step, where it finds the same row at distance 0.
         """
-        keys = functools.reduce(DataFrame.unionAll, [t.select(*_match_key()) for t in tables])
+        keys = functools.reduce(DataFrame.unionAll, [_keyed(t).select(TITLE, "year") for t in tables])
         keys = keys.dropna().distinct()
         exact = scale.reread(
             scale.lookup(keys, [self._catalog_as(TITLE, "year")], [TITLE, "year"], even=True)
@@ -185,7 +185,7 @@ class Enricher:
         search per table.
         """
         matches = matches or self.match(titles)
-        joined = scale.lookup(titles.withColumn("year", _match_key()[1]), [matches], [TITLE, "year"])
+        joined = scale.lookup(_keyed(titles), [matches], [TITLE, "year"])
         return joined.withColumns(
             {
                 "match_stage": F.coalesce("match_stage", F.lit("none")),
@@ -194,8 +194,11 @@ class Enricher:
         )
 
 
-def _match_key() -> tuple[Column, Column]:
-    return F.col(TITLE), rules.to_int(F.col("year")).alias("year")
+def _keyed(titles: DataFrame) -> DataFrame:
+    """``titles`` with both key columns; without a normalised title the primary one serves."""
+    if TITLE not in titles.columns:
+        titles = titles.withColumn(TITLE, text.normalize_title(F.col("primaryTitle")))
+    return titles.withColumn("year", rules.to_int(F.col("year")))
 
 
 def match_counts(enriched: DataFrame, *group: str) -> DataFrame:

@@ -163,7 +163,8 @@ def lookup(
             rows = _spread_join(rows, large, keys, hot, copies)
         else:
             for table in large:
-                rows = rows.join(table.df, keys, "left")
+                # too large, or of unknown size: no estimate shall turn this into a broadcast
+                rows = rows.join(table.df.hint("merge"), keys, "left")
     return rows.select(*[f"`{c}`" for c in columns])
 
 
@@ -198,5 +199,5 @@ def _spread_join(rows, tables, keys, hot, copies):
             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
             .drop("_key", "_salts")
         )
-        salted = salted.join(repeated, [*keys, "_salt"], "left")
+        salted = salted.join(repeated.hint("merge"), [*keys, "_salt"], "left")
     return salted
