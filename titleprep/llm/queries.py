@@ -8,11 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from titleprep.llm.byte_bpe import ByteBpe
 from titleprep.llm.line_dedup import LineDedup
 from titleprep.llm.packing import BestFitPacking
 from titleprep.llm.pii import BASE_KINDS, PersonalData
 from titleprep.llm.quality import CompressionBands
 from titleprep.llm.simhash import SimHashDedup
+from titleprep.llm.url_filter import UrlFilter
 
 
 def tokenizer_path(name: str) -> str:
@@ -39,11 +41,29 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SimHashDedup()(_table(spark, sf_dir, "documents"))
 
 
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return UrlFilter()(_table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 def compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return CompressionBands()(docs).drop("text")
 
 
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coder = ByteBpe(tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coder.round_trip(docs).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = PersonalData()(docs).select("doc_id", "pii")
@@ -71,7 +91,9 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": line_dedup,
     "op4_simhash": simhash,
+    "op5_url_filter": url_filter,
     "op6_compression_bands": compression_bands,
+    "op7_byte_bpe": byte_bpe,
     "op8_pii": pii,
     "op10_packing": packing,
 }
