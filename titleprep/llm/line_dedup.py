@@ -30,11 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from titleprep.llm.common import add_columns, texts
+from titleprep.llm.twice_seen import twice_seen
 from titleprep.scale import reread
 
 _SPACE = b" \t\n\x0b\x0c\r"
-_SEGMENTS = 256
-_FLUSH = 2_000_000
 _hash = xxhash.xxh3_64_intdigest
 _digest = xxhash.xxh3_128_digest
 
@@ -51,32 +50,6 @@ def _keys(data: bytes, min_chars: int) -> set[bytes]:
     return {key for key in found if _long_enough(key, min_chars)}
 
 
-def _positions(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """For both probes of every hash: its segment and its bit in the segment."""
-    segment = (hashes >> np.uint64(56)).astype(np.uint32)
-    size = np.uint64(bits)
-    probes = [hashes % size, (hashes >> np.uint64(28)) % size]
-    return np.tile(segment, 2), np.concatenate(probes).astype(np.uint32)
-
-
-def _packed(bits_set: np.ndarray, bits: int) -> bytes:
-    """Bit numbers as a list, or as the bit map itself where that is smaller."""
-    if 32 * len(bits_set) < bits:
-        return b"l" + bits_set.astype("<u4").tobytes()
-    whole = np.zeros(bits, np.uint8)
-    whole[bits_set] = 1
-    return b"m" + np.packbits(whole).tobytes()
-
-
-def _unpacked(data: bytes, bits: int) -> np.ndarray:
-    """A bit map, one byte per bit."""
-    if data[:1] == b"m":
-        return np.unpackbits(np.frombuffer(data, np.uint8, offset=1), count=bits)
-    whole = np.zeros(bits, np.uint8)
-    whole[np.frombuffer(data, "<u4", offset=1)] = 1
-    return whole
-
-
 @dataclass(frozen=True)
 class LineDedup:
     """``filter_bytes`` is the size of each of the two filters (a power of two).
@@ -98,81 +71,24 @@ class LineDedup:
 
     def suspects(self, docs: DataFrame) -> DataFrame:
         """``(id, key)`` of all keys that may be in two documents or more, once per document."""
-        bits, min_chars, text_col = self.filter_bytes * 8 // _SEGMENTS, self.min_chars, self.text_col
+        min_chars, text_col = self.min_chars, self.text_col
         columns = docs.select(F.col(self.id_col).alias("_id"), F.col(text_col))
-        spark = docs.sparkSession
-
-        def sketch(batches):
-            def rows(parts):
-                hashes, counts = np.unique(np.concatenate(parts), return_counts=True)
-                segments, places = _positions(hashes, bits)
-                twice = np.tile(counts > 1, 2)
-                order = np.argsort(segments, kind="stable")
-                segments, places, twice = segments[order], places[order], twice[order]
-                edges = np.searchsorted(segments, np.arange(_SEGMENTS + 1))
-                filled = [s for s in range(_SEGMENTS) if edges[s] < edges[s + 1]]
-                spans = [slice(edges[s], edges[s + 1]) for s in filled]
-                once = [_packed(np.unique(places[s]), bits) for s in spans]
-                again = [_packed(np.unique(places[s][twice[s]]), bits) for s in spans]
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(filled, pa.int32()), pa.array(once, pa.binary()), pa.array(again, pa.binary())],
-                    names=["segment", "once", "twice"],
-                )
 
-            parts, held = [], 0
-            for batch in batches:
-                for data in texts(batch, text_col):
-                    keys = _keys(data, min_chars)
-                    parts.append(np.fromiter((_hash(k) for k in keys), np.uint64, len(keys)))
-                    held += len(keys)
-                    if held >= _FLUSH:
-                        yield rows(parts)
-                        parts, held = [], 0
-            if held:
-                yield rows(parts)
-
-        def merge(batches):
-            seen: dict[int, list[np.ndarray]] = {}
-            for batch in batches:
-                for segment, once, twice in zip(*(c.to_pylist() for c in batch.columns)):
-                    new = _unpacked(once, bits)
-                    if segment not in seen:
-                        seen[segment] = [new, _unpacked(twice, bits)]
-                        continue
-                    known = seen[segment]
-                    known[1] |= _unpacked(twice, bits) | (known[0] & new)
-                    known[0] |= new
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(seen), pa.int32()),
-                    pa.array([np.packbits(both[1]).tobytes() for both in seen.values()], pa.binary()),
-                ],
-                names=["segment", "twice"],
-            )
-
-        merged = (
-            columns.mapInArrow(sketch, "segment int, once binary, twice binary")
-            .repartition("segment")
-            .mapInArrow(merge, "segment int, twice binary")
-        )
-        filled = np.zeros((_SEGMENTS, bits // 8), np.uint8)
-        for row in merged.collect():  # filter_bytes in all
-            filled[row["segment"]] = np.frombuffer(row["twice"], np.uint8)
-        twice = spark.sparkContext.broadcast(filled)
+        def hashes(batch):
+            for data in texts(batch, text_col):
+                keys = _keys(data, min_chars)
+                yield np.fromiter((_hash(k) for k in keys), np.uint64, len(keys))
+
+        seen = twice_seen(columns, hashes, self.filter_bytes)
+        shared = docs.sparkSession.sparkContext.broadcast(seen)
 
         def test(batches):
-            filter_ = twice.value
             for batch in batches:
                 ids, found = [], []
                 for at, data in enumerate(texts(batch, text_col)):
                     keys = list(_keys(data, min_chars))
-                    if not keys:
-                        continue
-                    hashes = np.fromiter((_hash(k) for k in keys), np.uint64, len(keys))
-                    segments, places = _positions(hashes, bits)
-                    hit = (filter_[segments, places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1
-                    hit = hit[: len(keys)] & hit[len(keys) :]
-                    chosen = np.flatnonzero(hit)
+                    hit = shared.value.suspects(np.fromiter((_hash(k) for k in keys), np.uint64, len(keys)))
+                    chosen = np.flatnonzero(hit).tolist()
                     ids.extend([at] * len(chosen))
                     found.extend(_digest(keys[i]) for i in chosen)
                 yield pa.RecordBatch.from_arrays(

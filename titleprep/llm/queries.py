@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from titleprep.llm.byte_bpe import ByteBpe
 from titleprep.llm.line_dedup import LineDedup
 from titleprep.llm.packing import BestFitPacking
+from titleprep.llm.passages import RepeatedPassages
 from titleprep.llm.pii import BASE_KINDS, PersonalData
 from titleprep.llm.quality import CompressionBands
 from titleprep.llm.simhash import SimHashDedup
@@ -84,6 +85,12 @@ def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = RepeatedPassages()(_table(spark, sf_dir, "documents"))
+    kept = F.sha2("kept", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", kept)
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return BestFitPacking(tokenizer_path("word_bpe_49k.json"))(_table(spark, sf_dir, "documents"))
 
@@ -95,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_compression_bands": compression_bands,
     "op7_byte_bpe": byte_bpe,
     "op8_pii": pii,
+    "op9_repeated_passages": repeated_passages,
     "op10_packing": packing,
 }
 ORACLES: dict[str, str] = {}
