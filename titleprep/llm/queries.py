@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleprep.llm.byte_bpe import ByteBpe
+from titleprep.llm.licenses import LicenseScan
 from titleprep.llm.line_dedup import LineDedup
 from titleprep.llm.packing import BestFitPacking
 from titleprep.llm.passages import RepeatedPassages
 from titleprep.llm.pii import BASE_KINDS, PersonalData
 from titleprep.llm.quality import CompressionBands
+from titleprep.llm.search import TopK
 from titleprep.llm.simhash import SimHashDedup
 from titleprep.llm.url_filter import UrlFilter
 
@@ -32,12 +34,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return TopK()(docs, docs.where("doc_id % 20 = 0"))
+
+
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = F.sha2(F.col("text"), 256).alias("kept_sha256")
     return LineDedup()(docs).select("doc_id", "n_lines", "n_dropped", kept)
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no paths: documents are laid out by language and the digits of their id."""
+    docs = _table(spark, sf_dir, "documents")
+    digits = F.split(F.col("doc_id").cast("string"), "")
+    path = F.array_join(F.concat(F.array(F.coalesce("lang", F.lit("none"))), digits), "/")
+    files = docs.select("doc_id", path.alias("path"), "text")
+    return LicenseScan(opening=True)(files)
+
+
 def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SimHashDedup()(_table(spark, sf_dir, "documents"))
 
@@ -96,7 +112,9 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_top_k": top_k,
     "op2_line_dedup": line_dedup,
+    "op3_license_scan": license_scan,
     "op4_simhash": simhash,
     "op5_url_filter": url_filter,
     "op6_compression_bands": compression_bands,
