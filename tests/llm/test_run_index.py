@@ -1,0 +1,39 @@
+import random
+
+import pytest
+
+from titleprep.llm.run_index import RunIndex
+
+
+def longest_elsewhere(strings):
+    out = []
+    for i, own in enumerate(strings):
+        best = [0] * len(own)
+        for p in range(len(own)):
+            for j, other in enumerate(strings):
+                for q in range(len(other)):
+                    n = 0
+                    while (i, p) != (j, q) and p + n < len(own) and q + n < len(other) and own[p + n] == other[q + n]:
+                        n += 1
+                    best[p] = max(best[p], n)
+        out.append(best)
+    return out
+
+
+@pytest.mark.parametrize("letters", [b"a", b"ab", b"abc", b"\x00a", b"\x00\x01\xff"])
+def test_matches_equal_plain_search(letters):
+    rng = random.Random(len(letters) + letters[0])
+    for size in range(1, 25):
+        strings = [
+            bytes(rng.choice(letters) for _ in range(rng.randint(1, size))) for _ in range(rng.randint(1, 5))
+        ]
+        strings.append(strings[0][: 1 + size // 2])
+        assert [m.tolist() for m in RunIndex(strings).matches()] == longest_elsewhere(strings)
+
+
+def test_repetitive_strings_have_few_runs():
+    rng = random.Random(1)
+    text = bytes(rng.choice(b"abcdefgh") for _ in range(400))
+    one, many = RunIndex([text]), RunIndex([text + bytes([65 + i]) for i in range(50)])
+    # an end of a string is a run of its own
+    assert many.runs < 2 * one.runs + 60 * 8

@@ -43,17 +43,25 @@ def with_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array], schema: pa
     return pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, schema)], schema=schema)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def add_columns(
     df: DataFrame, compute: Callable[[pa.RecordBatch], dict[str, pa.Array]], new: StructType
 ) -> DataFrame:
     """``df`` with the columns that ``compute`` derives from each Arrow batch.
 
-    A column of ``df`` that has the name of a new one is replaced.
+    A column of ``df`` that has the name of a new one, in whatever case, is replaced.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    names = set(new.fieldNames())
-    target = StructType([f for f in df.schema.fields if f.name not in names] + new.fields)
+    names = {name.lower() for name in new.fieldNames()}
+    target = StructType([f for f in df.schema.fields if f.name.lower() not in names] + new.fields)
     arrow = to_arrow_schema(target, prefers_large_types=False)
 
     def run(batches):

@@ -171,16 +171,19 @@ class LicenseScan:
     def __call__(self, files: DataFrame) -> DataFrame:
         path = F.col(f"`{self.path_col}`")
         results = ("license", "similarity", "license_from")
-        columns = [f"`{c}`" for c in files.columns if c not in (*results, self.text_col)]
+        left_out = (*results, self.text_col.lower())
+        columns = [f"`{c}`" for c in files.columns if c.lower() not in left_out]
         # the texts are read once; what follows needs paths and findings only
+        text = F.col(f"`{self.text_col}`").alias(self.text_col)
+        parted = files.select(F.struct(*columns).alias("_file"), path.alias("_path"), text)
         scanned = reread(
-            self.own(files.select(*columns, f"`{self.text_col}`"))
+            self.own(parted)
             .drop(self.text_col)
-            .withColumn("_dir", F.regexp_replace(path, "/?[^/]*$", ""))
+            .withColumn("_dir", F.regexp_replace("_path", "/?[^/]*$", ""))
         )
-        named = F.substring_index(path, "/", -1).rlike(LICENSE_FILE)
+        named = F.substring_index("_path", "/", -1).rlike(LICENSE_FILE)
         governs = F.col("_only") | named | (F.lit(self.opening) & F.col("_opens"))
-        order = F.struct((-F.col("_similarity")).alias("_rank"), path.alias("_path"), F.col("_own").alias("_name"))
+        order = F.struct((-F.col("_similarity")).alias("_rank"), F.col("_path"), F.col("_own").alias("_name"))
         of_dir = store(
             scanned.where(F.col("_own").isNotNull() & F.col("_dir").isNotNull() & governs)
             .groupBy("_dir")
@@ -213,7 +216,7 @@ class LicenseScan:
         )
         own = F.col("_own").isNotNull()
         return lookup(scanned, [nearest], ["_dir"], copies=True).select(
-            *columns,
+            "_file.*",
             F.coalesce("_own", "_inherited").alias("license"),
             F.when(own, F.col("_similarity")).otherwise(F.col("_inherited_similarity")).alias("similarity"),
             F.when(own, "own").when(F.col("_inherited").isNotNull(), "inherited").alias("license_from"),

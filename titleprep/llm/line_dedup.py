@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from titleprep.llm.common import add_columns, texts
+from titleprep.llm.common import add_columns, free_name, texts
 from titleprep.llm.twice_seen import twice_seen
 from titleprep.scale import reread
 
@@ -120,20 +120,18 @@ class LineDedup:
 
     def __call__(self, docs: DataFrame) -> DataFrame:
         text_col, min_chars = self.text_col, self.min_chars
-        joined = docs.join(
-            self.drops(docs).withColumnRenamed("_id", "_drop_id"),
-            F.col(self.id_col).eqNullSafe(F.col("_drop_id")),
-            "left",
-        ).drop("_drop_id")
+        drop_id, drop = free_name(docs, "_drop_id"), free_name(docs, "_drop")
+        drops = self.drops(docs).select(F.col("_id").alias(drop_id), F.col("_drop").alias(drop))
+        joined = docs.join(drops, F.col(self.id_col).eqNullSafe(F.col(drop_id)), "left").drop(drop_id)
 
         def rewrite(batch):
             kept, lines_before, dropped = [], [], []
-            drops = batch.column(batch.schema.get_field_index("_drop")).to_pylist()
-            for data, drop in zip(texts(batch, text_col), drops):
+            drops = batch.column(batch.schema.get_field_index(drop)).to_pylist()
+            for data, dropped_keys in zip(texts(batch, text_col), drops):
                 lines = data.split(b"\n")
                 lines_before.append(len(lines))
-                if drop:
-                    gone = set(drop)
+                if dropped_keys:
+                    gone = set(dropped_keys)
                     keys = [k.strip(_SPACE) for k in data.lower().split(b"\n")]
                     lines = [
                         line
@@ -155,4 +153,4 @@ class LineDedup:
                 StructField("n_dropped", LongType()),
             ]
         )
-        return add_columns(joined, rewrite, new).drop("_drop")
+        return add_columns(joined, rewrite, new).drop(drop)

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from titleprep.llm.common import free_name
+
 # The patterns of the base kinds; possessive where a shorter match could not succeed either,
 # and starting only where the text before could not have been part of the match.
 PATTERNS = {
@@ -142,19 +144,20 @@ class PersonalData:
     def __call__(self, docs: DataFrame) -> DataFrame:
         text = F.col(f"`{self.text_col}`")
         found = docs
+        names = {kind: free_name(docs, f"_hits_{kind}") for kind in PATTERNS}
         for kind, pattern in PATTERNS.items():
             hint = F.lit(True) if HINTS[kind] is None else F.contains(text, F.lit(HINTS[kind]))
             hits = F.when(hint, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-            found = found.withColumn(f"_hits_{kind}", hits)
+            found = found.withColumn(names[kind], hits)
         lists = []
-        for kind_no, (kind, pattern) in enumerate(PATTERNS.items()):
-            hits = F.col(f"_hits_{kind}")
+        for kind, pattern in PATTERNS.items():
+            hits = F.col(names[kind])
             found_kind = F.struct(
                 F.when(F.size(hits) > 0, F.split(text, pattern, -1)).alias("gaps"), hits.alias("hits")
             )
-            found = found.withColumn(f"_hits_{kind}", found_kind)
+            found = found.withColumn(names[kind], found_kind)
         for kind_no, kind in enumerate(PATTERNS):
-            lists.append(_spans(text, kind_no, kind, F.col(f"_hits_{kind}"), self.near))
+            lists.append(_spans(text, kind_no, kind, F.col(names[kind]), self.near))
         spans = F.filter(
             F.flatten(F.array(*lists)),
             lambda s: (s["kind_no"] < len(BASE_KINDS)) | (s["score"] >= self.least_score),
@@ -162,7 +165,7 @@ class PersonalData:
         spans = F.transform(
             F.array_sort(spans), lambda s: F.struct(s["kind"], s["start"], s["end"], s["text"], s["score"])
         )
-        return found.withColumn("pii", spans).drop(*[f"_hits_{kind}" for kind in PATTERNS])
+        return found.withColumn("pii", spans).drop(*names.values())
 
     def redact(self, docs: DataFrame) -> DataFrame:
         """``docs`` with every span replaced by its kind in angle brackets.

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from titleprep.llm.common import texts, word_lists
+from titleprep.llm.common import free_name, texts, word_lists
 from titleprep.llm.components import components
 from titleprep.scale import reread
 
@@ -211,5 +211,6 @@ class SimHashDedup:
         the kept id and text are kept together.
         """
         found = self(docs).where(F.col(self.id_col).eqNullSafe(F.col("component_id")))
-        kept = found.select(F.col(self.id_col).alias("_kept")).distinct()
-        return docs.join(kept, F.col(self.id_col).eqNullSafe(F.col("_kept")), "left_semi")
+        name = free_name(docs, "_kept")
+        kept = found.select(F.col(self.id_col).alias(name)).distinct()
+        return docs.join(kept, F.col(self.id_col).eqNullSafe(F.col(name)), "left_semi")

@@ -159,7 +159,10 @@ class UrlFilter:
     def __call__(self, pages: DataFrame) -> DataFrame:
         url = F.col(f"`{self.url_col}`")
         host, path = host_and_path(url)
-        parsed = pages.withColumns({"host": host, "path": path})
+        results = ("host", "path", "rule", "verdict")
+        columns = [f"`{c}`" for c in pages.columns if c.lower() not in results]
+        # no name of the caller's columns can meet one used here
+        parsed = pages.select(F.struct(*columns).alias("_page"), host.alias("host"), path.alias("path"))
         rule, verdict = matching_rule(F.col("host"), F.col("path"), self.rules)
         judged = parsed.withColumns({"rule": rule, "verdict": verdict})
 
@@ -193,9 +196,8 @@ class UrlFilter:
         )
         joined = judged.withColumn("_text", F.when(F.col("verdict").isNull(), F.concat("host", "path")))
         done = joined.join(decided, "_text", "left")
-        columns = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
         return done.select(
-            *[f"`{c}`" for c in columns],
+            "_page.*",
             "host",
             "path",
             "rule",
