@@ -13,10 +13,9 @@ from __future__ import annotations
 import functools
 import os
 import re
+from collections.abc import Callable, Iterable
 
-import numpy as np
-
-_REMEMBERED = 300_000
+_REMEMBERED = 800_000
 # the tokenizer's split pattern for the first 256 code points
 _LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -25,6 +24,25 @@ _PARTS = re.compile(
 )
 
 
+class _Remembered(dict):
+    """Ids by piece of text; an unknown piece is encoded and remembered."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self._encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self._encode(piece)
+        return ids
+
+    def all(self, pieces: Iterable[str]) -> bytes:
+        return b"".join(map(self.__getitem__, pieces))
+
+    def bound(self, size: int) -> None:
+        if len(self) > size:
+            self.clear()
+
+
 class WordTokens:
     """Encodes texts to little-endian unsigned 32-bit ids; one object per Python worker."""
 
@@ -33,48 +51,33 @@ class WordTokens:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        self._whole = Tokenizer.from_file(path)
-        self._whole.encode_special_tokens = True
-        self._model = self._whole.model
+        whole = Tokenizer.from_file(path)
+        whole.encode_special_tokens = True
+        model = whole.model
         byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
-        self._letters = {
-            i: byte_level.pre_tokenize_str(chr(i))[0][0] for i in range(256) if byte_level.pre_tokenize_str(chr(i))
-        }
-        self._parts: dict[str, bytes] = {}
-        self._simple: dict[str, bytes] = {}
-        self._other: dict[str, bytes] = {}
-
-    def _part(self, part: str) -> bytes:
-        ids = self._parts.get(part)
-        if ids is None:
-            found = [t.id for t in self._model.tokenize(part.translate(self._letters))]
-            ids = self._parts[part] = np.array(found, "<u4").tobytes()
-        return ids
+        letters = {i: byte_level.pre_tokenize_str(chr(i)) for i in range(256)}
+        letters = {i: found[0][0] for i, found in letters.items() if found}
+        number = [i.to_bytes(4, "little") for i in range(whole.get_vocab_size(with_added_tokens=True))]
+
+        def part(text: str) -> bytes:
+            return b"".join([number[t.id] for t in model.tokenize(text.translate(letters))])
+
+        def other(text: str) -> bytes:
+            return b"".join([number[i] for i in whole.encode(text, add_special_tokens=False).ids])
+
+        self._parts = _Remembered(part)
+        self._simple = _Remembered(lambda piece: self._parts.all(_PARTS.findall(piece)))
+        self._other = _Remembered(other)
 
     def encode(self, text: str) -> bytes:
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
-            return self._encode_other(text)
-        if len(self._simple) > _REMEMBERED:
-            self._simple.clear()
-        if len(self._parts) > _REMEMBERED:
-            self._parts.clear()
-        known = self._simple
-        pieces = text.lower().replace("\n", " ").split(" ")
-        for piece in {p for p in pieces if p not in known}:
-            known[piece] = b"".join(map(self._part, _PARTS.findall(piece)))
-        return b"".join(map(known.__getitem__, pieces))
-
-    def _encode_other(self, text: str) -> bytes:
-        if len(self._other) > _REMEMBERED:
-            self._other.clear()
-        known = self._other
-        pieces = text.replace("\n", " ").split(" ")
-        new = list({p for p in pieces if p not in known})
-        for piece, found in zip(new, self._whole.encode_batch_fast(new, add_special_tokens=False)):
-            known[piece] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, pieces))
+            self._other.bound(_REMEMBERED // 4)
+            return self._other.all(text.replace("\n", " ").split(" "))
+        self._simple.bound(_REMEMBERED)
+        self._parts.bound(_REMEMBERED // 2)
+        return self._simple.all(text.lower().replace("\n", " ").split(" "))
 
 
 @functools.lru_cache(maxsize=2)
