@@ -58,3 +58,34 @@ def test_nan_counts_as_missing(spark):
 def test_fill_constant(spark):
     df = spark.createDataFrame([("a", None), (None, "b")], "genre string, other string")
     assert [tuple(r) for r in impute.fill_constant(df, "Unknown", "genre").collect()] == [("a", None), ("Unknown", "b")]
+
+
+def test_sketches_that_do_not_narrow_are_halved(spark, monkeypatch):
+    """Two heavy values at the ends: the exact step must never see more values than the limit."""
+    values = [0.0] * 500 + [float(i) for i in range(1, 10)] + [10.0] * 500
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    seen = []
+    pick = impute._pick
+    monkeypatch.setattr(impute, "_pick", lambda v, s: seen.extend(x.distinct for x in s.values()) or pick(v, s))
+    for kind, expected in (("disc", 5.0), ("cont", 5.0)):
+        assert impute.exact_medians(df, {"v": F.col("v")}, kind, limit=3) == {"v": expected}
+    assert seen and max(seen) <= 3
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_halving_equals_sorting(spark, monkeypatch, seed):
+    import random
+    import statistics
+
+    monkeypatch.setattr(impute, "_ACCURACY", 2)
+    rng = random.Random(seed)
+    values = [rng.choice([0.0, -1e300, 1e-300, 7.5, float("inf"), rng.gauss(0, 1e6)]) for _ in range(60 + seed)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert impute.exact_medians(df, {"v": F.col("v")}, "disc", limit=1)["v"] == statistics.median_low(values)
+    assert impute.exact_medians(df, {"v": F.col("v")}, "cont", limit=1)["v"] == statistics.median(values)
+
+
+def test_nan_is_filled(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (3.0,)], "v double")
+    model = impute.MedianImputer(("v",), kind="cont").fit(df)
+    assert sorted(r["v"] for r in model.transform(df).collect()) == [1.0, 2.0, 2.0, 3.0]

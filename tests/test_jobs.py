@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from conftest import rows_of
 from titleprep.operators.model import TitleClassifier
 from titleprep.plans import jobs
 
@@ -63,9 +64,9 @@ def test_all_stages_from_files_to_files(spark, folder):
     assert reports["duplicates"].first()[0] == 0
     assert reports["columns"].count() == 11
 
-    jobs.clean_files(spark, merged, clean)
-    jobs.feature_files(spark, clean, features, single_file=True)
-    frames = jobs._read(spark, features)
+    written = jobs.clean_files(spark, merged, clean)
+    assert written["train"].inputFiles()[0].endswith(".parquet")
+    frames = jobs.feature_files(spark, clean, features, single_file=True)
     assert {n: df.count() for n, df in frames.items()} == {"train": 60, "validation": 10, "test": 10}
     assert "label" in frames["train"].columns and "label" not in frames["test"].columns
     assert frames["train"].where('primaryTitle = \'Film, the 4th "one"\'').count() == 1
@@ -84,7 +85,16 @@ def test_all_stages_from_files_to_files(spark, folder):
     assert counts["train", "exact"] > 0 and counts["train", "near"] > 0
     assert sum(v for (s, _), v in counts.items() if s == "train") == 60
     assert reports["nulls"].count() == 9
-    done = jobs._read(spark, rich)
+    done = jobs._read(spark, rich, "csv")
     assert done["test"].count() == 10
     assert {"genre_drama", "genre_war", "has_rt_match"} <= set(done["test"].columns)
     assert "genre" not in done["test"].columns and "match_stage" not in done["test"].columns
+
+    whole = paths(folder, "whole")
+    at_once = jobs.chain_files(
+        spark, base, f"{folder}/writing.json", f"{folder}/directing.json", f"{folder}/ratings.csv", whole
+    )
+    for name in jobs.SPLITS:
+        assert sorted(at_once[name].columns) == sorted(done[name].columns)
+        columns = sorted(done[name].columns)
+        assert rows_of(at_once[name].select(columns)) == rows_of(done[name].select(columns))

@@ -160,3 +160,28 @@ def test_hot_title_keeps_every_row(spark, catalog, monkeypatch):
     )
     out = match.Enricher.fit(catalog).transform(titles)
     assert {r["match_stage"]: r["rows"] for r in match.match_counts(out).collect()} == {"exact": 1_000, "none": 2_000}
+
+
+def test_scores_that_are_nan_are_missing(spark):
+    ratings = spark.createDataFrame(
+        [("A film", "1999-01-01", None, "NaN", "NaN", "Drama"), ("B film", "1999-01-01", None, "5", "nan", "War")],
+        "title string, releaseDateTheaters string, releaseDateStreaming string, tomatoMeter string,"
+        " audienceScore string, genre string",
+    )
+    titles = spark.createDataFrame([("a film", 1999), ("b film", 1999)], "normalized_title string, year int")
+    rows = {r["normalized_title"]: r for r in match.Enricher.fit(ratings).transform(titles).collect()}
+    assert rows["a film"]["match_stage"] == "near" and rows["a film"]["has_rt_match"] == 0
+    assert rows["a film"]["tomatoMeter"] is None
+    assert rows["b film"]["match_stage"] == "exact" and rows["b film"]["audienceScore"] is None
+
+
+def test_one_shuffle_per_side(spark, monkeypatch):
+    keys = scale.reread(spark.range(50).selectExpr("concat('film ', id) normalized_title", "1990 + id % 5 as year"))
+    catalog = scale.reread(keys.withColumnRenamed("year", "release_year"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = match.match_near(keys, catalog)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # one for each side of the join, one for the best pair per key
+    assert plan.count("Exchange hashpartitioning") == 3 and plan.count("Exchange") == 3

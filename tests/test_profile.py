@@ -81,3 +81,16 @@ def test_summary_per_group_equals_pandas(spark):
 def test_null_shares(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "a int, b int")
     assert rows_of(profile.null_shares(df, ["a", "b"])) == [(2, "a", 1, 50.0), (2, "b", 2, 100.0)]
+
+
+def test_summary_shuffles_digests_only(spark):
+    df = spark.createDataFrame([("x" * 50, 1, -0.0), ("x" * 50, None, 0.0), (None, 2, None)], "a string, b int, c double")
+    summary = profile.column_summary(df, order_by=None)
+    plan = summary._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan and "cast(b" not in plan
+    rows = {r["column"]: (r["count"], r["nulls"], r["unique"]) for r in summary.collect()}
+    assert rows == {"a": (2, 1, 1), "b": (2, 1, 2), "c": (2, 1, 1)}
+    approximate = profile.column_summary(df, order_by="unique", approximate=True)
+    assert [r["column"] for r in approximate.collect()] == ["b", "a", "c"]
+    assert approximate._jdf.queryExecution().optimizedPlan().toString().count("Expand") == 0
+    assert profile.column_summary(df.limit(0), order_by=None).first()["null_pct"] is None

@@ -6,7 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# the queries of the subpackage for training data have tests of their own
+QUERIES, ORACLES = entry.QUERIES, entry.ORACLES
 # MLlib models have no SQL form
 WITHOUT_SQL = {"score_titles", "feature_importance"}
 
@@ -39,6 +40,10 @@ def test_query_equals_sql(spark, sql, sf_dir, name):
     assert got == sorted(tuple(plain(r[i]) for i in places) for r in result.fetchall())
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 @pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
 def test_model_queries_run(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0

@@ -81,3 +81,53 @@ def test_predictions_are_in_key_order_without_header(spark, tmp_path):
     writers.write_predictions(df.repartition(7), f"{tmp_path}/p")
     lines = [line for part in sorted((tmp_path / "p").glob("part-*.csv")) for line in part.read_text().split()]
     assert lines == ["True" if i % 3 == 0 else "False" for i in range(50)]
+
+
+SHARD = "tconst,primaryTitle,label\ntt1,A,True\n"
+
+
+def csv_files(tmp_path, *texts):
+    for i, text in enumerate(texts):
+        (tmp_path / f"part-{i} x.csv").write_text(text)
+    return f"{tmp_path}/part-*.csv"
+
+
+@pytest.mark.parametrize("schema", [None, ("tconst", "primaryTitle")])
+def test_shards_are_matched_by_header(spark, tmp_path, schema):
+    path = csv_files(tmp_path, SHARD, "primaryTitle,tconst,label\nB,tt2,False\n", "column0,tconst,primaryTitle\n0,tt3,C\n")
+    rows = readers.read_csv(spark, path, schema and readers.text_schema(*schema))
+    assert rows_of(rows.select("tconst", "primaryTitle")) == [("tt1", "A"), ("tt2", "B"), ("tt3", "C")]
+    assert rows.columns == (list(schema) if schema else ["tconst", "primaryTitle", "label", "column0"])
+
+
+@pytest.mark.parametrize("row", ["tt9,only", "tt9,one,two,three"])
+@pytest.mark.parametrize("multiline", [True, False])
+@pytest.mark.parametrize("action", ["all", "count", "one"])
+def test_ragged_rows_are_errors(spark, tmp_path, row, multiline, action):
+    rows = readers.read_csv(spark, csv_files(tmp_path, SHARD, f"{SHARD}{row}\n"), multiline=multiline)
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        if action == "count":
+            rows.count()
+        else:
+            (rows if action == "all" else rows.select("label")).collect()
+
+
+def test_shards_without_rows(spark, tmp_path):
+    assert readers.read_csv(spark, csv_files(tmp_path, "a,b\n", "")).columns == ["a", "b"]
+
+
+@pytest.mark.parametrize("text", ['{"movie": {"0": "tt1"', '{"movie": {"0": "a"}, "director": nothing}'])
+def test_truncated_documents_are_errors(spark, tmp_path, text):
+    (tmp_path / "d.json").write_text(text)
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE|Malformed"):
+        readers.read_columnar_json(spark, f"{tmp_path}/d.json", "movie", "director").collect()
+
+
+def test_bad_lines_are_errors(spark, tmp_path):
+    good = json.dumps({"movie": {"0": "a"}, "director": {"0": "b"}})
+    (tmp_path / "d.json").write_text(f"{good}\n{{broken\n{good}\n")
+    rows = readers.read_columnar_json(spark, f"{tmp_path}/d.json", "movie", "director", multiline=False)
+    records = readers.read_records(spark, f"{tmp_path}/d.json", "movie map<string,string>")
+    for df in (rows, records):
+        with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE|Malformed"):
+            df.collect()

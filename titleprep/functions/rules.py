@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SENTINEL = r"\N"
@@ -21,12 +23,12 @@ def to_int(col: Column) -> Column:
 
 
 def to_float(col: Column) -> Column:
-    """32-bit number, null where the text is no number."""
-    return col.try_cast("float")
+    """32-bit number, null where the text is no number; NaN is none."""
+    return F.nullif(col.try_cast("float"), F.lit(math.nan).cast("float"))
 
 
 def to_double(col: Column) -> Column:
-    return col.try_cast("double")
+    return F.nullif(col.try_cast("double"), F.lit(math.nan))
 
 
 def to_flag(col: Column) -> Column:
@@ -80,7 +82,3 @@ def log_count(col: Column) -> Column:
 def split_list(text: Column) -> Column:
     """Elements of a comma list, untrimmed; null for null."""
     return F.split(text, ",", -1)
-
-
-def drop_present(df: DataFrame, *names: str) -> DataFrame:
-    return df.drop(*names)

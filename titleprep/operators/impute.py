@@ -3,8 +3,9 @@
 A plain exact median keeps every distinct value in one task.  That is fine for
 years or minutes and wrong for counts at scale, so ``exact_medians`` first
 narrows the range with a bounded quantile sketch until few distinct values are
-left, and only then takes the exact value.  Ranks are counted exactly on the
-way, so the result does not depend on the sketch.
+left, and only then takes the exact value.  Where the sketch does not narrow the
+range, it is halved.  Ranks are counted exactly on the way, so the result does not
+depend on the sketch.
 """
 
 from __future__ import annotations
@@ -15,12 +16,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from titleprep import scale
 
 # distinct values one task may hold for the last, exact step
 EXACT_DISTINCT = 1_000_000
 _ACCURACY = 10_000
+_FLOATING = (FloatType(), DoubleType())
 
 
 @dataclass
@@ -34,6 +37,7 @@ class _Search:
     below: int = 0
     inside: int = 0
     distinct: int = 0
+    ends: tuple[float, float] | None = None
 
     def condition(self, col: Column) -> Column:
         return col.between(F.lit(self.low), F.lit(self.high))
@@ -92,27 +96,59 @@ def _narrow(values: DataFrame, searches: Mapping[str, _Search]) -> None:
     for n, s in searches.items():
         below, inside = row[f"b_{n}"], row[f"i_{n}"]
         held = below < s.first and s.last <= below + inside
-        if not held or (inside, tuple(bounds[n])) == (s.inside, (s.low, s.high)):
-            # the sketch missed, or cannot narrow further: settle this one exactly
-            s.distinct = 0
-            continue
-        s.low, s.high = bounds[n]
-        s.below, s.inside, s.distinct = below, inside, row[f"d_{n}"]
+        if held and inside < s.inside:
+            s.low, s.high = bounds[n]
+            s.below, s.inside, s.distinct = below, inside, row[f"d_{n}"]
+        else:
+            _halve(values, n, s)
+
+
+def _halve(values: DataFrame, name: str, s: _Search) -> None:
+    """The range cut at the middle between its least and greatest value; exact counts choose the side."""
+    col = F.col(name)
+    ends = values.where(s.condition(col)).agg(F.min(col).alias("low"), F.max(col).alias("high")).first()
+    low, high = ends["low"], ends["high"]
+    middle = low / 2 + high / 2
+    if not low <= middle < high:
+        # neighbouring numbers
+        middle = low
+    upto, above = col.between(F.lit(low), F.lit(middle)), (col > middle) & (col <= high)
+    row = values.agg(
+        F.count_if(upto).alias("upto"),
+        F.max(F.when(upto, col)).alias("last"),
+        F.min(F.when(above, col)).alias("first"),
+        F.approx_count_distinct(F.when(upto, col)).alias("d_upto"),
+        F.approx_count_distinct(F.when(above, col)).alias("d_above"),
+    ).first()
+    rank = s.below + row["upto"]
+    if s.last <= rank:
+        s.low, s.high, s.inside, s.distinct = low, row["last"], row["upto"], row["d_upto"]
+    elif s.first > rank:
+        s.low, s.high, s.inside, s.distinct = row["first"], high, s.inside - row["upto"], row["d_above"]
+        s.below = rank
+    else:
+        # the two middle values stand on either side
+        s.ends = (row["last"], row["first"])
+        s.low = s.high = row["last"]
+        s.distinct = 0
 
 
 def _pick(values: DataFrame, searches: Mapping[str, _Search]) -> dict[str, float]:
     picks = []
+    found = {n: s.ends or (s.low, s.high) for n, s in searches.items() if s.ends or s.low == s.high}
     for n, s in searches.items():
+        if n in found:
+            continue
         for end, rank in (("a", s.first), ("b", s.last)):
             share = (rank - s.below - 0.5) / s.inside
             kept = f"case when `{n}` between double('{s.low}') and double('{s.high}') then `{n}` end"
             picks.append(
                 F.expr(f"percentile_disc({share!r}d) within group (order by {kept})").alias(f"{end}_{n}")
             )
-    if not picks:
-        return {}
-    row = values.agg(*picks).first()
-    return {n: (row[f"a_{n}"] + row[f"b_{n}"]) / 2 for n in searches}
+    if picks:
+        row = values.agg(*picks).first()
+        found |= {n: (row[f"a_{n}"], row[f"b_{n}"]) for n in searches if n not in found}
+    return {n: (a + b) / 2 for n, (a, b) in found.items()}
 
 
 def approximate_medians(
@@ -144,7 +180,12 @@ class MedianImputerModel:
     medians: Mapping[str, float | None]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        filled = {c: F.coalesce(F.col(c), F.lit(m)) for c, m in self.medians.items()}
+        """``df`` with the medians in place of nulls and NaN."""
+        filled = {}
+        for c, m in self.medians.items():
+            nan = F.lit(math.nan).cast(df.schema[c].dataType)
+            known = F.nullif(F.col(c), nan) if df.schema[c].dataType in _FLOATING else F.col(c)
+            filled[c] = F.coalesce(known, F.lit(m))
         return df.withColumns(filled)
 
 

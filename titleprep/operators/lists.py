@@ -26,11 +26,14 @@ def group_list(pairs: DataFrame, key: str, element: str, alias: str) -> DataFram
     return lists.select(key, F.when(F.size("_l") > 0, joined).alias(alias))
 
 
-def add_lists(titles: DataFrame, *lists: DataFrame | scale.Stored, key: str = "tconst") -> DataFrame:
+def add_lists(
+    titles: DataFrame, *lists: DataFrame | scale.Stored, key: str = "tconst", even: bool = False
+) -> DataFrame:
     """Left join of tables with one list per key; lists that are not stored are shuffled.
 
+    ``even`` says that no key has many titles, which spares the search for hot keys.
     The titles are shuffled once for all lists, or not at all if the stored
     lists are small.
     """
     tables = [x if isinstance(x, scale.Stored) else scale.unmeasured(x) for x in lists]
-    return scale.lookup(titles, tables, [key], copies=True)
+    return scale.lookup(titles, tables, [key], copies=True, even=even)

@@ -51,53 +51,52 @@ def match_exact(titles: DataFrame, catalog: scale.Stored) -> DataFrame:
     return scale.lookup(titles, [keyed], [TITLE, "year"])
 
 
-def with_edit_keys(df: DataFrame, column: str) -> DataFrame:
-    """One row per hash of the text and of the text with one character left out.
-
-    Leaving out any character of a run gives the same text, so only the last one
-    of a run counts.  ``_whole`` marks the row of the unchanged text.
-    """
-    value, place = F.col(column), F.col("_place")
-    letter = F.substring(value, place, F.lit(1))
+def _cut(value: Column, place: Column) -> Column:
+    """The text without its character at ``place``; the whole text for 0."""
     after = F.substring(value, place + 1, F.char_length(value))
-    shorter = F.concat(F.substring(value, F.lit(1), place - 1), after)
-    places = df.withColumn("_place", F.explode(F.sequence(F.lit(0), F.char_length(value))))
-    return (
-        places.where((place == 0) | (letter != F.substring(after, 1, 1)))
-        .withColumn("_key", F.xxhash64(F.when(place == 0, value).otherwise(shorter)))
-        .withColumn("_whole", place == 0)
-        .drop("_place")
-    )
+    return F.when(place == 0, value).otherwise(F.concat(F.substring(value, F.lit(1), place - 1), after))
 
 
-def _spread_out(df: DataFrame) -> DataFrame:
-    """``df`` in full parallelism: rows are about to grow by the length of their text.
+def with_edit_keys(df: DataFrame, column: str, place: str = "_place") -> DataFrame:
+    """One row per hash of the text and of the text with one character left out.
 
-    Adaptive execution would merge partitions by their size before that.
+    Leaving out any character of a run gives the same text, so only the last one
+    of a run counts.  ``place`` is the character left out, 0 for the whole text.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(tasks, df.columns[0])
+    value, at = F.col(column), F.col(place)
+    letter, following = F.substring(value, at, F.lit(1)), F.substring(value, at + 1, F.lit(1))
+    places = df.withColumn(place, F.explode(F.sequence(F.lit(0), F.char_length(value))))
+    return places.where((at == 0) | (letter != following)).withColumn("_key", F.xxhash64(_cut(value, at)))
 
 
 def near_pairs(
-    left: DataFrame, right: DataFrame, left_on: tuple[str, str], right_on: tuple[str, str]
+    left: DataFrame,
+    right: DataFrame,
+    left_on: tuple[str, str],
+    right_on: tuple[str, str],
+    unique: bool = False,
 ) -> DataFrame:
     """Pairs of distinct (text, number) at most one edit and at most one number apart.
 
-    Texts that differ by one edit share exactly one key, and equal texts are
-    taken at the unchanged text only, so a pair comes once (but for a collision
-    of hashes).  Columns: ``text, number, near_text, near_number, distance``.
+    Texts that differ by one edit share exactly one shortened text, and equal texts
+    are taken at the unchanged text only, so a pair comes once; shortened texts are
+    compared again after the join on their hashes.  ``unique`` says that both sides
+    are distinct already, which spares a shuffle.  Columns: ``text, number,
+    near_text, near_number, distance``.
     """
-    a = left.select(F.col(left_on[0]).alias("text"), F.col(left_on[1]).cast("int").alias("number"))
+    a = left.select(F.col(left_on[0]).alias("text"), F.col(left_on[1]).cast("int").alias("number")).dropna()
     b = right.select(
         F.col(right_on[0]).alias("near_text"), F.col(right_on[1]).cast("int").alias("near_number")
-    )
-    a = with_edit_keys(_spread_out(a.dropna().distinct()), "text")
-    b = with_edit_keys(_spread_out(b.dropna().distinct()), "near_text")
-    b = b.withColumnRenamed("_whole", "_near_whole")
+    ).dropna()
+    if not unique:
+        a, b = a.distinct(), b.distinct()
+    a = with_edit_keys(a, "text")
+    b = with_edit_keys(b, "near_text", "_near_place")
     around = F.array(*[F.col("near_number") + d for d in (-1, 0, 1)])
     b = b.withColumn("number", F.explode(around))
-    once = (F.col("text") != F.col("near_text")) | (F.col("_whole") & F.col("_near_whole"))
+    whole = (F.col("_place") == 0) & (F.col("_near_place") == 0)
+    same_part = _cut(F.col("text"), F.col("_place")) == _cut(F.col("near_text"), F.col("_near_place"))
+    once = F.when(F.col("text") == F.col("near_text"), whole).otherwise(same_part)
     return (
         # size estimates do not see that explode multiplies the rows: rule a broadcast out
         a.join(b.hint("merge"), ["_key", "number"])
@@ -113,18 +112,13 @@ def near_pairs(
     )
 
 
-def distinct_near_pairs(
-    left: DataFrame, right: DataFrame, left_on: tuple[str, str], right_on: tuple[str, str]
-) -> DataFrame:
-    return near_pairs(left, right, left_on, right_on).distinct()
-
-
 def match_near(keys: DataFrame, catalog: DataFrame) -> DataFrame:
     """The closest catalogue key per (title, year) within one edit and one year.
 
+    Both tables are unique by title and year.
     Order: distance, then years apart, then title, then year.
     """
-    pairs = near_pairs(keys, catalog, (TITLE, "year"), (TITLE, YEAR))
+    pairs = near_pairs(keys, catalog, (TITLE, "year"), (TITLE, YEAR), unique=True)
     rank = F.struct(
         "distance",
         F.abs(F.col("number") - F.col("near_number")).alias("apart"),

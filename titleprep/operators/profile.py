@@ -13,6 +13,9 @@ from titleprep.functions import rules, text
 SENTINEL_COLUMNS = ("startYear", "endYear", "runtimeMinutes", "writers", "directors")
 YEARS = (1880, 2025)
 RUNTIMES = (0, 600)
+YEAR_NAMES = (f"before_{YEARS[0]}", f"after_{YEARS[1]}", "min_year", "max_year")
+RUNTIME_NAMES = ("lte_zero", f"gt_{RUNTIMES[1]}", "min_runtime", "max_runtime")
+VOTE_NAMES = ("null_votes", "negative_votes", "min_votes", "max_votes")
 
 
 def _long(wide: DataFrame, names: Sequence[str], key: str, value: str) -> DataFrame:
@@ -51,24 +54,18 @@ def _range_aggregates(value: Column, below: Column, above: Column, names: Sequen
 
 def _year_aggregates(column: str):
     year = rules.to_int(rules.drop_sentinel(F.col(column)))
-    names = (f"before_{YEARS[0]}", f"after_{YEARS[1]}", "min_year", "max_year")
-    return _range_aggregates(year, year < YEARS[0], year > YEARS[1], names)
+    return _range_aggregates(year, year < YEARS[0], year > YEARS[1], YEAR_NAMES)
 
 
 def _runtime_aggregates(column: str):
     minutes = rules.to_float(rules.drop_sentinel(F.col(column)))
-    names = ("lte_zero", f"gt_{RUNTIMES[1]}", "min_runtime", "max_runtime")
-    return _range_aggregates(minutes, minutes <= RUNTIMES[0], minutes > RUNTIMES[1], names)
+    return _range_aggregates(minutes, minutes <= RUNTIMES[0], minutes > RUNTIMES[1], RUNTIME_NAMES)
 
 
 def _vote_aggregates(column: str):
     votes = rules.to_double(F.col(column))
-    return [
-        F.count_if(F.col(column).isNull()).alias("null_votes"),
-        F.count_if(votes < 0).alias("negative_votes"),
-        F.min(votes).alias("min_votes"),
-        F.max(votes).alias("max_votes"),
-    ]
+    found = (F.count_if(F.col(column).isNull()), F.count_if(votes < 0), F.min(votes), F.max(votes))
+    return [aggregate.alias(name) for aggregate, name in zip(found, VOTE_NAMES)]
 
 
 def year_anomalies(df: DataFrame, column: str = "startYear") -> DataFrame:
@@ -111,9 +108,9 @@ def report(df: DataFrame) -> DataFrame:
         ("sentinels", c, F.count_if(F.col(c).cast("string") == rules.SENTINEL)) for c in sentinels
     ]
     for section, column, aggregates, names in (
-        ("year", "startYear", _year_aggregates, ("before_1880", "after_2025", "min_year", "max_year")),
-        ("runtime", "runtimeMinutes", _runtime_aggregates, ("lte_zero", "gt_600", "min_runtime", "max_runtime")),
-        ("votes", "numVotes", _vote_aggregates, ("null_votes", "negative_votes", "min_votes", "max_votes")),
+        ("year", "startYear", _year_aggregates, YEAR_NAMES),
+        ("runtime", "runtimeMinutes", _runtime_aggregates, RUNTIME_NAMES),
+        ("votes", "numVotes", _vote_aggregates, VOTE_NAMES),
     ):
         parts += [(section, n, a) for n, a in zip(names, aggregates(column))]
     parts.append(("titles", "non_ascii", F.count_if(text.is_non_ascii(F.col("primaryTitle")))))
@@ -126,35 +123,59 @@ def report(df: DataFrame) -> DataFrame:
     )
 
 
-def _plain(df: DataFrame, name: str, kind: str) -> Column:
-    """A value as text such that equal values give equal texts."""
+def _digest(df: DataFrame, name: str, kind: str) -> Column:
+    """Sixteen bytes such that equal values, and only they, give equal bytes."""
     col = F.col(f"`{name}`")
     # -0.0 and 0.0 are one value
-    return (col + F.lit(0)).cast("string") if kind in ("double", "float") else col.cast("string")
+    col = col + F.lit(0) if kind in ("double", "float") else col
+    return F.struct(F.xxhash64(col).alias("a"), F.xxhash64(F.lit("second"), col).alias("b"))
 
 
-def column_summary(df: DataFrame, *group: str, order_by: str | None = "null_pct") -> DataFrame:
+def column_summary(
+    df: DataFrame, *group: str, order_by: str | None = "null_pct", approximate: bool = False
+) -> DataFrame:
     """Per column (and ``group``): values, nulls, null %, distinct values; ranked by ``order_by``.
 
-    Values are counted per (column, value) first, with partial counts on the map
-    side, so a value that fills a third of a column costs one row per task.
+    Values and nulls are counted in one pass without a shuffle of the rows.  Distinct
+    values are counted by digests of fixed width, once per task and value;
+    ``approximate`` takes sketches in that one pass instead.
     """
     names = [c for c in df.columns if c not in group]
-    texts = df.select(*group, *[_plain(df, n, t).alias(n) for n, t in df.dtypes if n in names])
-    cells = texts.unpivot(list(group), [F.col(f"`{n}`") for n in names], "column", "value")
-    counted = cells.groupBy(*group, "column", "value").agg(F.count(F.lit(1)).alias("n"))
-    known = F.col("value").isNotNull()
-    summary = counted.groupBy(*group, "column").agg(
-        F.sum(F.when(known, F.col("n")).otherwise(0)).alias("count"),
-        F.sum(F.when(known, 0).otherwise(F.col("n"))).alias("nulls"),
-        F.count("value").alias("unique"),
-    )
-    summary = summary.select(
+    kinds = dict(df.dtypes)
+    rows = F.count(F.lit(1)).alias("_rows")
+    found = [
+        F.struct(
+            F.lit(n).alias("column"),
+            F.count(F.col(f"`{n}`")).alias("count"),
+            *([F.approx_count_distinct(F.col(f"`{n}`")).alias("unique")] if approximate else []),
+        )
+        for n in names
+    ]
+    # one array per group, one element per column
+    counted = df.groupBy(*group).agg(rows, F.array(*found).alias("_found"))
+    counted = counted.select(*group, "_rows", F.inline("_found"))
+    if not approximate:
+        digests = [
+            F.when(
+                F.col(f"`{n}`").isNotNull(), F.struct(F.lit(n).alias("column"), _digest(df, n, kinds[n]).alias("_value"))
+            )
+            for n in names
+        ]
+        cells = df.select(*group, F.explode(F.array_compact(F.array(*digests))).alias("_cell"))
+        unique = cells.select(*group, "_cell.*").distinct().groupBy(*group, "column").agg(F.count(F.lit(1)).alias("unique"))
+        same = F.col("c.column") == F.col("u.column")
+        for g in group:
+            same = same & F.col(f"c.{g}").eqNullSafe(F.col(f"u.{g}"))
+        counted = counted.alias("c").join(unique.alias("u"), same, "left").select(
+            "c.*", F.coalesce("u.unique", F.lit(0)).alias("unique")
+        )
+    nulls = F.col("_rows") - F.col("count")
+    summary = counted.select(
         *group,
         "column",
         "count",
-        "nulls",
-        (F.col("nulls") * 100.0 / (F.col("count") + F.col("nulls"))).alias("null_pct"),
+        nulls.alias("nulls"),
+        F.try_divide(nulls * 100.0, F.col("_rows")).alias("null_pct"),
         "unique",
     )
     return summary.orderBy(*group, F.desc(order_by), "column") if order_by else summary

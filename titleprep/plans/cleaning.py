@@ -28,7 +28,7 @@ def _typed_for_median() -> dict:
 
 def typed(df: DataFrame) -> DataFrame:
     """Index columns dropped, sentinels to null, numbers typed and kept only within their range."""
-    df = rules.drop_present(df, *INDEX_COLUMNS)
+    df = df.drop(*INDEX_COLUMNS)
     lists = [c for c in SENTINEL_COLUMNS if c in df.columns]
     df = df.withColumns({c: rules.drop_sentinel(F.col(c)) for c in lists})
     return df.withColumns(

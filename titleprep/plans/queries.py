@@ -5,6 +5,8 @@ Doubles are rounded to six places on both sides.
 
 from __future__ import annotations
 
+import dataclasses
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from titleprep import scale
 from titleprep.functions import rules, text
 from titleprep.operators import dedup, encode, impute, lists, match, model, profile
+from titleprep.plans import jobs
 from titleprep.plans.cleaning import Cleaner, typed
 from titleprep.plans.enrichment import enrich_splits, match_splits
 from titleprep.plans.features import FeatureBuilder
@@ -316,6 +319,12 @@ def column_summary(spark, sf_dir):
     return summary.withColumn("null_pct", _round("null_pct"))
 
 
+@query(ORACLES["column_summary"])
+def column_summary_by_unique(spark, sf_dir):
+    summary = profile.column_summary(titles(spark, sf_dir), "split", order_by="unique")
+    return summary.withColumn("null_pct", _round("null_pct"))
+
+
 def _report_sql() -> str:
     year, runtime = _sql_int("startYear"), _sql_float("runtimeMinutes")
     items = [("rows", "total_rows", "count(*)")]
@@ -379,6 +388,19 @@ def csv_shards(spark, sf_dir):
     return readers.read_csv(spark, f"{path}/part-*.csv", multiline=False)
 
 
+@query(ORACLES["csv_shards"])
+def csv_mixed_shards(spark, sf_dir):
+    """Shards with columns in another order, one with an index column, read by one glob."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    path, third = scale.new_path(spark), F.col("c_custkey") % 3
+    writers.write_csv(rows.where(third == 0), f"{path}/first")
+    turned = rows.where(third == 1).select("c_mktsegment", "c_nationkey", "c_custkey", "c_name")
+    writers.write_csv(turned, f"{path}/second")
+    indexed = rows.where(third == 2).select(F.col("c_custkey").alias("column0"), "*")
+    writers.write_csv(indexed, f"{path}/third")
+    return readers.read_csv(spark, f"{path}/*/part-*.csv", multiline=False).drop("column0")
+
+
 @query("select event_id, event_type, cast(props->>'k' as integer) k from events")
 def record_json_rows(spark, sf_dir):
     events = table(spark, sf_dir, "events")
@@ -401,10 +423,19 @@ def columnar_json_rows(spark, sf_dir):
     documents, not larger ones, when the table grows.
     """
     pairs = table(spark, sf_dir, "orders").select(
-        F.floor(F.col("o_orderkey") / 1000).alias("document"),
-        F.struct("o_orderkey", tconst("o_orderkey").alias("movie"), person("o_custkey").alias("director")).alias("pair"),
+        "o_orderkey", tconst("o_orderkey").alias("movie"), person("o_custkey").alias("director")
+    )
+    path = scale.new_path(spark)
+    _columnar(pairs).write.json(path)
+    return readers.read_columnar_json(spark, path, "movie", "director", multiline=False)
+
+
+def _columnar(pairs: DataFrame) -> DataFrame:
+    """Columns ``movie`` and ``director`` as maps, one document per thousand order keys."""
+    packed = (
+        pairs.groupBy(F.floor(F.col("o_orderkey") / 1000).alias("document"))
+        .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "movie", "director"))).alias("p"))
     )
-    packed = pairs.groupBy("document").agg(F.sort_array(F.collect_list("pair")).alias("p"))
     # the two maps name their entries differently: only positions line up
     columns = {
         c: F.map_from_arrays(
@@ -413,9 +444,7 @@ def columnar_json_rows(spark, sf_dir):
         )
         for c, prefix in (("movie", "m"), ("director", "d"))
     }
-    path = scale.new_path(spark)
-    packed.select(*[e.alias(c) for c, e in columns.items()]).write.json(path)
-    return readers.read_columnar_json(spark, path, "movie", "director", multiline=False)
+    return packed.select(*[e.alias(c) for c, e in columns.items()])
 
 
 # cleaning ------------------------------------------------------------------
@@ -480,6 +509,26 @@ def impute_cont(spark, sf_dir):
     )
 
 
+_KNOWN_SQL = "case when rating_id % 5 = 0 then null else cast({c} as double) end"
+
+
+@query(
+    f"with {TITLES_SQL}, {RATINGS_SQL}, known as (select rating_id, "
+    + ", ".join(f"{_KNOWN_SQL.format(c=c)} {c}" for c in match.SCORES)
+    + " from ratings) select rating_id, "
+    + ", ".join(f"coalesce({c}, (select median({c}) from known)) {c}" for c in match.SCORES)
+    + " from known"
+)
+def impute_nan(spark, sf_dir):
+    """Scores as text, some of them the text NaN: missing like any other gap."""
+    nan = F.col("rating_id") % 5 == 0
+    rows = ratings(spark, sf_dir).withColumns(
+        {c: rules.to_double(F.when(nan, "NaN").otherwise(F.col(c).cast("string"))) for c in match.SCORES}
+    )
+    filled = impute.MedianImputer(match.SCORES, kind="cont").fit(rows).transform(rows)
+    return filled.select("rating_id", *match.SCORES)
+
+
 @query(f"with {TITLES_SQL}, {RATINGS_SQL} select rating_id, coalesce(genre, 'Unknown') genre from ratings")
 def impute_const(spark, sf_dir):
     return impute.fill_constant(ratings(spark, sf_dir).select("rating_id", "genre"), "Unknown", "genre")
@@ -494,6 +543,20 @@ def clean_titles(spark, sf_dir):
     return _clean(spark, sf_dir)
 
 
+_END_YEAR_SQL = f"case when {_sql_int('endYear')} between 1880 and 2025 then {_sql_int('endYear')} end"
+
+
+@query(
+    f"with {TITLES_SQL}, "
+    + CLEAN_SQL.replace(f"coalesce({_YEAR_SQL}, (", f"coalesce({_YEAR_SQL}, {_END_YEAR_SQL}, (")
+    + ' select tconst, "year", runtimeMinutes, numVotes from clean'
+)
+def clean_merge_first(spark, sf_dir):
+    raw = _written_titles(spark, sf_dir)
+    cleaned = Cleaner(year_order="merge_first").fit(_train(raw)).transform(raw)
+    return cleaned.select("tconst", "year", "runtimeMinutes", "numVotes")
+
+
 _LINE_ORDER = (
     "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,"
     " l_linestatus, l_shipdate"
@@ -558,9 +621,35 @@ def assemble_lists(spark, sf_dir):
         orders.select(key, "o_orderstatus"),
         lists.group_list(_writing(spark, sf_dir), "tconst", "writer", "writers"),
         lists.group_list(directing, "tconst", "director", "directors"),
+        even=True,
     )
 
 
+@query(
+    ORACLES["assemble_lists"].replace("t.o_orderstatus", "t.o_orderstatus, t.o_orderpriority").replace(
+        "tconst, o_orderstatus\n", "tconst, o_orderstatus, o_orderpriority\n"
+    )
+)
+def merge_sources(spark, sf_dir):
+    """Shards, records and columnar documents as files, merged to one table."""
+    orders = table(spark, sf_dir, "orders")
+    key, path = tconst("o_orderkey").alias("tconst"), scale.new_path(spark)
+    base = orders.select(key, "o_orderstatus", "o_orderpriority", "o_orderkey")
+    even = F.col("o_orderkey") % 2 == 0
+    writers.write_csv(base.where(even).drop("o_orderkey"), f"{path}/base/a")
+    writers.write_csv(
+        base.where(~even).select("o_orderpriority", "tconst", "o_orderstatus"), f"{path}/base/b"
+    )
+    writing = _writing(spark, sf_dir).withColumnRenamed("tconst", "movie")
+    writing.write.json(f"{path}/writing")
+    director = F.when(F.col("o_orderkey") % 29 != 0, person("o_custkey")).alias("director")
+    _columnar(orders.select("o_orderkey", tconst("o_orderkey").alias("movie"), director)).write.option(
+        "ignoreNullFields", False
+    ).json(f"{path}/directing")
+    rows = readers.read_csv(spark, f"{path}/base/*/part-*.csv", multiline=False)
+    return jobs.merge(spark, {"all": rows}, f"{path}/writing", f"{path}/directing", documents=False)["all"]
+
+
 # text ----------------------------------------------------------------------
 
 
@@ -620,7 +709,7 @@ def target_encode_single(spark, sf_dir):
 )
 def target_encode_multi(spark, sf_dir):
     rows = _written_titles(spark, sf_dir, "tconst", "writers", "label", "split")
-    encoder = encode.TargetEncoder("writers", "writer_success_rate", "writer_movie_count", multi=True)
+    encoder = encode.TargetEncoder("writers", "writer_success_rate", "writer_movie_count", multi=True, unique_rows=True)
     encoded = encoder.fit(_train(rows)).transform(rows)
     return encoded.select("tconst", _round("writer_success_rate"), _round("writer_movie_count"))
 
@@ -648,6 +737,15 @@ def multi_hot(spark, sf_dir):
     return encode.MultiHot("genre").fit(rows).transform(rows)
 
 
+@query(
+    f"with {TITLES_SQL}, {RATINGS_SQL} select distinct rating_id, unnest({_sql_tags('genre')}) tag"
+    " from ratings where genre is not null"
+)
+def multi_hot_long(spark, sf_dir):
+    rows = ratings(spark, sf_dir).select("rating_id", "genre")
+    return encode.MultiHot("genre").fit(rows).long(rows, "rating_id")
+
+
 @query(
     f"""with {TITLES_SQL}, {CLEAN_SQL}, {DIRECTORS_SQL.format(rows='clean')},
     {WRITERS_SQL.format(rows='clean')}
@@ -728,7 +826,7 @@ def match_fuzzy(spark, sf_dir):
 def match_fuzzy_names(spark, sf_dir):
     names = table(spark, sf_dir, "customer").select(F.lower("c_name").alias("name"), "c_nationkey")
     on = ("name", "c_nationkey")
-    return match.distinct_near_pairs(names, names, on, on)
+    return match.near_pairs(names, names, on, on)
 
 
 @query(
@@ -779,21 +877,110 @@ def enrich_encoded(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query(
+    f"""{MATCHED_SQL}, {DIRECTORS_SQL.format(rows='clean')}, {WRITERS_SQL.format(rows='clean')}
+    select c.tconst, c."year", c.runtimeMinutes, c.title_is_same, c.label, c.normalized_title,
+      round(cast(cast(ln(1 + c.numVotes) as float) as double), 4) log_numvotes,
+      round(d.director_success_rate, 6) director_success_rate,
+      round(d.director_movie_count, 6) director_movie_count,
+      round(w.writer_success_rate, 6) writer_success_rate,
+      round(w.writer_movie_count, 6) writer_movie_count,
+      case when e.tomatoMeter is null then 0 else 1 end has_rt_match,"""
+    + ", ".join(
+        f" round(coalesce(e.{c}, (select median({c}) from enriched where split = 'train')), 6) {c}"
+        for c in match.SCORES
+    )
+    + f", {_flags_sql('e.genre')} from clean c join enriched e on e.tconst = c.tconst"
+    " join director_rows d on d.tconst = c.tconst join writer_rows w on w.tconst = c.tconst"
+)
+def full_chain(spark, sf_dir):
+    """Cleaning, features, matching and encoding in one go."""
+    done = jobs.chain(_splits_for_jobs(_written_titles(spark, sf_dir)), ratings(spark, sf_dir))
+    rounded = [F.col(f"`genre_{t}`") for t in _TAGS]
+    rounded += [_round(c) for c in ("director_success_rate", "director_movie_count")]
+    rounded += [_round(c) for c in ("writer_success_rate", "writer_movie_count", *match.SCORES)]
+    rounded.append(F.round(F.col("log_numvotes").cast("double"), 4).alias("log_numvotes"))
+    plain = ("tconst", "year", "runtimeMinutes", "title_is_same", "label", "normalized_title", "has_rt_match")
+    parts = [done[name].select(*plain, *rounded) for name in jobs.SPLITS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _splits_for_jobs(rows: DataFrame) -> dict[str, DataFrame]:
+    return dict(zip(jobs.SPLITS, _splits(rows).values()))
+
+
 # model ---------------------------------------------------------------------
 
-_SMALL_SEARCH = model.TitleClassifier(depths=(2, 3), rounds=(3,), folds=2, parallelism=2)
+# one whole setting of the search; the search itself fits six of them five times over
+_ONE_SETTING = model.TitleClassifier(depths=(4,), rounds=(200,))
+
+
+@functools.lru_cache(maxsize=4)
+def _title_model(spark: SparkSession, sf_dir: str) -> tuple[model.TitleModel, DataFrame]:
+    """The fitted model and the features, once for the queries below."""
+    features = scale.reread(_features(spark, sf_dir))
+    return _ONE_SETTING.fit(_train(features)), features
 
 
 @query()
 def score_titles(spark, sf_dir):
-    features = scale.reread(_features(spark, sf_dir))
-    fitted = _SMALL_SEARCH.fit(_train(features))
+    fitted, features = _title_model(spark, sf_dir)
     return fitted.predictions(features.where("split <> 'train'"))
 
 
 @query()
 def feature_importance(spark, sf_dir):
-    return _SMALL_SEARCH.fit(_train(_features(spark, sf_dir))).importances(spark)
+    return _title_model(spark, sf_dir)[0].importances(spark)
+
+
+# a label that is an exact rule: trees must find it, and nothing else; gaps are filled with the median,
+# a year on the same side of the rule as the one named here
+_RULE_FEATURES = ("title_is_same", "year", "runtimeMinutes", "log_numvotes")
+
+
+def _rule_sql(year: str) -> str:
+    return f"primaryTitle = coalesce(originalTitle, primaryTitle) and coalesce({year}, 1998) >= 1997"
+
+
+@functools.lru_cache(maxsize=4)
+def _rule_model(spark: SparkSession, sf_dir: str) -> tuple[model.TitleModel, DataFrame]:
+    rows = typed(titles(spark, sf_dir))
+    same = rules.same(F.col("primaryTitle"), F.coalesce("originalTitle", "primaryTitle"))
+    rows = scale.reread(
+        rows.select(
+            "tconst",
+            "split",
+            same.alias("title_is_same"),
+            F.col("startYear").alias("year"),
+            "runtimeMinutes",
+            rules.log_count(F.col("numVotes")).alias("log_numvotes"),
+            ((same == 1) & (F.coalesce("startYear", F.lit(1998)) >= 1997)).alias("label"),
+        )
+    )
+    classifier = dataclasses.replace(_ONE_SETTING, features=_RULE_FEATURES)
+    return classifier.fit(_train(rows)), rows
+
+
+@query(
+    _over_titles(
+        f"select tconst, case when {_rule_sql(_YEAR_SQL)} then 'True' else 'False' end label"
+        " from titles where split <> 'train'"
+    )
+)
+def score_rule(spark, sf_dir):
+    """Predictions of held-out rows for a known rule, with gaps in all numbers."""
+    fitted, rows = _rule_model(spark, sf_dir)
+    return fitted.predictions(rows.where("split <> 'train'"))
+
+
+@query(
+    "select * from (values ('title_is_same', true), ('year', true), ('runtimeMinutes', false),"
+    " ('log_numvotes', false)) x(feature, matters)"
+)
+def importance_rule(spark, sf_dir):
+    """Only the columns of the rule have weight."""
+    weights = _rule_model(spark, sf_dir)[0].importances(spark)
+    return weights.select("feature", (F.round("importance", 6) > 0).alias("matters"))
 
 
 _ENCODED_SQL = (

@@ -54,7 +54,7 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
         table(spark, sf_dir, "orders")
         .withColumn("page_id", F.col("o_orderkey") % n_pages)
-        .join(pages.hint("merge"), "page_id")
+        .join(pages.hint("merge"), "page_id", "left")
         .join(_writer_lists(spark, sf_dir).hint("merge"), "o_orderkey", "left")
     )
     return rows.select(
@@ -129,7 +129,7 @@ titles as (
     case when o_orderkey % 10 < 8 then 'train' when o_orderkey % 10 = 8 then 'val'
          else 'test' end split
   from (select *, o_orderkey % (select max(page_id) + 1 from pages) page_id from orders) o
-  join page_titles p on p.page_id = o.page_id
+  left join page_titles p on p.page_id = o.page_id
   left join writer_lists w on w.k = o_orderkey)"""
 
 RATINGS_SQL = """

@@ -12,41 +12,49 @@ from __future__ import annotations
 import functools
 import json
 import math
-import tempfile
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType
 
 BROADCAST_BYTES = 32 << 20
-# a key is hot when it holds more than one row in HOT_SHARE (so fewer than HOT_SHARE keys are),
-# and too many rows for a single task to take without notice
-HOT_SHARE = 2_000
+# a key is hot when it holds more rows than a task has on average, and too many for a single
+# task to take without notice; the sketch finds keys above one row in HOT_SHARE
+HOT_SHARE = 20_000
 HOT_ROWS = 100_000
-_TRACKED_KEYS = 20_000
+_TRACKED_KEYS = 60_000
 _SKETCH_GROUPS = 256
 
 
-@functools.cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="titleprep-")
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that all executors share.
 
+    The one named in ``spark.checkpoint.dir``, else the context's checkpoint
+    folder, else the session's warehouse.
+    """
+    folder = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
+    return folder.rstrip("/")
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one in local mode only."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder(spark.conf.get("spark.app.id"))
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/titleprep/{spark.conf.get('spark.app.id')}"
 
 
 def new_path(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/titleprep/{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything that this application has stored; frames that read it are of no use after."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @dataclass(frozen=True)
@@ -70,15 +78,21 @@ def reread(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _size(field: StructField) -> Column:
+    """Bytes of a value beyond a fixed width."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (StringType, BinaryType)):
+        return F.octet_length(column)
+    if isinstance(field.dataType, (ArrayType, MapType, StructType)):
+        return F.octet_length(F.to_json(F.struct(column)))
+    return F.lit(0)
+
+
 def store(df: DataFrame, **values: Column) -> Stored:
     """Write ``df``, then measure it (and ``values``) in one pass over the written table."""
     table = reread(df)
-    text = [
-        F.coalesce(F.octet_length(f.name), F.lit(0))
-        for f in table.schema.fields
-        if isinstance(f.dataType, StringType)
-    ]
-    per_row = functools.reduce(lambda a, b: a + b, text, F.lit(16 * len(table.columns)))
+    sized = [F.coalesce(_size(f), F.lit(0)) for f in table.schema.fields]
+    per_row = functools.reduce(lambda a, b: a + b, sized, F.lit(16 * len(table.columns)))
     row = table.agg(
         F.count(F.lit(1)).alias("_rows"),
         F.coalesce(F.sum(per_row), F.lit(0)).alias("_bytes"),
@@ -93,7 +107,7 @@ def spread_scan(df: DataFrame) -> DataFrame:
     For costly expressions on few large row groups; a scan of many files stays as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def unmeasured(df: DataFrame) -> Stored:
@@ -119,11 +133,13 @@ def hot_keys(rows: DataFrame, keys: Sequence[str]) -> list[tuple[int | None, flo
     """Hashes of the hot keys, with their share of the rows; null stands for unknown keys.
 
     A frequent-items sketch finds them in one pass without a shuffle of the
-    rows.  At most HOT_SHARE entries come back.  The result only steers how
+    rows.  No more than the number of shuffle partitions come back.  The result only steers how
     rows are spread; it never changes what a join returns.
     """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = min(tasks, HOT_SHARE)
     sketch = f"approx_top_k_accumulate(_key, {_TRACKED_KEYS})"
-    merged = f"approx_top_k_estimate(approx_top_k_combine(_sketch, {_TRACKED_KEYS}), {HOT_SHARE})"
+    merged = f"approx_top_k_estimate(approx_top_k_combine(_sketch, {_TRACKED_KEYS}), {share})"
     found = (
         rows.select(_key_hash(keys).alias("_key"))
         .groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("_group"))
@@ -132,7 +148,7 @@ def hot_keys(rows: DataFrame, keys: Sequence[str]) -> list[tuple[int | None, flo
         .groupBy(F.lit("all"))
         .agg(F.expr(merged).alias("top"), F.sum("_n").alias("n"))
         .select("n", F.inline("top"))
-        .where((F.col("count") * HOT_SHARE > F.col("n")) & (F.col("count") >= HOT_ROWS))
+        .where((F.col("count") * share > F.col("n")) & (F.col("count") >= HOT_ROWS))
         .collect()
     )
     return [(r["item"], r["count"] / r["n"]) for r in found]
@@ -171,12 +187,13 @@ def lookup(
 def _spread_join(rows, tables, keys, hot, copies):
     """Rows of a hot key get one of several salts; its table row is repeated for each salt.
 
-    The number of salts follows the share of the key, so all repeated rows
-    together are at most one per shuffle partition plus one per hot key.
+    The number of salts follows the share of the key: four for each task's worth of
+    rows, which evens out where they land.  All repeated rows together are at most
+    four per shuffle partition plus one per hot key.
     """
     spark = rows.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salts = [(key, math.ceil(share * tasks) + 1) for key, share in hot if key is not None]
+    salts = [(key, math.ceil(4 * share * tasks) + 1) for key, share in hot if key is not None]
     hot_table = literal_table(spark, "_key bigint, _salts int", salts)
     if copies:
         # positions in a written table stay the same when a task is run again
@@ -185,7 +202,7 @@ def _spread_join(rows, tables, keys, hot, copies):
     else:
         hashable = [f"`{f.name}`" for f in rows.schema.fields if not isinstance(f.dataType, MapType)]
         place = F.xxhash64(*hashable)
-    spread = F.when(F.col("_key").isNull(), F.lit(tasks)).otherwise(F.coalesce("_salts", F.lit(1)))
+    spread = F.when(F.col("_key").isNull(), F.lit(4 * tasks)).otherwise(F.coalesce("_salts", F.lit(1)))
     salted = (
         rows.withColumns({"_key": _key_hash(keys), "_place": place})
         .join(F.broadcast(hot_table), "_key", "left")

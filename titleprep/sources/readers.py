@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +16,34 @@ Paths = str | Sequence[str]
 
 # what readers may call an unnamed first column
 INDEX_COLUMNS = ("column0", "_c0", "Unnamed: 0")
+_HEADERS_AT_ONCE = 16
 
 
 def text_schema(*names: str) -> StructType:
     return StructType([StructField(name, StringType()) for name in names])
 
 
+def _listed(paths: Paths) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
+def _by_header(spark: SparkSession, paths: Paths, reader) -> dict[tuple[str, ...], list[str]]:
+    """The files of ``paths`` by their column names; only the first line of each is read."""
+    files = sorted(spark.read.text(_listed(paths)).inputFiles())
+    with ThreadPoolExecutor(_HEADERS_AT_ONCE) as pool:
+        headers = list(pool.map(lambda file: tuple(reader().csv(_escaped(file)).columns), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers):
+        if header:
+            groups.setdefault(header, []).append(file)
+    return groups
+
+
+def _escaped(file: str) -> str:
+    """The name of one file as a path pattern that matches it alone."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
+
+
 def read_csv(
     spark: SparkSession,
     paths: Paths,
@@ -27,29 +53,51 @@ def read_csv(
 ) -> DataFrame:
     """One file, a folder, a glob or a list of these, as one table of text columns.
 
-    Without ``schema`` the column names come from the header line alone; no data
-    is scanned to guess types.  Quotes are doubled inside quoted fields.  A file
-    is read by one task while ``multiline`` is on, so turn it off for big files
-    whose fields hold no line breaks, or keep many shards.  An empty field is
-    null, quoted or not; with ``keep_empty`` a quoted one is the empty text.
+    Columns are matched by the header line of each file, so files may have them in
+    another order or lack some (null).  With ``schema`` its columns come back and no
+    others.  A row with more or fewer fields than its header is an error, also for a
+    query that needs only some columns.  Quotes are doubled inside quoted fields.  A
+    file is read by one task while ``multiline`` is on, so turn it off for big files
+    whose fields hold no line breaks, or keep many shards.  An empty field is null,
+    quoted or not; with ``keep_empty`` a quoted one is the empty text.
     """
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-    reader = reader.option("multiLine", multiline)
-    if keep_empty:
-        # any text that is not empty tells a missing field from a quoted empty one
-        reader = reader.option("nullValue", "\u0001").option("emptyValue", "")
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(paths if isinstance(paths, str) else list(paths))
+
+    def reader():
+        options = {"header": True, "quote": '"', "escape": '"', "multiLine": multiline}
+        if keep_empty:
+            # any text that is not empty tells a missing field from a quoted empty one
+            options |= {"nullValue": "\u0001", "emptyValue": ""}
+        return spark.read.options(**options)
+
+    tables = []
+    for header, files in _by_header(spark, paths, reader).items():
+        # without column pruning every row is checked in full
+        strict = reader().options(mode="FAILFAST", columnPruning=False).schema(text_schema(*header))
+        tables.append(strict.csv([_escaped(f) for f in files]))
+    if not tables:
+        return spark.createDataFrame([], schema or text_schema())
+    table = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    if schema is None:
+        return table
+    known = {c.lower(): c for c in table.columns}
+    return table.select(
+        *[
+            F.col(f"`{known[f.name.lower()]}`").cast(f.dataType).alias(f.name)
+            if f.name.lower() in known
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def read_records(
     spark: SparkSession, paths: Paths, schema: StructType | str, multiline: bool = False
 ) -> DataFrame:
-    """Records in JSON: one per line, or with ``multiline`` an array per file."""
-    return spark.read.schema(schema).json(
-        paths if isinstance(paths, str) else list(paths), multiLine=multiline
-    )
+    """Records in JSON: one per line, or with ``multiline`` an array per file.
+
+    A record that cannot be read is an error.
+    """
+    return spark.read.schema(schema).json(_listed(paths), multiLine=multiline, mode="FAILFAST")
 
 
 def read_columnar_json(
@@ -61,7 +109,7 @@ def read_columnar_json(
     per file (or one per line with ``multiline=False``), are read in parallel.
     """
     schema = ", ".join(f"`{c}` map<string,string>" for c in columns)
-    documents = read_records(spark, paths, schema, multiline).dropna("all")
+    documents = read_records(spark, paths, schema, multiline)
     values = [F.map_values(c).alias(c) for c in columns]
     lists = documents.select(*values)
     sizes = [F.coalesce(F.size(c), F.lit(0)) for c in columns]
