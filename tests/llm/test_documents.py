@@ -1,6 +1,6 @@
 """Operators on documents against plain versions, on texts that are hard in some way."""
 
-import brute
+from llm import brute
 import pytest
 
 from titleprep.llm.components import components

@@ -1,4 +1,4 @@
-import brute
+from llm import brute
 import pytest
 
 from titleprep.llm.pii import BASE_KINDS, PersonalData

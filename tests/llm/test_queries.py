@@ -1,6 +1,6 @@
 """The registered queries and the pipeline on the smallest tables."""
 
-import brute
+from llm import brute
 import pytest
 
 import __spark_entry__ as entry

@@ -1,6 +1,6 @@
 import math
 
-import brute
+from llm import brute
 import pytest
 
 from titleprep.llm.licenses import LicenseScan

@@ -2,7 +2,7 @@ import base64
 import random
 import zlib
 
-import brute
+from llm import brute
 import numpy as np
 import pytest
 
