@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from titleprep.llm.byte_bpe import ByteBpe
 from titleprep.llm.licenses import LicenseScan
 from titleprep.llm.line_dedup import LineDedup
+from titleprep.llm.oracles import ORACLES
 from titleprep.llm.packing import BestFitPacking
 from titleprep.llm.passages import RepeatedPassages
 from titleprep.llm.pii import BASE_KINDS, PersonalData
@@ -111,6 +112,7 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return BestFitPacking(tokenizer_path("word_bpe_49k.json"))(_table(spark, sf_dir, "documents"))
 
 
+# ORACLES holds the SQL of those that SQL can express
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": top_k,
     "op2_line_dedup": line_dedup,
@@ -123,4 +125,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_repeated_passages": repeated_passages,
     "op10_packing": packing,
 }
-ORACLES: dict[str, str] = {}
