@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,6 +20,13 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [v or b"" for v in values.cast(pa.binary()).to_pylist()]
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows``, so that little is held in Python at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def word_lists(data: bytes, size: int = _PIECE) -> Iterator[list[bytes]]:
     """The words of a text in lists of bounded size, cut only at white space."""
     at = 0

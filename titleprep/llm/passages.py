@@ -18,7 +18,8 @@ else, in another document or the same.
    different regions is not given to one task: its strings are counted by digest.
 4. The marks go back to the texts and the bytes are removed.
 
-Equal texts are handled once in each batch.
+Equal texts are handled once in each batch.  Only texts that are needed, by a Bloom
+filter of their digests, are shuffled; the others are read and passed on.
 """
 
 from __future__ import annotations
@@ -31,19 +32,21 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from titleprep.llm.common import slices
 from titleprep.llm.common import texts as texts_of
 from titleprep.llm.run_index import RunIndex
-from titleprep.llm.twice_seen import twice_seen
+from titleprep.llm.twice_seen import TwiceSeen, seen, twice_seen
 from titleprep.scale import reread
 
 _BUFFER = 1 << 20
 _PLACE_BITS = 21
 _BASE = 0x9E3779B97F4A7C15
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 1 << 20
 
 
 @functools.lru_cache(maxsize=2)
@@ -121,6 +124,20 @@ def _different(texts: list[bytes]) -> dict[bytes, list[int]]:
     return rows
 
 
+def _numbers(digests: list[bytes]) -> np.ndarray:
+    """The first half of 16-byte digests as numbers."""
+    return np.frombuffer(b"".join(digests), "<u8")[::2]
+
+
+def _filter_of(table: DataFrame, filter_bytes: int) -> Broadcast[TwiceSeen]:
+    """All digests in ``_text``."""
+
+    def hashes(batch):
+        yield np.unique(_numbers(batch.column(0).to_pylist()))
+
+    return table.sparkSession.sparkContext.broadcast(seen(table.select("_text"), hashes, filter_bytes))
+
+
 def _shared(group: list[tuple], span: int, word: int) -> list[tuple]:
     """Rows (.., strings, place, region) that have most of a string in common with another one.
 
@@ -164,19 +181,25 @@ class RepeatedPassages:
 
     span: int = 200
     word: int = 50
-    group: int = 20_000
-    filter_bytes: int = 32 << 20
+    group: int = 8_000
+    filter_bytes: int = 16 << 20
+    text_filter_bytes: int = 4 << 20
     id_col: str = "doc_id"
     text_col: str = "text"
 
-    def _texts(self, docs: DataFrame) -> DataFrame:
-        """``(_text, _ids, text)``: different texts of each batch with the ids of their rows."""
+    def _texts(self, docs: DataFrame, needed: Broadcast[TwiceSeen], inside: bool = True) -> DataFrame:
+        """``(_text, _ids, data)``: different texts of each batch with the ids of their rows.
+
+        Those that may be ``needed``, or those that are surely not.
+        """
         columns = docs.select(F.col(self.id_col).alias("_id"), F.col(self.text_col).alias("text"))
 
         def run(batches):
-            for batch in batches:
+            for batch in slices(batches):
                 texts = texts_of(batch, "text")
                 rows = _different(texts)
+                chosen = needed.value.suspects(_numbers(list(rows))) == inside
+                rows = {key: own for (key, own), use in zip(rows.items(), chosen.tolist()) if use}
                 ends = np.cumsum([0, *map(len, rows.values())])
                 ids = batch.column(0).take(pa.array([i for r in rows.values() for i in r], pa.int64()))
                 yield pa.RecordBatch.from_arrays(
@@ -201,20 +224,22 @@ class RepeatedPassages:
             rows = list(_different(texts).values())
             several = np.array([len(r) > 1 for r in rows], bool)
             for number, *_, found in regions([texts[r[0]] for r in rows], span, word):
-                yield found
-                yield found[several[number]]
+                # the least hashes are chosen, so their high bits are alike: mixed again
+                own = _mixed(found)
+                yield own
+                yield own[several[number]]
 
         seen = twice_seen(column, hashes, self.filter_bytes)
         shared = docs.sparkSession.sparkContext.broadcast(seen)
 
         def run(batches):
-            for batch in batches:
+            for batch in slices(batches):
                 texts = texts_of(batch, "text")
                 rows = _different(texts)
                 digests, places = list(rows), list(rows.values())
                 chosen = [texts[r[0]] for r in places]
                 for number, first, strings, place, found in regions(chosen, span, word):
-                    hit = shared.value.suspects(found)
+                    hit = shared.value.suspects(_mixed(found))
                     columns = [c[hit].tolist() for c in (number, first, strings, place)]
                     digest = [
                         xxhash.xxh3_64_intdigest(chosen[n][f : f + s + span - 1], p)
@@ -242,10 +267,12 @@ class RepeatedPassages:
             F.collect_list(F.struct("h", "d", "copies", "strings", "place", "first")).alias("_wanted")
         )
         span = self.span
-        joined = self._texts(docs).select("_text", "data").join(by_text, "_text").select("data", "_wanted")
+        needed = _filter_of(wanted, self.text_filter_bytes)
+        texts = self._texts(docs, needed).select("_text", "data")
+        joined = texts.join(by_text, "_text").select("data", "_wanted")
 
         def run(batches):
-            for batch in batches:
+            for batch in slices(batches):
                 rows = []
                 for data, wanted in zip(batch.column(0), batch.column(1)):
                     data = data.as_py()
@@ -355,7 +382,7 @@ class RepeatedPassages:
         )
         sizes = grouped.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
         largest = sizes.agg(F.max("_n")).first()[0] or 0
-        open_ = grouped.join(sizes, "h").select("h", "d", "copies", "_n", "_row.*")
+        open_ = reread(grouped.join(sizes, "h").select("h", "d", "copies", "_n", "_row.*"))
         found = self._indexed(self._fetched(docs, open_.where(F.col("_n") <= self.group)))
         if largest > self.group:
             large = self._fetched(docs, open_.where(F.col("_n") > self.group))
@@ -371,16 +398,19 @@ class RepeatedPassages:
     def __call__(self, docs: DataFrame) -> DataFrame:
         """``(id, n_bytes, n_removed, n_spans, kept)`` for every document; ``kept`` are its bytes."""
         anchors, marks = self.marks(docs)
-        by_text = (
+        by_text = reread(
             anchors.join(marks, ["h", "d"])
             .groupBy("_text")
             .agg(F.collect_set(F.struct("first", "starts", "stops")).alias("_marks"))
         )
         span = self.span
-        joined = self._texts(docs).join(by_text, "_text", "left").select("_ids", "data", "_marks")
+        needed = _filter_of(by_text, self.text_filter_bytes)
+        marked = self._texts(docs, needed).join(by_text, "_text", "left").select("_ids", "data", "_marks")
+        clean = self._texts(docs, needed, inside=False).select("_ids", "data")
+        joined = marked.unionByName(clean, allowMissingColumns=True)
 
         def run(batches):
-            for batch in batches:
+            for batch in slices(batches):
                 rows = []
                 for data, marks in zip(batch.column(1), batch.column(2)):
                     data = data.as_py()

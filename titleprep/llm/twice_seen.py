@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 _SEGMENTS = 256
-_FLUSH = 2_000_000
+_FLUSH = 1_000_000
 
 
 def _positions(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -38,12 +38,12 @@ def _packed(bits_set: np.ndarray, bits: int) -> bytes:
 
 
 def _unpacked(data: bytes, bits: int) -> np.ndarray:
-    """A bit map, one byte per bit."""
+    """The bit map, eight bits in a byte."""
     if data[:1] == b"m":
-        return np.unpackbits(np.frombuffer(data, np.uint8, offset=1), count=bits)
+        return np.frombuffer(data, np.uint8, offset=1)
     whole = np.zeros(bits, np.uint8)
     whole[np.frombuffer(data, "<u4", offset=1)] = 1
-    return whole
+    return np.packbits(whole)
 
 
 def _sketch(parts: list[np.ndarray], bits: int) -> pa.RecordBatch:
@@ -75,6 +75,18 @@ class TwiceSeen:
         return (hit[: len(hashes)] & hit[len(hashes) :]).astype(bool)
 
 
+def seen(
+    rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], filter_bytes: int
+) -> TwiceSeen:
+    """A filter of all hashes: as each is put in twice, nothing is missed."""
+
+    def twice(batch):
+        for part in hashes(batch):
+            yield np.tile(part, 2)
+
+    return twice_seen(rows, twice, filter_bytes)
+
+
 def twice_seen(
     rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], filter_bytes: int
 ) -> TwiceSeen:
@@ -101,16 +113,16 @@ def twice_seen(
         for batch in batches:
             for segment, once, twice in zip(*(c.to_pylist() for c in batch.columns)):
                 new = _unpacked(once, bits)
-                if segment not in seen:
-                    seen[segment] = [new, _unpacked(twice, bits)]
-                    continue
-                known = seen[segment]
-                known[1] |= _unpacked(twice, bits) | (known[0] & new)
-                known[0] |= new
+                again = _unpacked(twice, bits)
+                if segment in seen:
+                    known = seen[segment]
+                    again = known[1] | again | (known[0] & new)
+                    new = known[0] | new
+                seen[segment] = [new, again]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(list(seen), pa.int32()),
-                pa.array([np.packbits(both[1]).tobytes() for both in seen.values()], pa.binary()),
+                pa.array([again.tobytes() for _, again in seen.values()], pa.binary()),
             ],
             names=["segment", "twice"],
         )
