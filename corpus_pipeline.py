@@ -38,8 +38,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: shingles of five words, radius 3."""
-    return SimHashDedup(shingle=5).keep_one(docs)
+    """One document of each group of near duplicates: 0.8 or more of their five-word shingles in common."""
+    return SimHashDedup.for_similarity(0.8, shingle=5).keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from titleprep.llm.components import components
 from titleprep.llm.line_dedup import LineDedup
 from titleprep.llm.passages import RepeatedPassages
 from titleprep.llm.quality import CompressionBands
-from titleprep.llm.simhash import SimHashDedup, _forest
+from titleprep.llm.simhash import SimHashDedup, _forest, _near
 from titleprep.llm.twice_seen import twice_seen
 
 
@@ -74,8 +74,7 @@ def test_forest_connects_what_links_connect():
     centers = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
     near = [c ^ np.uint64(1 << int(a)) ^ np.uint64(1 << int(b)) for c in centers for a, b in rng.integers(0, 64, (5, 2))]
     prints = np.unique(np.array(near, np.uint64))
-    links = _forest(prints, prints, True, 3)
-    number = {int(p): i for i, p in enumerate(prints)}
+    links = _forest(prints[:, None], prints[:, None], True, 3)
     parent = list(range(len(prints)))
 
     def find(x):
@@ -84,12 +83,39 @@ def test_forest_connects_what_links_connect():
         return x
 
     for a, b in links:
-        parent[find(number[int(a)])] = find(number[int(b)])
+        parent[find(a)] = find(b)
     got, expected = [find(i) for i in range(len(prints))], brute.linked(prints.tolist(), 3)
     assert len(links) == len(prints) - len(set(expected))
     assert len({*zip(got, expected)}) == len(set(got)) == len(set(expected))
 
 
+def test_lanes_are_compared_together():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    a, b = (rng.integers(0, 1 << 63, (40, 4), dtype=np.uint64) for _ in range(2))
+    b[:10] = a[5:15] ^ rng.integers(0, 1 << 6, (10, 4), dtype=np.uint64)
+    apart = np.bitwise_count(a[:, None] ^ b[None]).sum(axis=2, dtype=int)
+    for radius in (0, 10, 100, 120):
+        i, j = _near(a, b, radius)
+        assert {*zip(i.tolist(), j.tolist())} == {*zip(*(x.tolist() for x in np.nonzero(apart <= radius)))}
+
+
+def test_similarity(prose, as_docs):
+    """Copies with a changed word in fifty are one group, with one in five they are not; clean texts stay."""
+    base = prose(1, 600).split()
+
+    def changed(every, seed):
+        return " ".join(f"{seed}x{i}" if i % every == seed % every else w for i, w in enumerate(base))
+
+    docs = [(1, " ".join(base)), (2, changed(50, 7)), (3, changed(60, 8)), (4, changed(5, 3))]
+    docs += [(10 + i, prose(100 + i, 300)) for i in range(40)]
+    kept = SimHashDedup.for_similarity(0.8).keep_one(as_docs(docs))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, *range(10, 50)]
+    found = SimHashDedup.for_similarity(0.8)
+    assert (found.shingle, found.lanes, found.radius) == (5, 4, 48)
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(200, 200), (7, 3), (3, 7)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}

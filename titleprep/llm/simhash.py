@@ -1,8 +1,9 @@
 """Near duplicates by SimHash, compared exactly tile by tile.
 
-1. Each document gets a 64-bit fingerprint: shingles of words (A-Z lower-cased,
-   joined by a space) are hashed with XXH64 (seed 42), repeats included; a bit is 1
-   when it is set in over half of the hashes.  No words: fingerprint zero.
+1. Each document gets a fingerprint of one or more lanes of 64 bits: shingles of words
+   (A-Z lower-cased, joined by a space) are hashed with XXH64 (seed 42), repeats
+   included; a bit is 1 when it is set in over half of the hashes.  Further lanes mix
+   the same hashes again.  No words: fingerprint zero.
 2. Distinct fingerprints are grouped by their number of set bits and dealt into
    tiles.  Two fingerprints within ``radius`` bits differ by at most ``radius`` in
    that number, so tile pairs further apart are never made.
@@ -11,10 +12,15 @@
    near copies gives edges in proportion to its size.
 4. Components of the forest are found by joins; every document gets the smallest
    document id that it reaches.
+
+How far apart two fingerprints are estimates how similar the sets of shingles are.
+One lane and a small radius find texts with few changes; ``for_similarity`` sets a
+radius for a share of common shingles, with more lanes for a sharper estimate.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -23,13 +29,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from titleprep.llm.common import free_name, texts, word_lists
 from titleprep.llm.components import components
 from titleprep.scale import reread
 
 _BITS = 64
+_MIX = 0x9E3779B97F4A7C15
 _SET = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _BLOCK = 32
 
@@ -46,31 +53,63 @@ def _hashes(words: list[bytes], size: int) -> np.ndarray:
     )
 
 
-def fingerprint(data: bytes, size: int) -> int:
-    """The fingerprint of a text as an unsigned number."""
-    counts, total, carried = np.zeros(_BITS, np.int64), 0, []
+def _lane(hashes: np.ndarray, lane: int) -> np.ndarray:
+    """The hashes themselves, or for further lanes other numbers that follow from them."""
+    if not lane:
+        return hashes
+    x = hashes + np.uint64(lane * _MIX % 2**64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(data: bytes, size: int, lanes: int = 1) -> list[int]:
+    """The lanes of a text's fingerprint as unsigned numbers."""
+    counts, total, carried = np.zeros((lanes, _BITS), np.int64), 0, []
+
+    def add(hashes: np.ndarray) -> None:
+        for lane in range(lanes):
+            octets = _lane(hashes, lane).astype("<u8").view(np.uint8).reshape(-1, 8)
+            for i in range(8):
+                counts[lane, 8 * i : 8 * i + 8] += np.bincount(octets[:, i], minlength=256) @ _SET
+
     for words in word_lists(data.lower()):
         words = carried + words
         if len(words) >= size:
             hashes = _hashes(words, size)
             total += len(hashes)
-            octets = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
-            for i in range(8):
-                counts[8 * i : 8 * i + 8] += np.bincount(octets[:, i], minlength=256) @ _SET
+            add(hashes)
             carried = words[len(words) - size + 1 :]
         else:
             carried = words
-    if not total:
-        return xxhash.xxh64_intdigest(b" ".join(carried), 42) if carried else 0
-    return sum(1 << i for i in np.flatnonzero(2 * counts > total).tolist())
+    if not total and carried:
+        total = 1
+        add(np.array([xxhash.xxh64_intdigest(b" ".join(carried), 42)], np.uint64))
+    return [sum(1 << i for i in np.flatnonzero(2 * own > total).tolist()) for own in counts]
+
+
+def _near(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of ``a`` and ``b`` at most ``radius`` bits apart."""
+    apart = np.bitwise_count(a[:, None, 0] ^ b[None, :, 0])
+    if a.shape[1] > 1:
+        # two lanes for all pairs, the others for those that are still near
+        apart = apart + np.bitwise_count(a[:, None, 1] ^ b[None, :, 1])
+    i, j = np.nonzero(apart <= radius)
+    if a.shape[1] > 2:
+        whole = np.bitwise_count(a[i] ^ b[j]).sum(axis=1, dtype=np.int64) <= radius
+        i, j = i[whole], j[whole]
+    return i, j
 
 
 def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest between two tiles (or within one)."""
+    """Links of a spanning forest between two tiles (or within one), as numbers of rows.
+
+    Rows of ``b`` are numbered after those of ``a``.
+    """
     size = len(a)
-    nodes = np.concatenate([a, b]) if not same else a
+    count = size if same else size + len(b)
     shift = 0 if same else size
-    root = np.arange(len(nodes))
+    root = np.arange(count)
     links: list[tuple[int, int]] = []
 
     def find(x: int) -> int:
@@ -80,10 +119,8 @@ def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[tuple
         return x
 
     for at in range(0, size, _BLOCK):
-        block = a[at : at + _BLOCK]
         first = at if same else 0
-        near = np.bitwise_count(block[:, None] ^ b[None, first:]) <= radius
-        i, j = np.nonzero(near)
+        i, j = _near(a[at : at + _BLOCK], b[first:], radius)
         i, j = i + at, j + first + shift
         while True:
             # many links lie within one tree already: only one link for each pair of trees is followed
@@ -92,7 +129,7 @@ def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[tuple
             if not apart.any():
                 break
             i, j, ri, rj = i[apart], j[apart], ri[apart], rj[apart]
-            _, one = np.unique(np.minimum(ri, rj) * len(nodes) + np.maximum(ri, rj), return_index=True)
+            _, one = np.unique(np.minimum(ri, rj) * count + np.maximum(ri, rj), return_index=True)
             for k in one.tolist():
                 x, y = find(int(i[k])), find(int(j[k]))
                 if x != y:
@@ -100,12 +137,12 @@ def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[tuple
                     links.append((int(i[k]), int(j[k])))
             while (root != root[root]).any():
                 root = root[root]
-    return [(nodes[x], nodes[y]) for x, y in links]
+    return links
 
 
 @dataclass(frozen=True)
 class SimHashDedup:
-    """``shingle`` words, ``radius`` differing bits, about ``tile`` fingerprints in a tile.
+    """``shingle`` words, ``lanes`` of 64 bits, ``radius`` differing bits, about ``tile`` fingerprints in a tile.
 
     Null, empty and blank text has fingerprint zero and is linked like any other.
     Equal texts share a fingerprint and so a component.  Rows that share an id keep
@@ -116,38 +153,61 @@ class SimHashDedup:
 
     shingle: int = 3
     radius: int = 3
+    lanes: int = 1
     tile: int = 16_384
     id_col: str = "doc_id"
     text_col: str = "text"
 
+    @classmethod
+    def for_similarity(cls, least: float, shingle: int = 5, lanes: int = 4, **more) -> SimHashDedup:
+        """A radius that holds pairs with at least this share of common shingles.
+
+        Two sets with that share differ in each bit with the probability angle / pi.
+        The radius is the mean number of such bits and 1.6 deviations more, so that 95 of
+        100 pairs right at the limit are linked, and nearly all pairs above it.
+        """
+        share = math.acos(2 * least / (1 + least)) / math.pi
+        bits = _BITS * lanes
+        radius = bits * share + 1.6 * math.sqrt(bits * share * (1 - share))
+        return cls(shingle=shingle, radius=round(radius), lanes=lanes, **more)
+
     def fingerprints(self, docs: DataFrame) -> DataFrame:
-        """``(id, _print)``; the fingerprint as a signed number."""
+        """``(id, _lanes, _node)``; the lanes as signed numbers, and one number for the whole."""
         columns = docs.select(self.id_col, self.text_col)
-        size, text_col = self.shingle, self.text_col
+        size, lanes, text_col = self.shingle, self.lanes, self.text_col
 
         def compute(batches):
             for batch in batches:
-                prints = np.array([fingerprint(t, size) for t in texts(batch, text_col)], np.uint64)
+                prints = [fingerprint(t, size, lanes) for t in texts(batch, text_col)]
+                flat = np.array(prints, np.uint64).reshape(-1, lanes)
+                node = flat[:, 0] if lanes == 1 else np.array(
+                    [xxhash.xxh3_64_intdigest(row.tobytes()) for row in flat], np.uint64
+                )
+                ends = pa.array(range(0, lanes * len(flat) + 1, lanes), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(prints.view(np.int64))], names=[self.id_col, "_print"]
+                    [
+                        batch.column(0),
+                        pa.ListArray.from_arrays(ends, pa.array(flat.reshape(-1).view(np.int64))),
+                        pa.array(node.view(np.int64)),
+                    ],
+                    names=[self.id_col, "_lanes", "_node"],
                 )
 
-        schema = StructType([columns.schema[self.id_col]]).add("_print", "long")
+        schema = StructType([columns.schema[self.id_col]]).add("_lanes", ArrayType(LongType())).add("_node", "long")
         return columns.mapInArrow(compute, schema)
 
     def links(self, prints: DataFrame) -> DataFrame:
-        """Edges ``(u, v)`` that connect all fingerprints within the radius; ``prints (_print)`` are distinct."""
-        radius = self.radius
-        counted = prints.withColumn("_ones", F.bit_count("_print"))
-        sizes = {r["_ones"]: r["count"] for r in counted.groupBy("_ones").count().collect()}  # 65 at most
-        tiles = [-(-sizes.get(n, 0) // self.tile) for n in range(_BITS + radius + 1)]
+        """Edges ``(u, v)`` of nodes that connect all within the radius; ``prints (_node, _lanes)`` are distinct."""
+        radius, lanes = self.radius, self.lanes
+        ones = F.aggregate("_lanes", F.lit(0), lambda n, lane: n + F.bit_count(lane))
+        counted = prints.withColumn("_ones", ones)
+        sizes = {r["_ones"]: r["count"] for r in counted.groupBy("_ones").count().collect()}  # one per number of bits
+        tiles = [-(-sizes.get(n, 0) // self.tile) for n in range(_BITS * lanes + radius + 1)]
         of = F.array(*map(F.lit, tiles))
         dealt = (
-            counted.withColumn(
-                "_part", F.pmod(F.xxhash64("_print"), F.get(of, F.col("_ones"))).cast("int")
-            )
+            counted.withColumn("_part", F.pmod(F.xxhash64("_node"), F.get(of, F.col("_ones"))).cast("int"))
             .groupBy("_ones", "_part")
-            .agg(F.collect_list("_print").alias("_tile"))
+            .agg(F.collect_list(F.struct("_node", "_lanes")).alias("_tile"))
         )
         dealt = reread(dealt)
 
@@ -172,15 +232,19 @@ class SimHashDedup:
             ((F.col("_ones") == F.col("_from_ones")) & (F.col("_part") == F.col("_from_part"))).alias("_same"),
         )
 
+        def read(tile):
+            rows = tile.values
+            node = rows.field("_node").to_numpy(zero_copy_only=False)
+            flat = rows.field("_lanes").flatten().to_numpy(zero_copy_only=False)
+            return node, np.ascontiguousarray(flat.reshape(-1, lanes)).view(np.uint64)
+
         def compare(batches):
             for batch in batches:
                 for k in range(batch.num_rows):
-                    a, b = (
-                        batch.column(c)[k].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                        for c in (0, 1)
-                    )
-                    found = _forest(a, b, batch.column(2)[k].as_py(), radius)
-                    ends = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
+                    (a_node, a), (b_node, b) = read(batch.column(0)[k]), read(batch.column(1)[k])
+                    same = batch.column(2)[k].as_py()
+                    node = a_node if same else np.concatenate([a_node, b_node])
+                    ends = node[np.array(_forest(a, b, same, radius), np.int64).reshape(-1, 2)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["u", "v"]
                     )
@@ -191,24 +255,25 @@ class SimHashDedup:
         """``(id, fingerprint, component_id)`` for every document."""
         id_col = self.id_col
         of_docs = reread(self.fingerprints(docs))
-        prints = reread(of_docs.groupBy("_print").agg(F.min(id_col).alias("_least")))
-        roots = components(self.links(prints.select("_print")))
-        grouped = prints.join(roots, prints["_print"] == roots["node"], "left").select(
-            "_print", "_least", F.coalesce("root", "_print").alias("_root")
+        prints = reread(
+            of_docs.groupBy("_node").agg(F.first("_lanes").alias("_lanes"), F.min(id_col).alias("_least"))
+        )
+        roots = components(self.links(prints.select("_node", "_lanes")))
+        grouped = prints.join(roots, prints["_node"] == roots["node"], "left").select(
+            "_node", "_least", F.coalesce("root", "_node").alias("_root")
         )
         least = grouped.groupBy("_root").agg(F.min("_least").alias("component_id"))
-        named = reread(grouped.join(least, "_root").select("_print", "component_id"))
-        return of_docs.join(named, "_print").select(
-            id_col,
-            F.lpad(F.lower(F.hex("_print")), 16, "0").alias("fingerprint"),
-            "component_id",
+        named = reread(grouped.join(least, "_root").select("_node", "component_id"))
+        digits = F.transform("_lanes", lambda lane: F.lpad(F.lower(F.hex(lane)), 16, "0"))
+        return of_docs.join(named, "_node").select(
+            id_col, F.array_join(digits, "").alias("fingerprint"), "component_id"
         )
 
     def keep_one(self, docs: DataFrame) -> DataFrame:
         """The documents, of each component only the one with the smallest id.
 
         Where a component has no ids at all, its documents stay.  Rows that share
-        the kept id and text are kept together.
+        the kept id are kept together.
         """
         found = self(docs).where(F.col(self.id_col).eqNullSafe(F.col("component_id")))
         name = free_name(docs, "_kept")
