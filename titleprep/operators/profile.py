@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from titleprep.functions import rules, text
 
-# Columns that may hold the sentinel, and the valid ranges.
+# Columns that may hold the sentinel, the valid ranges, and the names in the reports.
 SENTINEL_COLUMNS = ("startYear", "endYear", "runtimeMinutes", "writers", "directors")
 YEARS = (1880, 2025)
 RUNTIMES = (0, 600)
