@@ -30,9 +30,10 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 from titleprep.llm.common import add_columns
 
 _LONG = 512
-_PIECES = 50_000  # pieces in one query
-_IDS = 1_000_000  # ids in one query
-_REMEMBERED = 700_000
+_PIECES = 60_000  # pieces in one query
+_IDS = 300_000  # ids in one query
+_REMEMBERED = 900_000
+_ROWS = 2_000  # texts at a time
 _PLACE = (1 << 20) - 1
 
 # rows are (k, t): piece and place in one number, and the token there; d marks pieces that are done
@@ -84,7 +85,7 @@ class _Coder:
         self.single = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
         # an empty folder setting keeps the engine from writing to a local disk
         self.db = duckdb.connect(
-            ":memory:", config={"threads": 1, "memory_limit": "350MB", "temp_directory": ""}
+            ":memory:", config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""}
         )
         self._load("merges", {"pair": np.array(pairs, np.int64), "token": np.array(made, np.int64)})
         codes = pa.table({"id": pa.array(ranks.values(), pa.int32()), "code": [t.hex() for t in ranks]})
@@ -268,4 +269,4 @@ class ByteBpe:
         new = [StructField("ids", ArrayType(IntegerType()))]
         if decode:
             new.append(StructField("decoded", BinaryType()))
-        return add_columns(docs, run, StructType(new))
+        return add_columns(docs, run, StructType(new), _ROWS)

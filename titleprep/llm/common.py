@@ -59,9 +59,12 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def add_columns(
-    df: DataFrame, compute: Callable[[pa.RecordBatch], dict[str, pa.Array]], new: StructType
+    df: DataFrame,
+    compute: Callable[[pa.RecordBatch], dict[str, pa.Array]],
+    new: StructType,
+    rows: int = 1_000,
 ) -> DataFrame:
-    """``df`` with the columns that ``compute`` derives from each Arrow batch.
+    """``df`` with the columns that ``compute`` derives from Arrow batches of at most ``rows``.
 
     A column of ``df`` that has the name of a new one, in whatever case, is replaced.
     """
@@ -72,7 +75,7 @@ def add_columns(
     arrow = to_arrow_schema(target, prefers_large_types=False)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, rows):
             yield with_columns(batch, compute(batch), arrow)
 
     return df.mapInArrow(run, target)
