@@ -5,17 +5,21 @@ problem is a table of at most ``capacity`` counts, and a packing is a short list
 of fillings with the number of bins that use each.
 
 Best fit decreasing gives the first solution.  If it needs more bins than the sum
-of the sizes does, bin completion tries to save one: the largest item left is
+of the sizes does, bin completion tries to save some: the largest item left is
 completed by undominated fillings of its gap, least waste first, used as often as
-the counts allow; a branch ends when its waste exceeds what one bin less leaves
-over.  The best solution found stays.
+the counts allow; a branch ends when its waste exceeds what the bins tried for leave
+over.  The number of bins tried for is halved towards the lower bound.  The best
+solution found stays; the bounds on the search cost bins at worst, never items.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 
+_TRIES = 6
+_BRANCHES = 12
+
 Filling = tuple[tuple[int, int], ...]  # (size, how often), largest first
 
 
@@ -54,45 +58,38 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]
 def _completions(gap: int, sizes: list[int], counts: Counter, most: int) -> list[Filling]:
     """Fillings of ``gap``, least waste first; at most ``most`` steps of search.
 
-    ``sizes`` are the sizes left, largest first.  A filling is left out when an
-    item that it passes over still fits: the one with that item dominates it.
+    ``sizes`` are the sizes left, smallest first.  A filling ends only when nothing
+    left fits: one that stops before is dominated by the one that goes on.
     """
     found: list[tuple[int, int, Filling]] = []
     steps = 0
 
-    def search(gap: int, first: int, chosen: Filling) -> None:
+    def search(gap: int, below: int, chosen: Filling) -> None:
         nonlocal steps
         steps += 1
-        fits = first
-        low, high = first, len(sizes)
-        while low < high:  # the first size that fits
-            mid = (low + high) // 2
-            if sizes[mid] > gap:
-                low = mid + 1
-            else:
-                high = mid
-        fits = low
-        if fits == len(sizes) or gap == 0:
-            found.append((gap, sum(n for _, n in chosen), chosen))
-            return
-        for i in range(fits, min(len(sizes), fits + 12)):
-            if steps > most:
-                break
-            size = sizes[i]
+        place = bisect_right(sizes, gap, 0, below) - 1
+        tried = 0
+        while place >= 0 and tried < _BRANCHES and (steps <= most or not tried):
+            size = sizes[place]
             times = min(gap // size, counts[size])
             if times:
-                search(gap - times * size, i + 1, (*chosen, (size, times)))
-            if found and found[0][0] == 0:
-                break
+                tried += 1
+                search(gap - times * size, place, (*chosen, (size, times)))
+                if found[0][0] == 0:
+                    return
+            place -= 1
+        if not tried:
+            found.append((gap, sum(n for _, n in chosen), chosen))
+            found.sort()
 
-    search(gap, 0, ())
-    return [f for _, _, f in sorted(found)]
+    search(gap, len(sizes), ())
+    return [f for _, _, f in found]
 
 
 def completed(
-    counts: dict[int, int], capacity: int, bins: int, most: int = 200_000
+    counts: dict[int, int], capacity: int, bins: int, most: int = 300
 ) -> list[tuple[Filling, int]] | None:
-    """A packing with at most ``bins`` bins, or None if the search finds none in ``most`` steps."""
+    """A packing with at most ``bins`` bins, or None if the search turns back ``most`` times."""
     allowed = bins * capacity - sum(s * n for s, n in counts.items())
     if allowed < 0:
         return None
@@ -100,18 +97,15 @@ def completed(
     done: list[tuple[Filling, int]] = []
     # each level: what was taken there, and the other completions of the same largest item
     levels: list[tuple[Filling, int, list[Filling], int]] = []
-    waste, steps = 0, 0
-    order = sorted(left, reverse=True)
+    waste, turns = 0, 0
+    sizes = sorted(left)
     while True:
-        order = [s for s in order if left[s]]
-        if not order:
+        if not sizes:
             return done
-        largest = order[0]
+        largest = sizes[-1]
         left[largest] -= 1
-        sizes = [s for s in order if left[s]]
-        options = _completions(capacity - largest, sizes, left, 400)
+        options = _completions(capacity - largest, sizes, left, 150)
         left[largest] += 1
-        steps += 1 + len(options)
         options = [_with(largest, o) for o in options[:4]]
         while True:
             if options:
@@ -123,21 +117,24 @@ def completed(
                 if times:
                     for s, n in filling:
                         left[s] -= n * times
+                        if not left[s]:
+                            del sizes[bisect_left(sizes, s)]
                     waste += lost * times
                     done.append((filling, times))
                     levels.append((filling, times, options, lost))
                     break
                 options = []
-            # back to the level before, or out of steps
-            if not levels or steps > most:
+            # back to the level before
+            turns += 1
+            if not levels or turns > most:
                 return None
             filling, times, options, lost = levels.pop()
             done.pop()
             waste -= lost * times
             for s, n in filling:
+                if not left[s]:
+                    insort(sizes, s)
                 left[s] += n * times
-            order = sorted((s for s in left if left[s]), reverse=True)
-            steps += 1
 
 
 def _with(size: int, filling: Filling) -> Filling:
@@ -154,10 +151,13 @@ def pack(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]:
     best = best_fit(counts, capacity)
     least = -(-sum(s * n for s, n in counts.items()) // capacity)
     used = sum(n for _, n in best)
-    while used > least:
-        # straight to the lower bound first, then one bin less
-        better = completed(counts, capacity, least) or completed(counts, capacity, used - 1)
-        if better is None:
+    for _ in range(_TRIES):
+        if least >= used:
             break
-        best, used = better, sum(n for _, n in better)
+        tried = (least + used) // 2
+        better = completed(counts, capacity, tried)
+        if better is None:
+            least = tried + 1
+        else:
+            best, used = better, sum(n for _, n in better)
     return full + best
