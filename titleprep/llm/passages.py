@@ -43,8 +43,8 @@ from titleprep.llm.run_index import RunIndex
 from titleprep.llm.twice_seen import TwiceSeen, seen, twice_seen
 from titleprep.scale import reread
 
-_BUFFER = 1 << 20
-_PLACE_BITS = 21
+_BUFFER = 1 << 17
+_PLACE_BITS = 18
 _BASE = 0x9E3779B97F4A7C15
 _BATCH_BYTES = 1 << 20
 
@@ -142,17 +142,17 @@ def _shared(group: list[tuple], span: int, word: int) -> list[tuple]:
     """Rows (.., strings, place, region) that have most of a string in common with another one.
 
     The strings of a region have between 0 and ``span - word`` bytes before the
-    anchor; for each quarter of that range they share all bytes but a few.
+    anchor; for each eighth of that range they share all bytes but a few.
     """
     room = span - word
-    edges = [room * i // 4 for i in range(5)]
-    quarters = [(edges[i] + (i > 0), edges[i + 1]) for i in range(4)]
+    edges = [room * i // 8 for i in range(9)]
+    parts = [(edges[i] + (i > 0), edges[i + 1]) for i in range(8)]
     keys = []
     for *_, strings, place, region in group:
         keys.append(
             [
                 (i, region[place - fewest : place + span - most])
-                for i, (fewest, most) in enumerate(quarters)
+                for i, (fewest, most) in enumerate(parts)
                 if place - strings + 1 <= most and place >= fewest
             ]
         )

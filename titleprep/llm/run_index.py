@@ -26,7 +26,8 @@ def _suffixes(symbols: np.ndarray) -> np.ndarray:
         key = key << np.uint64(9) | padded[j : j + n]
     ends = np.flatnonzero(symbols == 0)
     key[ends] = 0
-    order = np.argsort(key, kind="stable")  # the ends first, in order of place
+    # the ends first and in order of place, so that equal strings end in one order at every depth
+    order = np.argsort(key, kind="stable")
     sorted_key = key[order]
     new = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])
     new[: len(ends) + 1] = True
@@ -42,7 +43,7 @@ def _suffixes(symbols: np.ndarray) -> np.ndarray:
             return order
         places = order[open_]
         sub = (rank[places] << 32) | rank[places + depth]
-        by = np.argsort(sub, kind="stable")
+        by = np.argsort(sub)
         order[open_] = places[by]
         sub = sub[by]
         differs = np.concatenate([[True], sub[1:] != sub[:-1]])
