@@ -3,6 +3,7 @@
 from llm import brute
 import pytest
 
+from titleprep.llm import simhash
 from titleprep.llm.components import components
 from titleprep.llm.line_dedup import LineDedup
 from titleprep.llm.passages import RepeatedPassages
@@ -53,7 +54,8 @@ def test_twice_seen_never_misses(spark):
 
 
 @pytest.mark.parametrize("tile", [4, 16_384])
-def test_simhash(hard_docs, as_docs, pairs, tile):
+def test_simhash(hard_docs, as_docs, pairs, tile, monkeypatch):
+    monkeypatch.setattr(simhash, "_PARTNERS", 2)
     expected = [(i, *found) for (i, _), found in zip(hard_docs, brute.simhash(hard_docs))]
     got = SimHashDedup(tile=tile)(as_docs(hard_docs))
     assert pairs(got, "doc_id", "fingerprint", "component_id") == in_order(expected)
