@@ -39,6 +39,7 @@ _BITS = 64
 _MIX = 0x9E3779B97F4A7C15
 _SET = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _BLOCK = 32
+_PARTNERS = 32  # tiles that meet one tile in one place
 
 
 def _hashes(words: list[bytes], size: int) -> np.ndarray:
@@ -219,14 +220,20 @@ class SimHashDedup:
                 parts, lambda p: F.struct((F.col("_ones") + gap).alias("_ones"), p.alias("_part"))
             )
 
+        # a tile has more partners on larger inputs: they meet it in several places
+        places = max(1, -(-sum(tiles) // _PARTNERS))
+        place = F.pmod(F.xxhash64("_ones", "_part"), F.lit(places)).alias("_place")
         gaps = F.sequence(F.lit(0), F.lit(radius))
         left = dealt.select(
             F.explode(F.flatten(F.transform(gaps, partners))).alias("_to"),
             F.col("_ones").alias("_from_ones"),
             F.col("_part").alias("_from_part"),
             F.col("_tile").alias("_from"),
-        ).select("_to._ones", "_to._part", "_from_ones", "_from_part", "_from")
-        pairs = left.join(dealt, ["_ones", "_part"]).select(
+            place,
+        ).select("_to._ones", "_to._part", "_place", "_from_ones", "_from_part", "_from")
+        right = dealt.withColumn("_place", F.explode(F.sequence(F.lit(0), F.lit(places - 1))))
+        right = right.withColumn("_place", F.col("_place").cast("long"))
+        pairs = left.join(right, ["_ones", "_part", "_place"]).select(
             "_from",
             "_tile",
             ((F.col("_ones") == F.col("_from_ones")) & (F.col("_part") == F.col("_from_part"))).alias("_same"),
