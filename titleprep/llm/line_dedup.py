@@ -31,7 +31,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from titleprep.llm.common import add_columns, free_name, texts
 from titleprep.llm.twice_seen import twice_seen
-from titleprep.scale import reread
+from titleprep.scale import lookup, reread, store
 
 _SPACE = b" \t\n\x0b\x0c\r"
 _hash = xxhash.xxh3_64_intdigest
@@ -105,15 +105,14 @@ class LineDedup:
     def drops(self, docs: DataFrame) -> DataFrame:
         """``(id, keys)``: what each document must drop."""
         suspects = reread(self.suspects(docs))
-        repeated = (
+        repeated = store(
             suspects.groupBy("_key")
             .agg(F.count(F.lit(1)).alias("_n"), F.max("_id").alias("_keeper"))
             .where(F.col("_n") >= self.min_docs)
-            .select("_key", "_keeper")
         )
         return (
-            suspects.join(repeated, "_key")
-            .where(~F.col("_id").eqNullSafe(F.col("_keeper")))
+            lookup(suspects, [repeated], ["_key"], copies=True)
+            .where(F.col("_n").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_keeper")))
             .groupBy("_id")
             .agg(F.collect_set("_key").alias("_drop"))
         )
