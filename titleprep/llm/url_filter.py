@@ -97,19 +97,20 @@ class UrlFilter:
             )
 
         sums = [F.sum(c).alias(c) for c in ("_yes", "_no")]
-        seen = endings(counted).groupBy("_k", "_seen").agg(*sums)
-        seen = seen.withColumn("_context", F.left("_seen", F.col("_k")))
-        contexts = seen.groupBy("_k", "_context").agg(
-            F.sum("_yes").alias("_yes_n"),
-            F.sum("_no").alias("_no_n"),
-            F.count_if(F.col("_yes") > 0).alias("_yes_types"),
-            F.count_if(F.col("_no") > 0).alias("_no_types"),
+        seen = store(endings(counted).groupBy("_k", "_seen").agg(*sums))
+        contexts = store(
+            seen.df.groupBy("_k", F.left("_seen", F.col("_k")).alias("_context")).agg(
+                F.sum("_yes").alias("_yes_n"),
+                F.sum("_no").alias("_no_n"),
+                F.count_if(F.col("_yes") > 0).alias("_yes_types"),
+                F.count_if(F.col("_no") > 0).alias("_no_types"),
+            )
         )
         wanted = endings(asked).withColumn("_context", F.left("_seen", F.col("_k")))
         fields = ("_yes", "_no", "_yes_n", "_no_n", "_yes_types", "_no_types")
+        # short contexts are those of very many strings
         found = (
-            wanted.join(seen.drop("_context"), ["_k", "_seen"], "left")
-            .join(contexts, ["_k", "_context"], "left")
+            lookup(lookup(wanted, [seen], ["_k", "_seen"]), [contexts], ["_k", "_context"])
             .groupBy("_gram")
             .agg(
                 F.array_sort(
