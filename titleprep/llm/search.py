@@ -37,12 +37,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from titleprep.llm.common import slices
 from titleprep.llm.common import texts as texts_of
 from titleprep.llm.common import word_lists
 from titleprep.scale import reread
 
 _BLOCK = 256
-_QUERIES = 128
+_QUERIES = 64
 _DENSE = 16  # words in more than one in so many documents of a shard are dense
 _CLUSTER_WORDS = 24
 
@@ -65,31 +66,48 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return first + np.arange(total)
 
 
+def _numbered(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes in order, and the number of each hash among them."""
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    new = np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)]
+    place = np.empty(len(hashes), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return hashes[new], place
+
+
 class Shard:
-    """The index of one shard.  ``docs`` are (terms, often, length), one for each distinct text."""
+    """The index of one shard.  ``docs`` are (terms, often, length), one for each distinct text; they are used up."""
 
     def __init__(self, docs: list[tuple], mean: float, k1: float, b: float):
         sizes = np.array([len(d[0]) for d in docs])
-        terms, place = np.unique(np.concatenate([d[0] for d in docs]), return_inverse=True)
-        often = np.concatenate([d[1] for d in docs]).astype(np.float64)
-        lengths = np.array([d[2] for d in docs], np.float64)
-        impact = often * (k1 + 1) / (often + k1 * (1 - b + b * np.repeat(lengths, sizes) / mean))
+        count = len(docs)
+        self.k1 = k1
+        self.damping = k1 * (1 - b + b * np.array([d[2] for d in docs], np.float64) / mean)
+        # by document, for the final scores
+        self.of_doc = np.concatenate([[0], np.cumsum(sizes)])
+        self.often = np.concatenate([d[1] for d in docs])
+        hashes = np.concatenate([d[0] for d in docs])
+        docs.clear()
+        terms, place = _numbered(hashes)
+        del hashes
+        self.place = place
+        damping = np.repeat(self.damping.astype(np.float32), sizes)
+        impact = self._impact(self.often.astype(np.float32), damping).astype(np.float32)
+        del damping
         spread = np.bincount(place, minlength=len(terms))
         # similar documents into the same blocks: by which of the most common words they have
         common = np.argsort(-spread, kind="stable")[:_CLUSTER_WORDS]
-        owner = np.repeat(np.arange(len(docs)), sizes)
-        signature = np.zeros(len(docs), np.int64)
+        owner = np.repeat(np.arange(count, dtype=np.int32), sizes)
+        signature = np.zeros(count, np.int64)
         for bit, term in enumerate(common[::-1].tolist()):
             signature[owner[place == term]] |= 1 << bit
-        self.order = np.lexsort((np.arange(len(docs)), signature))
-        rank = np.empty(len(docs), np.int64)
-        rank[self.order] = np.arange(len(docs))
-        self.n = len(docs)
+        self.order = np.lexsort((np.arange(count), signature))
+        rank = np.empty(count, np.int32)
+        rank[self.order] = np.arange(count)
+        self.n = count
         self.blocks = -(-self.n // _BLOCK)
         self.terms = terms
-        # by document, for the final scores
-        self.of_doc = np.concatenate([[0], np.cumsum(sizes)])
-        self.place, self.impact = place, impact
         # frequent words as a matrix
         self.dense_number = np.full(len(terms), -1)
         dense = np.flatnonzero(spread * _DENSE > self.n)
@@ -99,10 +117,14 @@ class Shard:
         hit = column >= 0
         self.matrix[rank[owner[hit]], column[hit]] = impact[hit]
         # the others as posting lists in order of word and document
-        rest = np.flatnonzero(~hit)
-        rest = rest[np.lexsort((rank[owner[rest]], place[rest]))]
+        rest = np.flatnonzero(~hit).astype(np.int32)
+        del hit, column
+        key = place[rest].astype(np.int64) << 32
+        key |= rank[owner[rest]]
+        rest = rest[np.argsort(key)]
+        del key
         self.docs = rank[owner[rest]]
-        self.impacts = impact[rest].astype(np.float32)
+        self.impacts = impact[rest]
         # runs of one word in one block, with their greatest impact
         word, block = place[rest], self.docs // _BLOCK
         new = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (block[1:] != block[:-1])])[: len(rest)])
@@ -111,6 +133,9 @@ class Shard:
         self.run_most = np.maximum.reduceat(self.impacts, new) if len(new) else self.impacts
         self.first_run = np.searchsorted(word[new], np.arange(len(terms) + 1))
 
+    def _impact(self, often: np.ndarray, damping) -> np.ndarray:
+        return often * (self.k1 + 1) / (often + damping)
+
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each (terms, weights): its number, the documents that may be among the k best, their scores."""
         known = []
@@ -166,7 +191,8 @@ class Shard:
             span = slice(self.of_doc[doc], self.of_doc[doc + 1])
             place = self.place[span]
             hit = value[place] > 0
-            out.append(math.fsum((value[place[hit]] * self.impact[span][hit]).tolist()))
+            impact = self._impact(self.often[span][hit], self.damping[doc])
+            out.append(math.fsum((value[place[hit]] * impact).tolist()))
         return np.array(out)
 
 
@@ -196,7 +222,7 @@ class TopK:
     k: int = 10
     k1: float = 1.2
     b: float = 0.75
-    shard_docs: int = 32_768
+    shard_docs: int = 16_384
     id_col: str = "doc_id"
     text_col: str = "text"
 
@@ -205,7 +231,7 @@ class TopK:
         columns = docs.select(F.col(self.id_col).cast("long").alias("_id"), F.col(self.text_col).alias("text"))
 
         def run(batches):
-            for batch in batches:
+            for batch in slices(batches):
                 rows: dict[bytes, list] = {}
                 texts = texts_of(batch, "text")
                 for id_, data in zip(batch.column(0).to_pylist(), texts):
@@ -228,22 +254,30 @@ class TopK:
 
         return columns.mapInArrow(run, _BAGS)
 
-    def _terms(self, bags: DataFrame) -> DataFrame:
-        """``(_term, _copies)`` once for each distinct word of each text."""
+    def _statistics(self, docs: DataFrame) -> DataFrame:
+        """``(_term, _n)``: documents with each word; in the row without a word all documents and ``_words``."""
 
         def run(batches):
             for batch in batches:
                 words = [np.frombuffer(t.as_py(), "<i8") for t in batch.column(0)]
-                copies = np.repeat(batch.column(1).to_numpy(), [len(w) for w in words])
+                copies, length = (batch.column(i).to_numpy() for i in (1, 2))
+                counted = np.repeat(copies, [len(w) for w in words])
+                flat = np.concatenate(words) if words else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(words) if words else np.zeros(0, np.int64)), pa.array(copies)],
-                    names=["_term", "_copies"],
+                    [
+                        pa.concat_arrays([pa.array(flat), pa.nulls(1, pa.int64())]),
+                        pa.array(np.append(counted, copies.sum())),
+                        pa.concat_arrays([pa.nulls(len(flat), pa.int64()), pa.array([int((copies * length).sum())])]),
+                    ],
+                    names=["_term", "_n", "_words"],
                 )
 
-        return bags.select("_terms", "_copies").mapInArrow(run, "_term long, _copies long")
+        bags = self._bags(docs, 0).select("_terms", "_copies", "_length")
+        rows = bags.mapInArrow(run, "_term long, _n long, _words long")
+        return rows.groupBy("_term").agg(F.sum("_n").alias("_n"), F.sum("_words").alias("_words"))
 
-    def _weighted(self, bags: DataFrame, queries: DataFrame, documents: int) -> DataFrame:
-        """``(_text, _terms, _weights)`` of distinct queries; words that no document has are left out."""
+    def _counted(self, found: DataFrame, queries: DataFrame) -> DataFrame:
+        """``(_text, _words)``: the words of distinct queries that some document has, with their counts."""
 
         def run(batches):
             for batch in batches:
@@ -259,36 +293,33 @@ class TopK:
                 )
 
         asked = queries.select("_text", "_terms").mapInArrow(run, "_text binary, _term long")
-        found = self._terms(bags).groupBy("_term").agg(F.sum("_copies").alias("_n"))
-        n = F.col("_n")
-        weight = F.log(1 + (documents - n + 0.5) / (n + 0.5))
         # unsigned order, which is that of the hashes
         place = F.col("_term").bitwiseXOR(F.lit(-(1 << 63)))
         return (
-            asked.join(found, "_term")
+            asked.join(found.select("_term", "_n"), "_term")
             .groupBy("_text")
-            .agg(F.sort_array(F.collect_set(F.struct(place.alias("p"), weight.alias("w")))).alias("_words"))
+            .agg(F.sort_array(F.collect_set(F.struct(place.alias("p"), F.col("_n").alias("n")))).alias("_words"))
         )
 
     def __call__(self, docs: DataFrame, queries: DataFrame) -> DataFrame:
         spark = docs.sparkSession
         k, k1, b = self.k, self.k1, self.b
-        bags = reread(self._bags(docs, k))
         asked = reread(self._bags(queries, None))
-        total = bags.agg(F.sum("_copies").alias("n"), F.sum(F.col("_copies") * F.col("_length")).alias("words")).first()
-        documents = total["n"] or 0
-        mean = max((total["words"] or 0) / max(documents, 1), 1.0)
+        found = reread(self._statistics(docs))
+        total = found.where("_term is null").first()
+        documents = total["_n"] if total else 0
+        mean = max(total["_words"] / documents, 1.0) if documents else 1.0
         shards = max(1, -(-documents // self.shard_docs))
-        weighted = reread(self._weighted(bags, asked, documents))
+        counted = reread(self._counted(found, asked))
 
         shard = F.pmod(F.xxhash64("_text"), F.lit(shards)).cast("int")
-        empty = F.array().cast("array<struct<p:long,w:double>>")
-        indexed = bags.select(
+        empty = F.array().cast("array<struct<p:long,n:long>>")
+        indexed = self._bags(docs, k).select(
             shard.alias("_shard"), F.lit(0).alias("_kind"), "_text", "_ids", "_terms", "_often", "_length",
             empty.alias("_words"),
         )
         none = F.lit(None)
-        streamed = weighted.select(
+        streamed = counted.select(
             F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_shard"),
             F.lit(1).alias("_kind"),
             "_text",
@@ -304,7 +335,8 @@ class TopK:
             for _, words in batch:
                 flat = words.values
                 place = flat.field("p").to_numpy().view(np.uint64) ^ np.uint64(1 << 63)
-                queries.append((place, flat.field("w").to_numpy()))
+                n = flat.field("n").to_numpy()
+                queries.append((place, np.log(1 + (documents - n + 0.5) / (n + 0.5))))
             rows = []
             for number, found, scores in index.search(queries, k):
                 for doc, score in zip(found.tolist(), scores.tolist()):
@@ -343,8 +375,10 @@ class TopK:
                         if not held:
                             continue
                         ids = [sorted(o)[:k] for o, _ in held.values()]
-                        index = Shard([d for _, d in held.values()], mean, k1, b)
+                        docs = [d for _, d in held.values()]
+                        # not empty, as the queries that follow must see that there was something
                         held = {None: None}
+                        index = Shard(docs, mean, k1, b)
                     waiting.append((text[i].as_py(), words[i]))
                     if len(waiting) == _QUERIES:
                         yield results(index, ids, waiting)
@@ -353,7 +387,8 @@ class TopK:
                 yield results(index, ids, waiting)
 
         # one shard in a partition; its documents come before the queries
-        dealt = indexed.union(streamed).repartitionByRange(shards, "_shard").sortWithinPartitions("_shard", "_kind")
+        dealt = indexed.union(streamed).repartitionById(shards, F.col("_shard"))
+        dealt = dealt.sortWithinPartitions("_shard", "_kind")
         found = dealt.mapInArrow(run, "_text binary, _ids array<long>, score double")
         best = Window.partitionBy("_text").orderBy(F.col("score").desc(), "doc_id")
         ranked = (
