@@ -1,0 +1,66 @@
+"""The near-duplicate stage against the exact share of common shingles of all pairs."""
+
+from llm import brute
+
+import corpus_pipeline
+from titleprep.llm.near_duplicates import NearDuplicates
+
+
+def shingle_sets(docs, size=5):
+    out = []
+    for _, text in docs:
+        own = brute.words((text or "").translate(brute.LOWER))
+        out.append({tuple(own[i : i + size]) for i in range(len(own) - size + 1)} or ({tuple(own)} if own else set()))
+    return out
+
+
+def kept(docs, least=0.8):
+    """The ids that are the smallest of a group of near duplicates."""
+    sets, root = shingle_sets(docs), list(range(len(docs)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a == sets[j] or len(a & sets[j]) >= least * len(a | sets[j]):
+                root[find(i)] = find(j)
+    smallest = {}
+    for i, (id_, _) in enumerate(docs):
+        if id_ is not None:
+            smallest[find(i)] = min(smallest.get(find(i), id_), id_)
+    return {smallest.get(find(i)) for i in range(len(docs))}
+
+
+def changed(base, share, seed):
+    """``base`` with a share of words replaced, one in ``1 / share``."""
+    every = round(1 / share)
+    return " ".join(f"{seed}x{i}" if i % every == seed % every else w for i, w in enumerate(base))
+
+
+def test_only_documents_with_the_share_are_linked(prose, as_docs, hard_docs):
+    docs = list(hard_docs)
+    for k in range(12):
+        base = prose(200 + k, 400).split()
+        docs.append((1_000 + 100 * k, " ".join(base)))
+        # one word in n changed leaves about (n - 5) / (n + 5) of the shingles in common
+        docs += [(1_000 + 100 * k + n, changed(base, 1 / n, n)) for n in (20, 24, 28, 34, 40, 46, 52, 70)]
+    # many repeats of one passage, few of which the other text has: the sets are nearly equal
+    many = prose(300, 200)
+    docs += [(5_000, f"{many} " + "same words again and again " * 400), (5_001, f"{many} " + "same words again and again " * 2)]
+    docs += [(6_000 + i, t) for i, t in enumerate(("a b c d e f g h", "a b c d e f g h i", "a b c d", "A b c d", "a b c"))]
+    # tiles of 8 meet in many places, and only part of the pairs share a least hash
+    for tile in (8, 16_384):
+        got = {r["doc_id"] for r in NearDuplicates(tile=tile).keep_one(as_docs(docs)).collect()}
+        assert got == kept(docs), tile
+
+
+def test_stage_keeps_documents_below_the_share(spark, prose):
+    """Two thirds of the shingles in common is less than the stage says."""
+    base = prose(7, 600).split()
+    docs = [(1, " ".join(base)), (2, changed(base, 1 / 28, 3)), (3, changed(base, 1 / 70, 5))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, frame, "").collect()}
+    assert got == kept(docs) == {1, 2}

@@ -1,0 +1,214 @@
+"""Near duplicates by the exact share of common shingles.
+
+1. Each document gets the set of hashes of its shingles (``simhash.shingles``), and of
+   the set a number (equal sets are one node), its size, the least hash of each lane
+   and a fingerprint.
+2. Nodes with a least hash in common are checked against the smallest node of theirs.
+   That joins the large groups with links in proportion to their size.
+3. The fingerprints are compared tile by tile (``SimHashDedup.meetings``) within a wide
+   radius.  All pairs that are not joined yet and whose sizes allow it are checked.
+4. A check reads the sets of both nodes and counts what they have in common.  Only
+   pairs with the share asked for are links, and components are formed of those.
+
+The radius is the mean distance of pairs right at the share and five deviations more:
+one such pair in some millions is not looked at, one in a thousand where texts have only
+four or five shingles.  A pair below the share is never a link.
+"""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
+
+from titleprep.llm.common import texts
+from titleprep.llm.components import components
+from titleprep.llm.simhash import SimHashDedup, _near, least_ids, least_of_each, mixed, print_of, shingles
+from titleprep.scale import Stored, lookup, reread, store
+
+_BLOCK = 32
+
+
+def shingle_set(data: bytes, size: int) -> np.ndarray:
+    """The different hashes of a text's shingles, in order."""
+    parts = list(shingles(data, size))
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
+def _node(own: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(own.astype("<u8").tobytes())
+
+
+def _longs(rows: list, lanes: int) -> pa.Array:
+    flat = np.array(rows, np.uint64).reshape(-1, lanes)
+    ends = pa.array(range(0, lanes * len(flat) + 1, lanes), pa.int32())
+    return pa.ListArray.from_arrays(ends, pa.array(flat.reshape(-1).view(np.int64)))
+
+
+@dataclass(frozen=True)
+class NearDuplicates:
+    """Documents that share at least ``least`` of their different shingles, and what such pairs connect.
+
+    The share is that of the common shingles among all of both.  Texts of fewer words
+    than a shingle are one shingle.  Null, empty and blank texts are equal to each other
+    and to nothing else.  Ids are handled as in ``SimHashDedup``.  An empty table gives
+    an empty table.
+    """
+
+    least: float = 0.8
+    shingle: int = 5
+    lanes: int = 4
+    tile: int = 16_384
+    id_col: str = "doc_id"
+    text_col: str = "text"
+
+    @property
+    def radius(self) -> int:
+        bits, share = 64 * self.lanes, math.acos(2 * self.least / (1 + self.least)) / math.pi
+        return math.ceil(bits * share + 5 * math.sqrt(bits * share * (1 - share)))
+
+    def sketches(self, docs: DataFrame) -> DataFrame:
+        """``(id, _node, _size, _lanes, _mins)`` of each document's set."""
+        columns = docs.select(self.id_col, self.text_col)
+        size, lanes, text_col = self.shingle, self.lanes, self.text_col
+
+        def compute(batches):
+            for batch in batches:
+                nodes, sizes, prints, mins = [], [], [], []
+                for text in texts(batch, text_col):
+                    own = shingle_set(text, size)
+                    nodes.append(_node(own))
+                    sizes.append(len(own))
+                    prints.append(print_of([own], lanes))
+                    mins.append([int(mixed(own, k).min()) if len(own) else 0 for k in range(lanes)])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0),
+                        pa.array(np.array(nodes, np.uint64).view(np.int64)),
+                        pa.array(sizes, pa.int64()),
+                        _longs(prints, lanes),
+                        _longs(mins, lanes),
+                    ],
+                    names=[batch.schema.names[0], "_node", "_size", "_lanes", "_mins"],
+                )
+
+        schema = StructType([columns.schema[self.id_col]]).add("_node", "long").add("_size", "long")
+        schema = schema.add("_lanes", ArrayType(LongType())).add("_mins", ArrayType(LongType()))
+        return columns.mapInArrow(compute, schema)
+
+    def _sets(self, docs: DataFrame, nodes: DataFrame) -> Stored:
+        """``(_node, _set)`` of ``nodes (_node, _least)``; the texts are read from the documents with those ids."""
+        size, text_col, id_col = self.shingle, self.text_col, self.id_col
+        ids = nodes.select(F.col("_least").alias("_wanted")).distinct()
+        held = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias(text_col))
+        held = held.join(ids, F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi").select(text_col)
+
+        def compute(batches):
+            for batch in batches:
+                for text in texts(batch, text_col):
+                    own = shingle_set(text, size)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.array([_node(own)], np.uint64).view(np.int64)),
+                            pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), pa.array(own.view(np.int64))),
+                        ],
+                        names=["_node", "_set"],
+                    )
+
+        found = held.mapInArrow(compute, StructType().add("_node", "long").add("_set", ArrayType(LongType())))
+        # several documents may have one of the ids, and several texts one set
+        found = found.join(nodes.select("_node"), "_node", "left_semi")
+        table = reread(found.groupBy("_node").agg(F.first("_set").alias("_set")))
+        row = table.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("_set")), F.lit(0)).alias("hashes")).first()
+        return Stored(table, row["n"], 32 * row["n"] + 8 * row["hashes"])
+
+    def confirmed(self, docs: DataFrame, prints: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Those of the written ``pairs (u, v)`` of nodes that share enough."""
+        ends = pairs.select(F.explode(F.array("u", "v")).alias("_node")).distinct()
+        nodes = reread(prints.select("_node", "_least").join(ends, "_node", "left_semi"))
+        sets = self._sets(docs, nodes)
+
+        def of(end):
+            renamed = sets.df.select(F.col("_node").alias(end), F.col("_set").alias(f"_{end}"))
+            return [Stored(renamed, sets.rows, sets.bytes)]
+
+        both = lookup(lookup(pairs, of("u"), ["u"]), of("v"), ["v"])
+        common = F.size(F.array_intersect("_u", "_v"))
+        share = common / (F.size("_u") + F.size("_v") - common)
+        return reread(both.where(share >= self.least).select("u", "v"))
+
+    def _may(self, a, b):
+        """Whether sets of these sizes can share enough."""
+        return F.least(a, b) >= self.least * F.greatest(a, b) - 1e-6
+
+    def _by_least_hash(self, prints: DataFrame) -> DataFrame:
+        """Pairs of a node and the smallest one that has a least hash in common with it."""
+        own = prints.where("_size > 0").select("_node", "_size", F.posexplode("_mins").alias("_slot", "_min"))
+        hubs = own.groupBy("_slot", "_min").agg(
+            F.min(F.struct(F.col("_node").alias("node"), F.col("_size").alias("size"))).alias("_hub"),
+            F.count(F.lit(1)).alias("_n"),
+        )
+        hubs = hubs.where("_n > 1").select("_slot", "_min", F.col("_hub.node").alias("v"), F.col("_hub.size").alias("_of"))
+        met = lookup(own, [store(hubs)], ["_slot", "_min"]).where("v is not null and v <> _node")
+        return met.where(self._may(F.col("_size"), F.col("_of"))).select(F.col("_node").alias("u"), "v").distinct()
+
+    def _by_distance(self, prints: DataFrame) -> DataFrame:
+        """All pairs within the radius that differ in ``_root``; ``prints (_node, _lanes, _size, _root)``."""
+        radius, lanes, least = self.radius, self.lanes, self.least
+        tiles = SimHashDedup(shingle=self.shingle, radius=radius, lanes=lanes, tile=self.tile)
+
+        def read(tile):
+            rows = tile.values
+            node, size, root = (rows.field(n).to_numpy(zero_copy_only=False) for n in ("_node", "_size", "_root"))
+            flat = rows.field("_lanes").flatten().to_numpy(zero_copy_only=False)
+            return node, size, root, np.ascontiguousarray(flat.reshape(-1, lanes)).view(np.uint64)
+
+        def compare(batches):
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    node, size, root, own = read(batch.column(0)[k])
+                    to_node, to_size, to_root, other = read(batch.column(1)[k])
+                    same = batch.column(2)[k].as_py()
+                    for at in range(0, len(own), _BLOCK):
+                        first = at if same else 0
+                        i, j = _near(own[at : at + _BLOCK], other[first:], radius)
+                        i, j = i + at, j + first
+                        fits = root[i] != to_root[j]
+                        fits &= np.minimum(size[i], to_size[j]) >= least * np.maximum(size[i], to_size[j]) - 1e-6
+                        if same:
+                            fits &= i < j
+                        if fits.any():
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(node[i[fits]]), pa.array(to_node[j[fits]])], names=["u", "v"]
+                            )
+
+        return tiles.meetings(prints).mapInArrow(compare, "u long, v long")
+
+    def __call__(self, docs: DataFrame) -> DataFrame:
+        """``(id, component_id)`` for every document."""
+        of_docs = reread(self.sketches(docs))
+        prints = reread(
+            of_docs.groupBy("_node").agg(
+                F.first("_size").alias("_size"),
+                F.first("_lanes").alias("_lanes"),
+                F.first("_mins").alias("_mins"),
+                F.min(self.id_col).alias("_least"),
+            )
+        )
+        near = self.confirmed(docs, prints, reread(self._by_least_hash(prints)))
+        roots = components(near)
+        known = prints.where("_size > 0").join(roots, F.col("_node") == F.col("node"), "left")
+        known = known.select("_node", "_lanes", "_size", F.coalesce("root", "_node").alias("_root"))
+        further = self.confirmed(docs, prints, reread(self._by_distance(known)))
+        roots = components(roots.toDF("u", "v").union(further))
+        return of_docs.join(least_ids(prints, roots), "_node").select(self.id_col, "component_id")
+
+    def keep_one(self, docs: DataFrame) -> DataFrame:
+        """The documents, of each component only the one with the smallest id, as ``SimHashDedup.keep_one``."""
+        return least_of_each(docs, self(docs), self.id_col)

@@ -21,6 +21,7 @@ radius for a share of common shingles, with more lanes for a sharper estimate.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -54,7 +55,7 @@ def _hashes(words: list[bytes], size: int) -> np.ndarray:
     )
 
 
-def _lane(hashes: np.ndarray, lane: int) -> np.ndarray:
+def mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
     """The hashes themselves, or for further lanes other numbers that follow from them."""
     if not lane:
         return hashes
@@ -64,39 +65,51 @@ def _lane(hashes: np.ndarray, lane: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(data: bytes, size: int, lanes: int = 1) -> list[int]:
-    """The lanes of a text's fingerprint as unsigned numbers."""
-    counts, total, carried = np.zeros((lanes, _BITS), np.int64), 0, []
-
-    def add(hashes: np.ndarray) -> None:
-        for lane in range(lanes):
-            octets = _lane(hashes, lane).astype("<u8").view(np.uint8).reshape(-1, 8)
-            for i in range(8):
-                counts[lane, 8 * i : 8 * i + 8] += np.bincount(octets[:, i], minlength=256) @ _SET
-
+def shingles(data: bytes, size: int) -> Iterator[np.ndarray]:
+    """The hashes of a text's shingles, part by part; of all its words where they are fewer than ``size``."""
+    carried, some = [], False
     for words in word_lists(data.lower()):
         words = carried + words
         if len(words) >= size:
-            hashes = _hashes(words, size)
-            total += len(hashes)
-            add(hashes)
+            some = True
+            yield _hashes(words, size)
             carried = words[len(words) - size + 1 :]
         else:
             carried = words
-    if not total and carried:
-        total = 1
-        add(np.array([xxhash.xxh64_intdigest(b" ".join(carried), 42)], np.uint64))
+    if not some and carried:
+        yield np.array([xxhash.xxh64_intdigest(b" ".join(carried), 42)], np.uint64)
+
+
+def print_of(parts: Iterable[np.ndarray], lanes: int) -> list[int]:
+    """The lanes of the fingerprint of some hashes as unsigned numbers."""
+    counts, total = np.zeros((lanes, _BITS), np.int64), 0
+    for hashes in parts:
+        total += len(hashes)
+        for lane in range(lanes):
+            octets = mixed(hashes, lane).astype("<u8").view(np.uint8).reshape(-1, 8)
+            for i in range(8):
+                counts[lane, 8 * i : 8 * i + 8] += np.bincount(octets[:, i], minlength=256) @ _SET
     return [sum(1 << i for i in np.flatnonzero(2 * own > total).tolist()) for own in counts]
 
 
+def fingerprint(data: bytes, size: int, lanes: int = 1) -> list[int]:
+    """The lanes of a text's fingerprint as unsigned numbers."""
+    return print_of(shingles(data, size), lanes)
+
+
 def _near(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows of ``a`` and ``b`` at most ``radius`` bits apart."""
+    lanes = a.shape[1]
+    # two lanes for all pairs, the others for those that are still near; more where
+    # two unrelated lanes would often be within the radius
+    first = min(lanes, 2)
+    while first < lanes and radius > 32 * first - 10 * math.sqrt(first):
+        first += 1
     apart = np.bitwise_count(a[:, None, 0] ^ b[None, :, 0])
-    if a.shape[1] > 1:
-        # two lanes for all pairs, the others for those that are still near
-        apart = apart + np.bitwise_count(a[:, None, 1] ^ b[None, :, 1])
+    for lane in range(1, first):
+        apart = apart + np.bitwise_count(a[:, None, lane] ^ b[None, :, lane])
     i, j = np.nonzero(apart <= radius)
-    if a.shape[1] > 2:
+    if lanes > first:
         whole = np.bitwise_count(a[i] ^ b[j]).sum(axis=1, dtype=np.int64) <= radius
         i, j = i[whole], j[whole]
     return i, j
@@ -141,6 +154,23 @@ def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[tuple
     return links
 
 
+def least_ids(prints: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(_node, component_id)``: the smallest ``_least`` of each component of ``prints``."""
+    grouped = prints.join(roots, prints["_node"] == roots["node"], "left").select(
+        "_node", "_least", F.coalesce("root", "_node").alias("_root")
+    )
+    least = grouped.groupBy("_root").agg(F.min("_least").alias("component_id"))
+    return reread(grouped.join(least, "_root").select("_node", "component_id"))
+
+
+def least_of_each(docs: DataFrame, grouped: DataFrame, id_col: str) -> DataFrame:
+    """The documents whose id is that of their component in ``grouped``."""
+    found = grouped.where(F.col(id_col).eqNullSafe(F.col("component_id")))
+    name = free_name(docs, "_kept")
+    kept = found.select(F.col(id_col).alias(name)).distinct()
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
+
+
 @dataclass(frozen=True)
 class SimHashDedup:
     """``shingle`` words, ``lanes`` of 64 bits, ``radius`` differing bits, about ``tile`` fingerprints in a tile.
@@ -197,8 +227,11 @@ class SimHashDedup:
         schema = StructType([columns.schema[self.id_col]]).add("_lanes", ArrayType(LongType())).add("_node", "long")
         return columns.mapInArrow(compute, schema)
 
-    def links(self, prints: DataFrame) -> DataFrame:
-        """Edges ``(u, v)`` of nodes that connect all within the radius; ``prints (_node, _lanes)`` are distinct."""
+    def meetings(self, prints: DataFrame) -> DataFrame:
+        """``(_from, _tile, _same)``: two tiles, lists of rows of ``prints``, and whether they are the same one.
+
+        ``prints`` are distinct, with ``_node`` and ``_lanes``; any two within the radius meet once.
+        """
         radius, lanes = self.radius, self.lanes
         ones = F.aggregate("_lanes", F.lit(0), lambda n, lane: n + F.bit_count(lane))
         counted = prints.withColumn("_ones", ones)
@@ -208,7 +241,7 @@ class SimHashDedup:
         dealt = (
             counted.withColumn("_part", F.pmod(F.xxhash64("_node"), F.get(of, F.col("_ones"))).cast("int"))
             .groupBy("_ones", "_part")
-            .agg(F.collect_list(F.struct("_node", "_lanes")).alias("_tile"))
+            .agg(F.collect_list(F.struct(*prints.columns)).alias("_tile"))
         )
         dealt = reread(dealt)
 
@@ -233,12 +266,16 @@ class SimHashDedup:
         ).select("_to._ones", "_to._part", "_place", "_from_ones", "_from_part", "_from")
         right = dealt.withColumn("_place", F.explode(F.sequence(F.lit(0), F.lit(places - 1))))
         right = right.withColumn("_place", F.col("_place").cast("long"))
-        pairs = left.join(right, ["_ones", "_part", "_place"]).select(
+        return left.join(right, ["_ones", "_part", "_place"]).select(
             "_from",
             "_tile",
             ((F.col("_ones") == F.col("_from_ones")) & (F.col("_part") == F.col("_from_part"))).alias("_same"),
         )
 
+    def links(self, prints: DataFrame) -> DataFrame:
+        """Edges ``(u, v)`` of nodes that connect all within the radius; ``prints (_node, _lanes)`` are distinct."""
+        radius, lanes = self.radius, self.lanes
+
         def read(tile):
             rows = tile.values
             node = rows.field("_node").to_numpy(zero_copy_only=False)
@@ -256,7 +293,7 @@ class SimHashDedup:
                         [pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["u", "v"]
                     )
 
-        return pairs.mapInArrow(compare, "u long, v long")
+        return self.meetings(prints).mapInArrow(compare, "u long, v long")
 
     def __call__(self, docs: DataFrame) -> DataFrame:
         """``(id, fingerprint, component_id)`` for every document."""
@@ -265,12 +302,7 @@ class SimHashDedup:
         prints = reread(
             of_docs.groupBy("_node").agg(F.first("_lanes").alias("_lanes"), F.min(id_col).alias("_least"))
         )
-        roots = components(self.links(prints.select("_node", "_lanes")))
-        grouped = prints.join(roots, prints["_node"] == roots["node"], "left").select(
-            "_node", "_least", F.coalesce("root", "_node").alias("_root")
-        )
-        least = grouped.groupBy("_root").agg(F.min("_least").alias("component_id"))
-        named = reread(grouped.join(least, "_root").select("_node", "component_id"))
+        named = least_ids(prints, components(self.links(prints.select("_node", "_lanes"))))
         digits = F.transform("_lanes", lambda lane: F.lpad(F.lower(F.hex(lane)), 16, "0"))
         return of_docs.join(named, "_node").select(
             id_col, F.array_join(digits, "").alias("fingerprint"), "component_id"
@@ -282,7 +314,4 @@ class SimHashDedup:
         Where a component has no ids at all, its documents stay.  Rows that share
         the kept id are kept together.
         """
-        found = self(docs).where(F.col(self.id_col).eqNullSafe(F.col("component_id")))
-        name = free_name(docs, "_kept")
-        kept = found.select(F.col(self.id_col).alias(name)).distinct()
-        return docs.join(kept, F.col(self.id_col).eqNullSafe(F.col(name)), "left_semi")
+        return least_of_each(docs, self(docs), self.id_col)
