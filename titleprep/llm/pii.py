@@ -6,7 +6,7 @@ places of the matches in code points.
 
 Kinds: email, ip, card (Luhn), phone, iban (mod 97) and ssn.  A span that passes
 its check gets a score: its kind's own and a bonus when one of the kind's context
-words stands shortly before it.  Spans of the four base kinds are reported
+words stands shortly before or after it.  Spans of the four base kinds are reported
 whatever their score; those of the other kinds need ``least_score``.
 """
 
@@ -98,16 +98,30 @@ def _valid(kind: str, text: Column) -> Column:
 _SPAN = "array<struct<start:int,kind_no:int,kind:string,end:int,text:string,score:double>>"
 
 
-def _spans(text: Column, kind_no: int, kind: str, found: Column, near: int) -> Column:
+def _spans(kind_no: int, kind: str, found: Column, near: int) -> Column:
     """Valid spans of one kind; ``found`` has the fields ``gaps`` and ``hits``."""
     gaps, hits = found["gaps"], found["hits"]
 
+    def head(rest: Column, i: Column) -> Column:
+        # the first characters behind match i; those behind the next one are first in ``rest``
+        more = F.concat(F.get(hits, i + 1), F.get(rest, F.lit(0)))
+        text = F.concat(F.left(F.get(gaps, i + 1), F.lit(near)), F.coalesce(more, F.lit("")))
+        return F.array_prepend(rest, F.left(text, F.lit(near)))
+
+    last = F.size(hits) - 1
+    down = F.sequence(last, F.lit(0), F.lit(-1))
+    heads = F.aggregate(down, F.array().cast("array<string>"), head)
+
     def step(state: Column, i: Column) -> Column:
+        heads = state["heads"]
         gap, hit = F.get(gaps, i), F.get(hits, i)
         start = state["at"] + F.length(gap)
         end = start + F.length(hit)
-        before = F.lower(F.right(gap, F.lit(near)))
-        score = F.lit(SCORES[kind]) + F.when(before.rlike(CONTEXT[kind]), 0.4).otherwise(0.0)
+        # what stands around the span, whatever matched in between
+        before = F.lower(F.right(F.concat(state["tail"], gap), F.lit(near)))
+        after = F.lower(F.get(heads, i))
+        told = before.rlike(CONTEXT[kind]) | after.rlike(CONTEXT[kind])
+        score = F.lit(SCORES[kind]) + F.when(told, 0.4).otherwise(0.0)
         span = F.struct(
             start.alias("start"),
             F.lit(kind_no).alias("kind_no"),
@@ -117,10 +131,11 @@ def _spans(text: Column, kind_no: int, kind: str, found: Column, near: int) -> C
             F.least(score, F.lit(1.0)).alias("score"),
         )
         spans = F.when(_valid(kind, hit), F.array_append(state["spans"], span)).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
+        tail = F.right(F.concat(state["tail"], gap, hit), F.lit(near))
+        return F.struct(end.alias("at"), spans.alias("spans"), tail.alias("tail"), heads.alias("heads"))
 
     empty = F.array().cast(_SPAN)
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
+    zero = F.struct(F.lit(0).alias("at"), empty.alias("spans"), F.lit("").alias("tail"), heads.alias("heads"))
     count = F.size(hits)
     return F.when(
         count > 0, F.aggregate(F.sequence(F.lit(0), count - 1), zero, step, lambda s: s["spans"])
@@ -157,7 +172,7 @@ class PersonalData:
             )
             found = found.withColumn(names[kind], found_kind)
         for kind_no, kind in enumerate(PATTERNS):
-            lists.append(_spans(text, kind_no, kind, F.col(names[kind]), self.near))
+            lists.append(_spans(kind_no, kind, F.col(names[kind]), self.near))
         spans = F.filter(
             F.flatten(F.array(*lists)),
             lambda s: (s["kind_no"] < len(BASE_KINDS)) | (s["score"] >= self.least_score),
