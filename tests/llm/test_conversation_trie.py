@@ -1,0 +1,126 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from titleprep.llm.conversation_trie import ConversationTrie, with_common_heads
+from titleprep.llm.prefix_tree import ELEMENT, PrefixTree, medians
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def digest(role, text):
+    return hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).digest()[:16]
+
+
+def conversations(rows):
+    """Turns in order, by conversation."""
+    found = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            found.setdefault(conv, []).append((turn is not None, turn or 0, digest(role or "", text or ""), role or "", text or ""))
+    return {conv: [t[3:] for t in sorted(turns)] for conv, turns in found.items()}
+
+
+def rebuilt(convs):
+    out = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = convs.get(c - c % 5, [])[:h] + own[h:]
+    return out
+
+
+def brute(convs):
+    nodes = {}
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            nodes.setdefault(tuple(turns[:d]), []).append(c)
+    rows = []
+    for prefix, members in nodes.items():
+        below = [p for p in nodes if p[: len(prefix)] == prefix]
+        saved = sum((len(nodes[p]) - 1) * len(p[-1][1].encode()) for p in below if p)
+        leaves = sum(not any(q[:-1] == p for q in below if q) for p in below)
+        ends = ",".join(map(str, sorted(c for c in members if len(convs[c]) == len(prefix))))
+        rows.append((
+            min(members), len(prefix), min(nodes[prefix[:-1]]) if prefix else None, len(members),
+            sum(q[:-1] == prefix for q in below if q), leaves, saved, hashlib.sha256(ends.encode()).hexdigest(),
+        ))
+    return sorted(rows, key=repr)
+
+
+def nodes(df):
+    assert df.columns == COLUMNS
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def many(seed, n):
+    """Conversations over few turns: copies, beginnings of others, ties, nulls, repeated rows, missing groups."""
+    rng = random.Random(seed)
+    rows = []
+    for c in rng.sample(range(3 * n), n):
+        for t in range(rng.choice([1, 1, 2, 3, 8, 12])):
+            turn = rng.choice([t, t, None, 0])
+            rows.append((c, turn, rng.choice(["user", None, "bot"]), rng.choice(["a", "b", "é", "", None])))
+            if rng.random() < 0.1:
+                rows.append(rows[-1])
+    return [*rows, (None, 1, "user", "a"), (None, None, None, None)]
+
+
+@pytest.mark.parametrize(("seed", "shard_turns"), [(0, 20), (1, 40), (2, 400_000)])
+def test_equals_brute_force(spark, seed, shard_turns):
+    rows = many(seed, 60)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    trie = ConversationTrie(shard_turns=shard_turns)
+    convs = conversations(rows)
+    assert nodes(trie(df)) == brute(convs)
+    assert nodes(trie.nodes(with_common_heads(trie.sequences(df)))) == brute(rebuilt(convs))
+
+
+def test_copies_spread_over_shards(spark):
+    rows = [(c, t, "user", "x" * t) for c in range(300) for t in range(3)]
+    rows += [(c, t, "user", "x" * t) for c in range(300, 330) for t in range(1 + c % 4)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert nodes(ConversationTrie(shard_turns=20)(df)) == brute(conversations(rows))
+
+
+def test_long_conversation_is_joined_in_parts(spark):
+    rows = [(1, t, "user", str(t % 7)) for t in range(300)] + [(2, t, "user", str(t % 7)) for t in range(299)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert nodes(ConversationTrie(shard_turns=10)(df)) == brute(conversations(rows))
+
+
+def test_turnless_conversations_and_negative_ids(spark):
+    # conversations without the first of their group lose their first h turns
+    rows = [(c, t, "user", "t") for c in (-3, -1, 6, 7, 8, 9, 14) for t in range(2)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    trie = ConversationTrie()
+    expected = brute(rebuilt(conversations(rows)))
+    assert nodes(trie.nodes(with_common_heads(trie.sequences(df)))) == expected
+    assert any(r[1] == 0 and r[-1] != hashlib.sha256(b"").hexdigest() for r in expected)
+
+
+def test_empty_table_and_other_columns(spark):
+    assert nodes(ConversationTrie()(spark.createDataFrame([], SCHEMA))) == []
+    rows = [(1, 0, "user", "a"), (1, 1, "bot", "b"), (2, 0, "user", "a")]
+    clashing = ["digest", "code", "sequence", "_place", "key", "Shard", "depth"]
+    df = spark.createDataFrame([(*r, *range(7)) for r in rows], SCHEMA + "".join(f", `{c}` long" for c in clashing))
+    assert nodes(ConversationTrie()(df)) == brute(conversations(rows))
+
+
+def test_medians_first():
+    assert list(medians(7)) == [3, 1, 0, 2, 5, 4, 6]
+    assert list(medians(0)) == []
+
+
+def test_tree_is_balanced():
+    import numpy as np
+
+    tree = PrefixTree([np.array([(i, 1)], ELEMENT).tobytes() for i in range(1_000)])
+    height = {tree.equal[0]: 1}
+    for node in sorted(range(1, len(tree)), key=lambda n: n):
+        for child in (tree.lower[node], tree.higher[node]):
+            if child > 0:
+                height[child] = height[node] + 1
+    assert max(height.values()) <= 10

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleprep.llm.byte_bpe import ByteBpe
+from titleprep.llm.conversation_trie import ConversationTrie, with_common_heads
 from titleprep.llm.licenses import LicenseScan
 from titleprep.llm.line_dedup import LineDedup
 from titleprep.llm.oracles import ORACLES
@@ -19,6 +20,7 @@ from titleprep.llm.quality import CompressionBands
 from titleprep.llm.search import TopK
 from titleprep.llm.simhash import SimHashDedup
 from titleprep.llm.url_filter import UrlFilter
+from titleprep.llm.window_packing import WindowPacking
 
 
 def tokenizer_path(name: str) -> str:
@@ -112,6 +114,15 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return BestFitPacking(tokenizer_path("word_bpe_49k.json"))(_table(spark, sf_dir, "documents"))
 
 
+def window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return WindowPacking(tokenizer_path("byte_bpe_50k.json"))(_table(spark, sf_dir, "documents"))
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trie = ConversationTrie()
+    return trie.nodes(with_common_heads(trie.sequences(_table(spark, sf_dir, "conversations"))))
+
+
 # ORACLES holds the SQL of those that SQL can express
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": top_k,
@@ -124,4 +135,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": pii,
     "op9_repeated_passages": repeated_passages,
     "op10_packing": packing,
+    "op11_window_packing": window_packing,
+    "op12_conversation_trie": conversation_trie,
 }
