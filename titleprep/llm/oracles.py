@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from titleprep.llm.trie_oracle import CONVERSATION_TRIE
 from titleprep.llm.url_filter import RULES
+from titleprep.llm.vector_oracle import VECTOR_CODES
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -111,4 +113,9 @@ select page_id, host, path, "rule",
 from ruled r left join (select * from scored where label is null) s
   on r.given is null and s.t = r.host || r.path"""
 
-ORACLES = {"op2_line_dedup": LINE_DEDUP, "op5_url_filter": URL_FILTER}
+ORACLES = {
+    "op2_line_dedup": LINE_DEDUP,
+    "op5_url_filter": URL_FILTER,
+    "op12_conversation_trie": CONVERSATION_TRIE,
+    "op13_vector_codes": VECTOR_CODES,
+}

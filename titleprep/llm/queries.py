@@ -20,7 +20,9 @@ from titleprep.llm.quality import CompressionBands
 from titleprep.llm.search import TopK
 from titleprep.llm.simhash import SimHashDedup
 from titleprep.llm.url_filter import UrlFilter
+from titleprep.llm.vector_codes import VectorCodes
 from titleprep.llm.window_packing import WindowPacking
+from titleprep.scale import lookup, store
 
 
 def tokenizer_path(name: str) -> str:
@@ -123,6 +125,18 @@ def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.nodes(with_common_heads(trie.sequences(_table(spark, sf_dir, "conversations"))))
 
 
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = VectorCodes().fit(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    digits = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c.cast("int")), 2, "0")))
+    error = F.aggregate("distances", F.lit(0).cast("long"), lambda a, d: a + d)
+    # labels that are null count as one
+    label = {"_none": F.col("label").isNull(), "_label": F.coalesce("label", F.lit(0))}
+    rows = found.select("vec_id", F.array_join(digits, "").alias("code"), error.alias("error"), "label").withColumns(label)
+    sums = rows.groupBy(*label).agg(F.sum("error").alias("label_error"))
+    books = F.lit(books.sha256()).alias("codebooks_sha256")
+    return lookup(rows, [store(sums)], list(label)).select("vec_id", "code", "error", "label_error", books)
+
+
 # ORACLES holds the SQL of those that SQL can express
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": top_k,
@@ -137,4 +151,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": packing,
     "op11_window_packing": window_packing,
     "op12_conversation_trie": conversation_trie,
+    "op13_vector_codes": vector_codes,
 }

@@ -2,10 +2,10 @@
 
 # crc32 of the digits of a number, with the polynomial in reversed bits
 _STEP = "case when {0} % 2 = 1 then xor({0} // 2, 3988292384) else {0} // 2 end"
-_TABLE = "list_transform(range(256), b -> list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], (v, z) -> " + _STEP.format("v") + "))"
+_TABLE = "list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: " + _STEP.format("v") + "))"
 
 CONVERSATION_TRIE = f"""
-with recursive turns as (
+with turns as (
   select conv_id c, coalesce(role, '') r, coalesce(text, '') x, turn,
     sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) k
   from conversations where conv_id is not null),
@@ -15,11 +15,11 @@ placed as (
 bits as (select {_TABLE} t),
 ids as (
   select c, cast(xor(4294967295, list_reduce(list_prepend(4294967295,
-    list_transform(string_split(cast(c as varchar), ''), ch -> cast(ord(ch) as bigint))),
-    (a, b) -> xor(a // 256, t[cast(xor(a, b) % 256 as integer) + 1]))) % 9 as bigint) h
+    list_transform(string_split(cast(c as varchar), ''), lambda ch: cast(ord(ch) as bigint))),
+    lambda a, b: xor(a // 256, t[cast(xor(a, b) % 256 as integer) + 1]))) % 9 as bigint) h
   from (select distinct c from placed) i, bits),
 rebuilt as (
-  select i.c, b.p, b.k, b.n from ids i join placed b on b.c = i.c - i.c % 5 and b.p < i.h
+  select i.c, b.p, b.k, b.n from ids i join placed b on b.c = i.c - (i.c % 5 + 5) % 5 and b.p < i.h
   union all
   select i.c, o.p, o.k, o.n from ids i join placed o on o.c = i.c and o.p >= i.h),
 prefixes as (
