@@ -146,15 +146,15 @@ def score_files(
 ) -> tuple[TitleModel, dict[str, DataFrame]]:
     """Train on the ``train`` file, write one prediction file per path in ``out``.
 
-    Also returns the model and its reports: cross-validated scores, accuracy on
-    the training rows, importances.
+    Also returns the model and its reports: mean cross-validated score by setting,
+    accuracy on the training rows, importances.
     """
     features = _read(spark, paths, read_as, multiline)
     model = classifier.fit(features["train"])
     for name, path in out.items():
         write_predictions(model.predictions(features[name]), path, classifier.key, single_file)
     reports = {
-        "cv_auc": scale.literal_table(spark, "setting int, auc double", list(enumerate(model.cv_auc))),
+        "search": model.search_report(spark),
         "accuracy": accuracy(model.transform(features["train"])),
         "importances": model.importances(spark),
     }

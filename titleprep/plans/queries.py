@@ -9,7 +9,7 @@ import dataclasses
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from titleprep import scale
@@ -915,22 +915,19 @@ def _splits_for_jobs(rows: DataFrame) -> dict[str, DataFrame]:
 _ONE_SETTING = model.TitleClassifier(depths=(4,), rounds=(200,))
 
 
-@functools.lru_cache(maxsize=4)
-def _title_model(spark: SparkSession, sf_dir: str) -> tuple[model.TitleModel, DataFrame]:
-    """The fitted model and the features, once for the queries below."""
-    features = scale.reread(_features(spark, sf_dir))
-    return _ONE_SETTING.fit(_train(features)), features
+# enough rounds for what only ranks features
+_FEW_ROUNDS = dataclasses.replace(_ONE_SETTING, rounds=(20,))
 
 
 @query()
 def score_titles(spark, sf_dir):
-    fitted, features = _title_model(spark, sf_dir)
-    return fitted.predictions(features.where("split <> 'train'"))
+    features = scale.reread(_features(spark, sf_dir))
+    return _ONE_SETTING.fit(_train(features)).predictions(features.where("split <> 'train'"))
 
 
 @query()
 def feature_importance(spark, sf_dir):
-    return _title_model(spark, sf_dir)[0].importances(spark)
+    return _FEW_ROUNDS.fit(_train(_features(spark, sf_dir))).importances(spark)
 
 
 # a label that is an exact rule: trees must find it, and nothing else; gaps are filled with the median,
@@ -942,11 +939,10 @@ def _rule_sql(year: str) -> str:
     return f"primaryTitle = coalesce(originalTitle, primaryTitle) and coalesce({year}, 1998) >= 1997"
 
 
-@functools.lru_cache(maxsize=4)
-def _rule_model(spark: SparkSession, sf_dir: str) -> tuple[model.TitleModel, DataFrame]:
+def _rule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = typed(titles(spark, sf_dir))
     same = rules.same(F.col("primaryTitle"), F.coalesce("originalTitle", "primaryTitle"))
-    rows = scale.reread(
+    return scale.reread(
         rows.select(
             "tconst",
             "split",
@@ -957,19 +953,19 @@ def _rule_model(spark: SparkSession, sf_dir: str) -> tuple[model.TitleModel, Dat
             ((same == 1) & (F.coalesce("startYear", F.lit(1998)) >= 1997)).alias("label"),
         )
     )
-    classifier = dataclasses.replace(_ONE_SETTING, features=_RULE_FEATURES)
-    return classifier.fit(_train(rows)), rows
 
 
-@query(
-    _over_titles(
-        f"select tconst, case when {_rule_sql(_YEAR_SQL)} then 'True' else 'False' end label"
-        " from titles where split <> 'train'"
-    )
+_RULE_PREDICTIONS_SQL = (
+    f"select tconst, case when {_rule_sql(_YEAR_SQL)} then 'True' else 'False' end label"
+    " from titles where split <> 'train'"
 )
+
+
+@query(_over_titles(_RULE_PREDICTIONS_SQL))
 def score_rule(spark, sf_dir):
     """Predictions of held-out rows for a known rule, with gaps in all numbers."""
-    fitted, rows = _rule_model(spark, sf_dir)
+    rows = _rule_rows(spark, sf_dir)
+    fitted = dataclasses.replace(_ONE_SETTING, features=_RULE_FEATURES).fit(_train(rows))
     return fitted.predictions(rows.where("split <> 'train'"))
 
 
@@ -979,10 +975,74 @@ def score_rule(spark, sf_dir):
 )
 def importance_rule(spark, sf_dir):
     """Only the columns of the rule have weight."""
-    weights = _rule_model(spark, sf_dir)[0].importances(spark)
+    rows = _train(_rule_rows(spark, sf_dir))
+    weights = dataclasses.replace(_FEW_ROUNDS, features=_RULE_FEATURES).fit(rows).importances(spark)
     return weights.select("feature", (F.round("importance", 6) > 0).alias("matters"))
 
 
+# all depths and folds; a tenth of the rounds, whose price is the same for a few rows as for many
+_SEARCH = model.TitleClassifier(features=_RULE_FEATURES, rounds=(20, 30), parallelism=8)
+_SEARCH_SETTINGS_SQL = " union all ".join(
+    f"select 'depth {d}, rounds {r}', '1.000000'" for d, r in _SEARCH.settings()
+)
+
+
+@query(
+    _over_titles(
+        f"select tconst, label from ({_RULE_PREDICTIONS_SQL}) p"
+        f" union all {_SEARCH_SETTINGS_SQL}"
+        " union all select 'chosen', 'depth 3, rounds 20' union all select 'accuracy', '1.000000'"
+        " union all select 'held out', cast(6 * count(*) as varchar) from titles where split = 'train'"
+    )
+)
+def search_rule(spark, sf_dir):
+    """The search over a known rule, which every setting finds: held-out predictions of the chosen
+    model, its mean score by setting, its accuracy on the training rows, number of held-out scores."""
+    rows = _rule_rows(spark, sf_dir)
+    fitted = _SEARCH.fit(_train(rows))
+    report = fitted.search_report(spark).withColumn("tconst", F.format_string("depth %d, rounds %d", "depth", "rounds"))
+    shown = F.format_string("%.6f", "auc").alias("label")
+    accuracy = model.accuracy(fitted.transform(_train(rows)))
+    parts = [
+        fitted.predictions(rows.where("split <> 'train'")),
+        report.select("tconst", shown),
+        report.where("chosen").select(F.lit("chosen").alias("tconst"), F.col("tconst").alias("label")),
+        accuracy.select(F.lit("accuracy").alias("tconst"), F.format_string("%.6f", "accuracy").alias("label")),
+        fitted.held_out.agg(F.count(F.lit(1)).cast("string").alias("label")).select(
+            F.lit("held out").alias("tconst"), "label"
+        ),
+    ]
+    return functools.reduce(DataFrame.unionAll, parts)
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a written folder, numbered over its files in name order."""
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("nth"))
+    text = spark.read.text(f"{path}/part-*").select("value", place.alias("place"))
+    # the files are read back in one run of their order: what the check compares, not what a job needs
+    return text.select(F.row_number().over(Window.orderBy("place")).alias("line"), F.col("value").alias("label"))
+
+
+@query(
+    _over_titles(
+        "select 'many' file, row_number() over (order by tconst) line, label"
+        f" from ({_RULE_PREDICTIONS_SQL}) p union all"
+        " select 'single', row_number() over (order by tconst), label"
+        f" from ({_RULE_PREDICTIONS_SQL}) p"
+    )
+)
+def prediction_files(spark, sf_dir):
+    """Predictions as files without header and key, in many parts and as a single file, read back."""
+    held_out = _rule_rows(spark, sf_dir).where("split <> 'train'").withColumn("prediction", F.col("label").cast("int"))
+    predictions = held_out.select("tconst", writers.prediction_text(F.col("prediction")).alias("label"))
+    parts = []
+    for name, single in (("many", False), ("single", True)):
+        path = scale.new_path(spark)
+        writers.write_predictions(predictions, path, single_file=single)
+        parts.append(_lines(spark, path).select(F.lit(name).alias("file"), F.col("line").cast("long"), "label"))
+    return parts[0].unionAll(parts[1])
+
+
 _ENCODED_SQL = (
     f"with {TITLES_SQL}, {DIRECTORS_SQL.format(rows='titles')}, scored as ("
     "select round(d.director_success_rate, 6) score, cast(t.label as integer) label"
