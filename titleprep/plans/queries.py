@@ -388,6 +388,16 @@ def csv_shards(spark, sf_dir):
     return readers.read_csv(spark, f"{path}/part-*.csv", multiline=False)
 
 
+@query("select doc_id, nullif(text, '') text, lang, source from documents")
+def csv_ranges(spark, sf_dir):
+    """Texts with line breaks in CSV files that several tasks may read."""
+    path = scale.new_path(spark)
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    writers.write_csv(rows, path)
+    back = readers.read_csv(spark, path, by_ranges=True)
+    return back.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 @query(ORACLES["csv_shards"])
 def csv_mixed_shards(spark, sf_dir):
     """Shards with columns in another order, one with an index column, read by one glob."""
@@ -430,6 +440,29 @@ def columnar_json_rows(spark, sf_dir):
     return readers.read_columnar_json(spark, path, "movie", "director", multiline=False)
 
 
+@query(ORACLES["columnar_json_rows"])
+def columnar_json_document(spark, sf_dir):
+    """All pairs in one document in one file, which several tasks may read."""
+    pairs = table(spark, sf_dir, "orders").select(
+        "o_orderkey", tconst("o_orderkey").alias("movie"), person("o_custkey").alias("director")
+    )
+    first = pairs.agg(F.min("o_orderkey")).first()[0]
+    comma = F.when(F.col("o_orderkey") == first, "").otherwise(",")
+    columns = F.array(
+        F.struct(F.lit(1).alias("section"), F.lit("m").alias("prefix"), F.col("movie").alias("value")),
+        F.struct(F.lit(3).alias("section"), F.lit("d").alias("prefix"), F.col("director").alias("value")),
+    )
+    member = F.format_string('%s"%s%d": "%s"', comma, "prefix", "o_orderkey", "value")
+    lines = pairs.select("o_orderkey", F.inline(columns)).select(
+        "section", "o_orderkey", member.alias("line")
+    )
+    brackets = [(0, 0, '{"movie": {'), (2, 0, '}, "director": {'), (4, 0, "}}")]
+    lines = lines.unionByName(scale.literal_table(spark, "section int, o_orderkey bigint, line string", brackets))
+    path = scale.new_path(spark)
+    lines.orderBy("section", "o_orderkey").select("line").coalesce(1).write.text(path)
+    return readers.read_columnar_json(spark, path, "movie", "director", by_ranges=True)
+
+
 def _columnar(pairs: DataFrame) -> DataFrame:
     """Columns ``movie`` and ``director`` as maps, one document per thousand order keys."""
     packed = (
