@@ -3,6 +3,7 @@ import json
 import pytest
 
 from conftest import rows_of
+from titleprep import scale
 from titleprep.operators.model import TitleClassifier
 from titleprep.plans import jobs
 
@@ -45,6 +46,13 @@ def folder(tmp_path_factory):
     return root
 
 
+def tables(spark):
+    """The tables in the shared folder of this session."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scale._own_folder(spark))
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in system.listStatus(folder)} if system.exists(folder) else set()
+
+
 def paths(folder, stage):
     return {name: f"{folder}/{stage}_{name}" for name in jobs.SPLITS}
 
@@ -56,7 +64,9 @@ def test_all_stages_from_files_to_files(spark, folder):
         "test": f"{folder}/test.csv",
     }
     merged, clean, features, rich = (paths(folder, s) for s in ("merged", "clean", "features", "rich"))
+    before = tables(spark)
     jobs.merge_files(spark, base, f"{folder}/writing.json", f"{folder}/directing.json", merged)
+    assert tables(spark) == before
 
     reports = jobs.profile_file(spark, merged["train"])
     checks = {(r["section"], r["item"]): r["value"] for r in reports["checks"].collect()}
@@ -67,6 +77,7 @@ def test_all_stages_from_files_to_files(spark, folder):
     written = jobs.clean_files(spark, merged, clean)
     assert written["train"].inputFiles()[0].endswith(".parquet")
     frames = jobs.feature_files(spark, clean, features, single_file=True)
+    assert tables(spark) == before
     assert {n: df.count() for n, df in frames.items()} == {"train": 60, "validation": 10, "test": 10}
     assert "label" in frames["train"].columns and "label" not in frames["test"].columns
     assert frames["train"].where('primaryTitle = \'Film, the 4th "one"\'').count() == 1
@@ -75,12 +86,14 @@ def test_all_stages_from_files_to_files(spark, folder):
     model, scores = jobs.score_files(
         spark, features, out, TitleClassifier(depths=(2,), rounds=(2,), folds=2), single_file=True
     )
+    assert len(tables(spark) - before) == 1  # a report
     for path in out.values():
         text = spark.read.text(path)
         assert text.count() == 10 and {r[0] for r in text.collect()} <= {"True", "False"}
     assert 0 <= scores["accuracy"].first()[0] <= 1 and scores["importances"].count() == 8
 
     reports = jobs.enrich_files(spark, features, f"{folder}/ratings.csv", rich)
+    assert len(tables(spark) - before) == 3
     counts = {(r["split"], r["match_stage"]): r["rows"] for r in reports["matches"].collect()}
     assert counts["train", "exact"] > 0 and counts["train", "near"] > 0
     assert sum(v for (s, _), v in counts.items() if s == "train") == 60
@@ -94,6 +107,7 @@ def test_all_stages_from_files_to_files(spark, folder):
     at_once = jobs.chain_files(
         spark, base, f"{folder}/writing.json", f"{folder}/directing.json", f"{folder}/ratings.csv", whole
     )
+    assert len(tables(spark) - before) == 3
     for name in jobs.SPLITS:
         assert sorted(at_once[name].columns) == sorted(done[name].columns)
         columns = sorted(done[name].columns)

@@ -129,6 +129,7 @@ def test_folder_of_a_session_that_names_none():
             get = {"spark.sql.warehouse.dir": "file:/warehouse/"}.get
 
         class sparkContext:
+            master = "local[2]"
             getCheckpointDir = staticmethod(lambda: None)
 
     assert scale.shared_folder(Session) == "file:/warehouse"
@@ -142,3 +143,35 @@ def test_literal_table(spark):
     assert df.dtypes == [("k", "bigint"), ("x", "double"), ("s", "string")]
     assert rows_of(df) == sorted(rows, key=repr)
     assert scale.literal_table(spark, "k bigint", []).count() == 0
+
+
+def test_staging_keeps_results_only(spark):
+    with scale.staging(spark) as outer:
+        lost = scale.reread(spark.range(3))
+        with scale.staging(spark) as inner:
+            gone, kept = scale.reread(spark.range(4)), scale.store(spark.range(5))
+            joined = kept.df.join(scale.reread(spark.range(2)), "id")
+            inner.keep(joined)
+        assert joined.count() == 2 and lost.count() == 3
+        with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|FAILED_READ"):
+            gone.collect()
+        outer.keep(kept)
+    assert kept.df.count() == 5
+    for df in (lost, joined):
+        with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|FAILED_READ"):
+            df.collect()
+
+
+def test_staging_is_cleared_after_a_failure(spark):
+    with pytest.raises(ValueError), scale.staging(spark):
+        lost = scale.reread(spark.range(3))
+        raise ValueError
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|FAILED_READ"):
+        lost.collect()
+    assert scale._STAGED == []
+
+
+def test_a_local_warehouse_is_refused_on_a_cluster():
+    scale.refuse_local("hdfs")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scale.refuse_local("file")

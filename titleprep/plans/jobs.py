@@ -2,7 +2,7 @@
 
 Stages hand on Parquet; CSV is for the ends.  ``read_as`` and ``write_as`` name the
 form, ``multiline`` says whether fields of CSV files may hold line breaks.  What a
-stage returns is what it wrote, read back.
+stage returns is what it wrote, read back; its staging tables are deleted when it ends.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ def _read(
 
 
 def _write(
+    staged: scale.Staging,
     frames: Mapping[str, DataFrame],
     paths: Mapping[str, str],
     write_as: str = "parquet",
@@ -48,7 +49,9 @@ def _write(
         else:
             (frames[name].coalesce(1) if single_file else frames[name]).write.mode("overwrite").parquet(path)
     spark = next(iter(frames.values())).sparkSession
-    return _read(spark, paths, write_as, multiline)
+    written = _read(spark, paths, write_as, multiline)
+    staged.keep(*written.values())
+    return written
 
 
 def merge_files(
@@ -66,8 +69,9 @@ def merge_files(
     ``writing`` holds records ``{movie, writer}``, ``directing`` one document of
     columns ``{movie: {..}, director: {..}}``.
     """
-    merged = merge(spark, _read(spark, base, "csv", multiline), writing, directing)
-    return _write(merged, out, write_as, single_file, multiline)
+    with scale.staging(spark) as staged:
+        merged = merge(spark, _read(spark, base, "csv", multiline), writing, directing)
+        return _write(staged, merged, out, write_as, single_file, multiline)
 
 
 def merge(
@@ -114,10 +118,11 @@ def clean_files(
     single_file: bool = False,
     multiline: bool = True,
 ) -> dict[str, DataFrame]:
-    raw = _read(spark, paths, read_as, multiline)
-    model = cleaner.fit(raw["train"])
-    cleaned = {name: model.transform(df) for name, df in raw.items()}
-    return _write(cleaned, out, write_as, single_file, multiline)
+    with scale.staging(spark) as staged:
+        raw = _read(spark, paths, read_as, multiline)
+        model = cleaner.fit(raw["train"])
+        cleaned = {name: model.transform(df) for name, df in raw.items()}
+        return _write(staged, cleaned, out, write_as, single_file, multiline)
 
 
 def feature_files(
@@ -129,10 +134,11 @@ def feature_files(
     single_file: bool = False,
     multiline: bool = True,
 ) -> dict[str, DataFrame]:
-    cleaned = _read(spark, paths, read_as, multiline)
-    model = FeatureBuilder().fit(cleaned["train"])
-    features = {name: model.transform(df) for name, df in cleaned.items()}
-    return _write(features, out, write_as, single_file, multiline)
+    with scale.staging(spark) as staged:
+        cleaned = _read(spark, paths, read_as, multiline)
+        model = FeatureBuilder().fit(cleaned["train"])
+        features = {name: model.transform(df) for name, df in cleaned.items()}
+        return _write(staged, features, out, write_as, single_file, multiline)
 
 
 def score_files(
@@ -149,16 +155,18 @@ def score_files(
     Also returns the model and its reports: mean cross-validated score by setting,
     accuracy on the training rows, importances.
     """
-    features = _read(spark, paths, read_as, multiline)
-    model = classifier.fit(features["train"])
-    for name, path in out.items():
-        write_predictions(model.predictions(features[name]), path, classifier.key, single_file)
-    reports = {
-        "search": model.search_report(spark),
-        "accuracy": accuracy(model.transform(features["train"])),
-        "importances": model.importances(spark),
-    }
-    return model, reports
+    with scale.staging(spark) as staged:
+        features = _read(spark, paths, read_as, multiline)
+        model = classifier.fit(features["train"])
+        for name, path in out.items():
+            write_predictions(model.predictions(features[name]), path, classifier.key, single_file)
+        reports = {
+            "search": model.search_report(spark),
+            "accuracy": scale.reread(accuracy(model.transform(features["train"]))),
+            "importances": model.importances(spark),
+        }
+        staged.keep(model.held_out, reports["accuracy"])
+        return model, reports
 
 
 def enrich_files(
@@ -172,16 +180,19 @@ def enrich_files(
     multiline: bool = True,
 ) -> dict[str, DataFrame]:
     """Enriched splits as files; returns match counts and null shares per split."""
-    ratings = read_csv(spark, catalog, multiline=multiline)
-    matched = match_splits(_read(spark, paths, read_as, multiline), ratings)
-    matched = {name: scale.reread(df) for name, df in matched.items()}
-    finisher = Finisher().fit(matched["train"])
-    done = {n: finisher.transform(df.drop("match_stage")) for n, df in matched.items()}
-    _write(done, out, write_as, single_file, multiline)
-    return {
-        "matches": _by_split(matched, lambda df: match_counts(df)),
-        "nulls": _by_split(matched, lambda df: profile.null_shares(df, PAYLOAD)),
-    }
+    with scale.staging(spark) as staged:
+        ratings = read_csv(spark, catalog, multiline=multiline)
+        matched = match_splits(_read(spark, paths, read_as, multiline), ratings)
+        matched = {name: scale.reread(df) for name, df in matched.items()}
+        finisher = Finisher().fit(matched["train"])
+        done = {n: finisher.transform(df.drop("match_stage")) for n, df in matched.items()}
+        _write(staged, done, out, write_as, single_file, multiline)
+        reports = {
+            "matches": scale.reread(_by_split(matched, lambda df: match_counts(df))),
+            "nulls": scale.reread(_by_split(matched, lambda df: profile.null_shares(df, PAYLOAD))),
+        }
+        staged.keep(*reports.values())
+        return reports
 
 
 def chain(
@@ -210,10 +221,11 @@ def chain_files(
     multiline: bool = True,
 ) -> dict[str, DataFrame]:
     """From the source files to enriched files in one call."""
-    merged = merge(spark, _read(spark, base, "csv", multiline), writing, directing)
-    merged = {name: scale.reread(df) for name, df in merged.items()}
-    done = chain(merged, read_csv(spark, catalog, multiline=multiline))
-    return _write(done, out, write_as, single_file, multiline)
+    with scale.staging(spark) as staged:
+        merged = merge(spark, _read(spark, base, "csv", multiline), writing, directing)
+        merged = {name: scale.reread(df) for name, df in merged.items()}
+        done = chain(merged, read_csv(spark, catalog, multiline=multiline))
+        return _write(staged, done, out, write_as, single_file, multiline)
 
 
 def _by_split(frames: Mapping[str, DataFrame], make) -> DataFrame:

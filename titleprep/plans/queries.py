@@ -779,6 +779,31 @@ def multi_hot_long(spark, sf_dir):
     return encode.MultiHot("genre").fit(rows).long(rows, "rating_id")
 
 
+@query(
+    f"""with lists as (
+      select doc_id, {_sql_tags("regexp_replace(text, '[^A-Za-z0-9]+', ',', 'g')")} tags from documents),
+    rows as (select distinct doc_id, unnest(tags) tag from lists),
+    places as (select tag, row_number() over (order by tag) - 1 i from (select distinct tag from rows) t)
+    select l.doc_id, (select count(*) from places) size, count(p.i) n,
+      md5(coalesce(string_agg(cast(p.i as varchar), ',' order by p.i), '')) places
+    from lists l left join rows r on r.doc_id = l.doc_id left join places p on p.tag = r.tag
+    group by l.doc_id"""
+)
+def multi_hot_vectors(spark, sf_dir):
+    """Sparse vectors over all words of the documents, in the order of a distributed index."""
+    words = F.regexp_replace("text", "[^A-Za-z0-9]+", ",").alias("words")
+    rows = scale.reread(table(spark, sf_dir, "documents").select("doc_id", words))
+    vectors = encode.MultiHot("words").fit(rows).vectors(rows, "doc_id")
+    plain = "tags struct<size: int, indices: array<int>>"
+    tags = F.from_json(F.to_json(F.struct("tags")), plain)["tags"]
+    return vectors.select("doc_id", tags.alias("tags")).select(
+        "doc_id",
+        F.col("tags.size").cast("long").alias("size"),
+        F.size("tags.indices").cast("long").alias("n"),
+        F.md5(F.array_join(F.col("tags.indices").cast("array<string>"), ",")).alias("places"),
+    )
+
+
 @query(
     f"""with {TITLES_SQL}, {CLEAN_SQL}, {DIRECTORS_SQL.format(rows='clean')},
     {WRITERS_SQL.format(rows='clean')}

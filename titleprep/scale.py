@@ -9,11 +9,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import json
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,28 +34,83 @@ def shared_folder(spark: SparkSession) -> str:
     """A folder that all executors share.
 
     The one named in ``spark.checkpoint.dir``, else the context's checkpoint
-    folder, else the session's warehouse.
+    folder, else the session's warehouse.  A warehouse on local disks is refused on
+    a cluster, where every executor would write to a folder of its own.
     """
-    folder = (
-        spark.conf.get("spark.checkpoint.dir", None)
-        or spark.sparkContext.getCheckpointDir()
-        or spark.conf.get("spark.sql.warehouse.dir")
-    )
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            refuse_local(path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme())
     return folder.rstrip("/")
 
 
+def refuse_local(scheme: str) -> None:
+    if scheme == "file":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share; the warehouse is on local disks")
+
+
 def _own_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/titleprep/{spark.conf.get('spark.app.id')}"
 
 
+# the tables of jobs that run now, innermost last
+_STAGED: list[list[str]] = []
+
+
 def new_path(spark: SparkSession) -> str:
-    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+    if _STAGED:
+        _STAGED[-1].append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Staging:
+    """The tables stored in a ``staging`` block."""
+
+    def __init__(self, spark: SparkSession, paths: list[str]):
+        self._spark, self._paths = spark, paths
+
+    def keep(self, *results: DataFrame | Stored | None) -> None:
+        """Tables that these results read outlive the block; an enclosing block takes them over."""
+        used = set()
+        for result in results:
+            df = result.df if isinstance(result, Stored) else result
+            used |= {file.rsplit("/", 1)[0].rsplit("/", 1)[-1] for file in df.inputFiles()} if df is not None else set()
+        kept = [p for p in self._paths if p.rsplit("/", 1)[-1] in used]
+        for path in kept:
+            self._paths.remove(path)
+            for outer in _STAGED[-2:-1]:
+                outer.append(path)
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession) -> Iterator[Staging]:
+    """Delete what is stored inside at the end of the block, also when it fails, but for what is kept.
+
+    Frames made inside are of no use after it unless they are kept or written
+    elsewhere.  One thread opens blocks; tables that other threads store meanwhile
+    belong to the innermost one.
+    """
+    paths: list[str] = []
+    _STAGED.append(paths)
+    try:
+        yield Staging(spark, paths)
+    finally:
+        _STAGED.remove(paths)
+        for path in paths:
+            _delete(spark, path)
 
 
 def release(spark: SparkSession) -> None:
     """Delete everything that this application has stored; frames that read it are of no use after."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, _own_folder(spark))
 
 
 @dataclass(frozen=True)
