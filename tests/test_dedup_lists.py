@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from conftest import rows_of
+from titleprep import scale
 from titleprep.operators import dedup, lists
 
 
@@ -43,3 +44,25 @@ def test_add_lists(spark):
     assert rows_of(lists.add_lists(titles, a, b)) == sorted(
         [("t1", 1, "p,q", None), ("t2", 2, None, "d"), ("t2", 2, None, "d"), (None, 3, None, None)], key=repr
     )
+
+
+def test_list_of_a_hot_key_comes_from_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(scale, "HOT_ROWS", 100)
+    i = F.col("id")
+    pairs = spark.range(6_000).select(
+        F.when(i % 3 == 0, "hot").when(i % 3 == 1, None).otherwise((i % 500).cast("string")).alias("movie"),
+        F.when(i % 11 > 0, F.concat(F.lit("nm"), (i % 997).cast("string"))).alias("writer"),
+    )
+    seen, runs = [], lists._runs
+
+    def watched(entries, key):
+        found = runs(entries, key)
+        seen.append(found.where(F.col(key) == "hot").count())
+        return found
+
+    monkeypatch.setattr(lists, "_runs", watched)
+    hot = rows_of(lists.group_list(pairs, "movie", "writer", "writers"))
+    assert len(seen) == 1 and seen[0] > 1
+    monkeypatch.setattr(scale, "HOT_ROWS", 10**9)
+    assert rows_of(lists.group_list(pairs, "movie", "writer", "writers")) == hot
+    assert len(seen) == 1

@@ -94,3 +94,34 @@ def test_summary_shuffles_digests_only(spark):
     assert [r["column"] for r in approximate.collect()] == ["b", "a", "c"]
     assert approximate._jdf.queryExecution().optimizedPlan().toString().count("Expand") == 0
     assert profile.column_summary(df.limit(0), order_by=None).first()["null_pct"] is None
+
+
+def test_states_of_shards_give_the_report_of_all_rows(spark, tmp_path):
+    from titleprep.operators.profile_states import ProfileStates
+
+    columns = "tconst string, primaryTitle string, startYear string, runtimeMinutes string, numVotes double, x double"
+    rows = [
+        ("t1", "Été", "1870", r"\N", 5.0, 0.0), ("t2", None, r"\N", "700", -1.0, -0.0), ("t3", "a", "2026", "0", None, None),
+        ("t4", "a", "1999", "x", float("nan"), 1.5), ("t5", "b", None, "90", 7.0, 1.5),
+    ]
+    whole = spark.createDataFrame(rows, columns)
+    states = ProfileStates(f"{tmp_path}/states")
+    shards = {"a/b": rows[:2], "c": rows[2:3], "empty": [], "d=1": rows[3:]}
+    states.add("c", whole)
+    for name, some in shards.items():
+        states.add(name, spark.createDataFrame(some, columns))
+    assert rows_of(states.report(spark)) == rows_of(profile.report(whole))
+    assert rows_of(states.summary(spark)) == rows_of(profile.column_summary(whole))
+    assert rows_of(states.summary(spark, approximate=True)) == rows_of(profile.column_summary(whole))
+
+
+def test_a_new_shard_reads_only_that_shard(spark, tmp_path):
+    from titleprep.operators.profile_states import ProfileStates
+
+    columns = "primaryTitle string, startYear string, runtimeMinutes string, numVotes double"
+    states = ProfileStates(f"{tmp_path}/states")
+    states.add("1", spark.createDataFrame([("a", "1990", "1", 1.0)], columns))
+    states.add("2", spark.createDataFrame([("b", "1991", "1", 1.0)], columns))
+    assert {r["item"]: r["value"] for r in states.report(spark).collect()}["total_rows"] == 2
+    files = states.report(spark).inputFiles() + states.summary(spark).inputFiles()
+    assert all("/states/" in f for f in files)

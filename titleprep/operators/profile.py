@@ -99,13 +99,12 @@ def missing(df: DataFrame, column: str = "originalTitle") -> DataFrame:
     return df.agg(F.count_if(F.col(column).isNull()).alias(f"null_{column}"))
 
 
-def report(df: DataFrame) -> DataFrame:
-    """All single-number checks of a titles table from one pass: ``section, item, value``."""
-    sentinels = [c for c in SENTINEL_COLUMNS if c in df.columns]
+def checks(columns: Sequence[str]) -> list[tuple[str, str, Column]]:
+    """The single-number checks of a titles table with these columns: section, item, aggregate."""
     parts: list[tuple[str, str, Column]] = [("rows", "total_rows", F.count(F.lit(1)))]
-    parts += [("nulls", c, F.count_if(F.col(f"`{c}`").isNull())) for c in df.columns]
+    parts += [("nulls", c, F.count_if(F.col(f"`{c}`").isNull())) for c in columns]
     parts += [
-        ("sentinels", c, F.count_if(F.col(c).cast("string") == rules.SENTINEL)) for c in sentinels
+        ("sentinels", c, F.count_if(F.col(c).cast("string") == rules.SENTINEL)) for c in SENTINEL_COLUMNS if c in columns
     ]
     for section, column, aggregates, names in (
         ("year", "startYear", _year_aggregates, YEAR_NAMES),
@@ -114,6 +113,12 @@ def report(df: DataFrame) -> DataFrame:
     ):
         parts += [(section, n, a) for n, a in zip(names, aggregates(column))]
     parts.append(("titles", "non_ascii", F.count_if(text.is_non_ascii(F.col("primaryTitle")))))
+    return parts
+
+
+def report(df: DataFrame) -> DataFrame:
+    """All single-number checks of a titles table from one pass: ``section, item, value``."""
+    parts = checks(df.columns)
     names = [f"{section}.{item}" for section, item, _ in parts]
     one = df.agg(*[a.cast("double").alias(n) for n, (_, _, a) in zip(names, parts)])
     return _long(one, names, "check", "value").select(
@@ -123,7 +128,7 @@ def report(df: DataFrame) -> DataFrame:
     )
 
 
-def _digest(df: DataFrame, name: str, kind: str) -> Column:
+def digest(name: str, kind: str) -> Column:
     """Sixteen bytes such that equal values, and only they, give equal bytes."""
     col = F.col(f"`{name}`")
     # -0.0 and 0.0 are one value
@@ -157,7 +162,7 @@ def column_summary(
     if not approximate:
         digests = [
             F.when(
-                F.col(f"`{n}`").isNotNull(), F.struct(F.lit(n).alias("column"), _digest(df, n, kinds[n]).alias("_value"))
+                F.col(f"`{n}`").isNotNull(), F.struct(F.lit(n).alias("column"), digest(n, kinds[n]).alias("_value"))
             )
             for n in names
         ]

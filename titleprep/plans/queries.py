@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from titleprep import scale
 from titleprep.functions import rules, text
-from titleprep.operators import dedup, encode, impute, lists, match, model, profile
+from titleprep.operators import dedup, encode, impute, lists, match, model, profile, profile_states
 from titleprep.plans import jobs
 from titleprep.plans.cleaning import Cleaner, typed
 from titleprep.plans.enrichment import enrich_splits
@@ -361,6 +361,37 @@ def profile_report(spark, sf_dir):
     return profile.report(titles(spark, sf_dir).select(*TITLE_COLUMNS))
 
 
+def _titles_by_shard(spark: SparkSession, sf_dir: str) -> profile_states.ProfileStates:
+    """The states of the splits, one shard each; the first is stored twice."""
+    rows = scale.reread(titles(spark, sf_dir).select(*TITLE_COLUMNS, "split"))
+    states = profile_states.ProfileStates(scale.new_path(spark))
+    for split in (SPLITS[0], *SPLITS):
+        states.add(split, rows.where(F.col("split") == split).drop("split"))
+    return states
+
+
+@query(ORACLES["profile_report"])
+def profile_report_states(spark, sf_dir):
+    """The report from states of shards."""
+    return _titles_by_shard(spark, sf_dir).report(spark)
+
+
+@query(
+    _over_titles(
+        _union_all(
+            f"select '{c}' \"column\", count({c}) \"count\", count(*) - count({c}) nulls,"
+            f" round((count(*) - count({c})) * 100.0 / count(*), 6) null_pct,"
+            f' count(distinct {c}) "unique" from titles'
+            for c in TITLE_COLUMNS
+        )
+    )
+)
+def column_summary_states(spark, sf_dir):
+    """The column summary from states of shards."""
+    summary = _titles_by_shard(spark, sf_dir).summary(spark)
+    return summary.withColumn("null_pct", _round("null_pct"))
+
+
 # sources and sinks ---------------------------------------------------------
 
 _TITLES_AS_TEXT = [c for c in (*TITLE_COLUMNS, "split") if c not in ("numVotes", "label")]
