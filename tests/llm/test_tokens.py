@@ -19,6 +19,8 @@ ODD = [
     "e\u0301cole A\u030a İstanbul ΣΑΣ ﬁ",
     "a  b\n\n c\t\td \r\n e   ",
     "日本語 🎉🎉 <|endoftext|> <|startoftext|>",
+    "a <|EndOfText|> b",
+    "x<|startoftext|>y",
     "!!..,,;;--==>> <= a.b,c;d",
     "z" * 700 + "xyzzy" * 200,
 ]
@@ -46,6 +48,25 @@ def test_byte_bpe_equals_the_library(texts, as_docs):
     assert coder.round_trip(as_docs([])).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("count", "make"),
+    [
+        (60_000, lambda i: "".join(chr(0x4E00 + (i * 7 + j * j + i // 300) % 8_000) for j in range(30))),
+        (300, lambda i: f"{chr(97 + i % 26)}bcdefghij" * 49 + chr(97 + i // 26)),
+    ],
+)
+def test_byte_bpe_of_long_pieces_in_bounded_memory(count, make):
+    from titleprep.llm.byte_bpe import _Coder
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coder = _Coder(path, public_tokenizers.PATTERN)
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    pieces = list({make(i) for i in range(count)})
+    coder._learn(pieces)
+    for piece in pieces[:: max(1, len(pieces) // 3_000)]:
+        assert np.frombuffer(coder.known[piece], "<u4").tolist() == own.encode_ordinary(piece)
+
+
 def placed(rows):
     """Checks that sequences have no gaps; returns their number."""
     by_sequence = {}
@@ -63,7 +84,6 @@ def placed(rows):
 def test_packing(texts, as_docs):
     path = public_tokenizers.path("word_bpe_49k.json")
     whole = tokenizers.Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     expected, total = [], 0
     for id_, text in texts:
         ids = [*whole.encode(text or "", add_special_tokens=False).ids, 1]

@@ -31,8 +31,10 @@ from titleprep.llm.common import add_columns
 
 _LONG = 512
 _PIECES = 60_000  # pieces in one query
+_CONTRACTED = 2_500_000  # rows that the recursion of one query makes: half the square of a piece's bytes
 _IDS = 300_000  # ids in one query
 _REMEMBERED = 900_000
+_REMEMBERED_BYTES = 200 << 20
 _ROWS = 2_000  # texts at a time
 _PLACE = (1 << 20) - 1
 
@@ -66,6 +68,20 @@ from ids join vocabulary v using (id) group by d
 """
 
 
+def _batches(rows: list[tuple[str, bytes]]) -> Iterable[list[tuple[str, bytes]]]:
+    """Pieces for one query each, bounded by their number and by the rows that their recursion makes."""
+    part, made = [], 0
+    for row in rows:
+        cost = len(row[1]) ** 2 // 2
+        if part and (len(part) == _PIECES or made + cost > _CONTRACTED):
+            yield part
+            part, made = [], 0
+        part.append(row)
+        made += cost
+    if part:
+        yield part
+
+
 class _Coder:
     """Tables and known pieces of one Python worker."""
 
@@ -91,6 +107,7 @@ class _Coder:
         codes = pa.table({"id": pa.array(ranks.values(), pa.int32()), "code": [t.hex() for t in ranks]})
         self._load("vocabulary", codes)
         self.known: dict[str, bytes] = {}
+        self.held = 0
         # white space as the other library understands it
         space = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self.split = regex.compile(space).findall
@@ -119,8 +136,7 @@ class _Coder:
                 self.known[piece] = np.array(self._long(data), "<u4").tobytes()
             else:
                 rows.append((piece, data))
-        for at in range(0, len(rows), _PIECES):
-            part = rows[at : at + _PIECES]
+        for part in _batches(rows):
             sizes = np.array([len(data) for _, data in part])
             octets = np.frombuffer(b"".join(data for _, data in part), np.uint8)
             first = np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -133,6 +149,8 @@ class _Coder:
             for (piece, _), end in zip(part, ends.tolist()):
                 self.known[piece] = ids[begin:end]
                 begin = end
+        # what the dictionary, a piece and its ids take, roughly
+        self.held += sum(200 + 2 * len(piece) + len(self.known[piece]) for piece in pieces)
 
     def _long(self, data: bytes) -> list[int]:
         """The same contraction for one long piece, with the candidate merges in a heap."""
@@ -164,8 +182,9 @@ class _Coder:
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self.known) > _REMEMBERED:
+        if len(self.known) > _REMEMBERED or self.held > _REMEMBERED_BYTES:
             self.known.clear()
+            self.held = 0
         known, split = self.known, []
         for text in texts:
             try:

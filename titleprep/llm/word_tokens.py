@@ -5,7 +5,8 @@ spaces and line feeds and the pieces are looked up in a bounded memory.  In text
 of the first 256 code points, lower-casing and the tokenizer's own split into
 letters, digits and signs can be done before the lookup, which makes far fewer
 distinct words; their ids come from the tokenizer's model.  All other texts go
-through the whole tokenizer, piece by piece.
+through the whole tokenizer, piece by piece; texts with the string of an added token
+uncut.
 """
 
 from __future__ import annotations
@@ -52,7 +53,8 @@ class WordTokens:
         from tokenizers.pre_tokenizers import ByteLevel
 
         whole = Tokenizer.from_file(path)
-        whole.encode_special_tokens = True
+        # the strings of added tokens become their ids, as the library does by default
+        self._added = [t.content.lower() for t in whole.get_added_tokens_decoder().values()]
         model = whole.model
         byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
         letters = {i: byte_level.pre_tokenize_str(chr(i)) for i in range(256)}
@@ -67,9 +69,12 @@ class WordTokens:
 
         self._parts = _Remembered(part)
         self._simple = _Remembered(lambda piece: self._parts.all(_PARTS.findall(piece)))
-        self._other = _Remembered(other)
+        self._other, self._uncut = _Remembered(other), other
 
     def encode(self, text: str) -> bytes:
+        lower = text.lower()
+        if any(token in lower for token in self._added):
+            return self._uncut(text)
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
@@ -77,7 +82,7 @@ class WordTokens:
             return self._other.all(text.replace("\n", " ").split(" "))
         self._simple.bound(_REMEMBERED)
         self._parts.bound(_REMEMBERED // 2)
-        return self._simple.all(text.lower().replace("\n", " ").split(" "))
+        return self._simple.all(lower.replace("\n", " ").split(" "))
 
 
 @functools.lru_cache(maxsize=2)
