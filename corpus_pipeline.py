@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleprep.llm.line_dedup import LineDedup
-from titleprep.llm.near_duplicates import NearDuplicates
 from titleprep.llm.packing import BestFitPacking
 from titleprep.llm.pii import PersonalData
 from titleprep.llm.quality import CompressionBands
 from titleprep.llm.queries import tokenizer_path
+from titleprep.llm.simhash import SimHashDedup
 from titleprep.scale import reread
 
 
@@ -38,8 +38,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: 0.8 or more of their five-word shingles in common."""
-    return NearDuplicates(0.8, shingle=5).keep_one(docs)
+    """One document of each group whose fingerprints of three-word shingles are within 3 bits."""
+    return SimHashDedup(shingle=3, radius=3).keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),
-    ("near duplicates", near_duplicates),
+    ("SimHash near duplicates", near_duplicates),
     ("personal data", personal_data),
     ("packing", packing),
 ]
