@@ -2,7 +2,9 @@
 
 Everything is a native expression.  The texts between the matches of a pattern
 (``split``) and the matches themselves (``regexp_extract_all``) together give the
-places of the matches in code points.
+places of the matches in code points, by prefix sums.  What stands at a place is read
+from the text cut into blocks.  So the cost of a text grows with its length and its
+matches, not with their product.
 
 Kinds: email, ip, card (Luhn), phone, iban (mod 97) and ssn.  A span that passes
 its check gets a score: its kind's own and a bonus when one of the kind's context
@@ -12,6 +14,7 @@ whatever their score; those of the other kinds need ``least_score``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -96,50 +99,84 @@ def _valid(kind: str, text: Column) -> Column:
 
 
 _SPAN = "array<struct<start:int,kind_no:int,kind:string,end:int,text:string,score:double>>"
+_BLOCK = 1_024  # code points
+_STRIDES = [1 << i for i in range(31)]
 
 
-def _spans(kind_no: int, kind: str, found: Column, near: int) -> Column:
-    """Valid spans of one kind; ``found`` has the fields ``gaps`` and ``hits``."""
-    gaps, hits = found["gaps"], found["hits"]
-
-    def head(rest: Column, i: Column) -> Column:
-        # the first characters behind match i; those behind the next one are first in ``rest``
-        more = F.concat(F.get(hits, i + 1), F.get(rest, F.lit(0)))
-        text = F.concat(F.left(F.get(gaps, i + 1), F.lit(near)), F.coalesce(more, F.lit("")))
-        return F.array_prepend(rest, F.left(text, F.lit(near)))
-
-    last = F.size(hits) - 1
-    down = F.sequence(last, F.lit(0), F.lit(-1))
-    heads = F.aggregate(down, F.array().cast("array<string>"), head)
-
-    def step(state: Column, i: Column) -> Column:
-        heads = state["heads"]
-        gap, hit = F.get(gaps, i), F.get(hits, i)
-        start = state["at"] + F.length(gap)
-        end = start + F.length(hit)
-        # what stands around the span, whatever matched in between
-        before = F.lower(F.right(F.concat(state["tail"], gap), F.lit(near)))
-        after = F.lower(F.get(heads, i))
-        told = before.rlike(CONTEXT[kind]) | after.rlike(CONTEXT[kind])
-        score = F.lit(SCORES[kind]) + F.when(told, 0.4).otherwise(0.0)
-        span = F.struct(
-            start.alias("start"),
-            F.lit(kind_no).alias("kind_no"),
-            F.lit(kind).alias("kind"),
-            end.alias("end"),
-            hit.alias("text"),
-            F.least(score, F.lit(1.0)).alias("score"),
-        )
-        spans = F.when(_valid(kind, hit), F.array_append(state["spans"], span)).otherwise(state["spans"])
-        tail = F.right(F.concat(state["tail"], gap, hit), F.lit(near))
-        return F.struct(end.alias("at"), spans.alias("spans"), tail.alias("tail"), heads.alias("heads"))
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For each place what ``join`` makes of all values up to it, in log2(size) passes over the array."""
+
+    def widen(own: Column, stride: Column) -> Column:
+        return F.transform(own, lambda x, i: join(x, F.coalesce(F.get(own, i - stride), F.lit(0))))
+
+    strides = F.filter(F.array(*map(F.lit, _STRIDES)), lambda s: s < F.size(values))
+    return F.aggregate(strides, values, widen)
+
+
+def _blocks(text: Column) -> Column:
+    """``text`` in blocks, so that a place in it is found without a walk from its beginning."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))
+
+
+def _cut(blocks: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` to ``end`` (exclusive, may lie behind the text)."""
+    first, last = F.floor(start / _BLOCK).cast("int"), F.floor(end / _BLOCK).cast("int")
+
+    def block(i: Column) -> Column:
+        return F.coalesce(F.get(blocks, i), F.lit(""))
+
+    within = F.substring(block(first), start % _BLOCK + 1, end - start)
+    inner = F.when(last - first > 1, F.array_join(F.slice(blocks, first + 2, last - first - 1), ""))
+    across = F.concat(
+        F.substring(block(first), start % _BLOCK + 1, F.lit(_BLOCK)),
+        F.coalesce(inner, F.lit("")),
+        F.substring(block(last), F.lit(1), end % _BLOCK),
+    )
+    return F.when(end <= start, F.lit("")).when(first == last, within).otherwise(across)
 
+
+def _spans(kind_no: int, kind: str, found: Column, blocks: Column, near: int) -> Column:
+    """Valid spans of one kind; ``found`` has the fields ``gaps`` and ``hits``."""
     empty = F.array().cast(_SPAN)
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("spans"), F.lit("").alias("tail"), heads.alias("heads"))
-    count = F.size(hits)
-    return F.when(
-        count > 0, F.aggregate(F.sequence(F.lit(0), count - 1), zero, step, lambda s: s["spans"])
-    ).otherwise(empty)
+
+    def of(state: Column) -> Column:
+        hits, ends = state["hits"], state["ends"]
+
+        def span(hit: Column, i: Column) -> Column:
+            end = F.get(ends, i)
+            return F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("text"))
+
+        def scored(s: Column) -> Column:
+            # what stands around the span, whatever matched in between
+            before = F.lower(_cut(blocks, F.greatest(s["start"] - near, F.lit(0)), s["start"]))
+            after = F.lower(_cut(blocks, s["end"], s["end"] + near))
+            told = before.rlike(CONTEXT[kind]) | after.rlike(CONTEXT[kind])
+            score = F.lit(SCORES[kind]) + F.when(told, 0.4).otherwise(0.0)
+            return F.struct(
+                s["start"].alias("start"),
+                F.lit(kind_no).alias("kind_no"),
+                F.lit(kind).alias("kind"),
+                s["end"].alias("end"),
+                s["text"].alias("text"),
+                F.least(score, F.lit(1.0)).alias("score"),
+            )
+
+        valid = F.filter(F.transform(hits, span), lambda s: _valid(kind, s["text"]))
+        return F.transform(valid, scored)
+
+    def placed(state: Column) -> Column:
+        gaps, hits = state["gaps"], state["hits"]
+        lengths = F.transform(hits, lambda hit, i: F.length(hit) + F.length(F.get(gaps, i)))
+        ends = _bound(lengths, lambda own: _running(own, lambda a, b: a + b))
+        return F.struct(hits.alias("hits"), ends.alias("ends"))
+
+    spans = _bound(found, lambda state: _bound(placed(state), of))
+    return F.when(F.size(found["hits"]) > 0, spans).otherwise(empty)
 
 
 @dataclass(frozen=True)
@@ -160,6 +197,7 @@ class PersonalData:
         text = F.col(f"`{self.text_col}`")
         found = docs
         names = {kind: free_name(docs, f"_hits_{kind}") for kind in PATTERNS}
+        blocks = free_name(docs, "_blocks")
         for kind, pattern in PATTERNS.items():
             hint = F.lit(True) if HINTS[kind] is None else F.contains(text, F.lit(HINTS[kind]))
             hits = F.when(hint, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
@@ -171,8 +209,10 @@ class PersonalData:
                 F.when(F.size(hits) > 0, F.split(text, pattern, -1)).alias("gaps"), hits.alias("hits")
             )
             found = found.withColumn(names[kind], found_kind)
+        some = F.greatest(*[F.size(F.col(name)["hits"]) for name in names.values()]) > 0
+        found = found.withColumn(blocks, F.when(some, _blocks(text)))
         for kind_no, kind in enumerate(PATTERNS):
-            lists.append(_spans(kind_no, kind, F.col(names[kind]), self.near))
+            lists.append(_spans(kind_no, kind, F.col(names[kind]), F.col(blocks), self.near))
         spans = F.filter(
             F.flatten(F.array(*lists)),
             lambda s: (s["kind_no"] < len(BASE_KINDS)) | (s["score"] >= self.least_score),
@@ -180,7 +220,7 @@ class PersonalData:
         spans = F.transform(
             F.array_sort(spans), lambda s: F.struct(s["kind"], s["start"], s["end"], s["text"], s["score"])
         )
-        return found.withColumn("pii", spans).drop(*names.values())
+        return found.withColumn("pii", spans).drop(blocks, *names.values())
 
     def redact(self, docs: DataFrame) -> DataFrame:
         """``docs`` with every span replaced by its kind in angle brackets.
@@ -189,20 +229,23 @@ class PersonalData:
         """
         text = F.col(f"`{self.text_col}`")
 
-        def step(state: Column, span: Column) -> Column:
-            apart = span["start"] >= state["at"]
-            gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-            tag = F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">"))
-            out = F.when(apart, F.concat(state["out"], gap, tag)).otherwise(state["out"])
-            return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
-
-        zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-        clean = F.aggregate(
-            F.col("pii"),
-            zero,
-            step,
-            lambda s: F.concat(s["out"], F.substr(text, s["at"] + 1)),
-        )
+        def replaced(state: Column) -> Column:
+            spans, reach, blocks = state["spans"], state["reach"], state["blocks"]
+            count = F.size(spans)
+
+            def piece(span: Column, i: Column) -> Column:
+                # what stands between the spans before and this one, and the tag
+                before = F.coalesce(F.get(reach, i - 1), F.lit(0))
+                tag = F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">"))
+                return F.when(span["start"] >= before, F.concat(_cut(blocks, before, span["start"]), tag))
+
+            rest = _cut(blocks, F.get(reach, count - 1), F.size(blocks) * _BLOCK)
+            return F.concat(F.array_join(F.transform(spans, piece), ""), rest)
+
+        ends = F.transform("pii", lambda span: span["end"])
+        reach = _bound(ends, lambda own: _running(own, F.greatest))
+        state = F.struct(F.col("pii").alias("spans"), reach.alias("reach"), _blocks(text).alias("blocks"))
+        clean = _bound(state, replaced)
         marked = self(docs)
         redacted = marked.withColumn(
             self.text_col, F.when(F.size("pii") > 0, clean).otherwise(text)
