@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
+import zstandard
 
 SPACE = " \t\n\x0b\x0c\r"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -128,6 +129,49 @@ def pii(text):
     return [(kind, start, end) for start, _, kind, end in sorted(spans)]
 
 
+def _iban(text):
+    solid = text.replace(" ", "")
+    return 15 <= len(solid) <= 34 and int("".join(str(int(c, 36)) for c in solid[4:] + solid[:4])) % 97 == 1
+
+
+def all_pii(text, near=40):
+    """The base spans, ibans that pass their checksum, and ssns with a context word nearby, in order."""
+    text = text or ""
+    spans = [(a, list(BASE).index(k), k, b) for k, a, b in pii(text)]
+    for m in re.finditer(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", text):
+        if _iban(m[0]):
+            spans.append((m.start(), 4, "iban", m.end()))
+    for m in re.finditer(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", text):
+        around = (text[max(0, m.start() - near) : m.start()], text[m.end() : m.end() + near])
+        if any(re.search(r"\bssn\b|social\ssecurity", part.lower(), re.ASCII) for part in around):
+            spans.append((m.start(), 5, "ssn", m.end()))
+    return [(kind, start, end) for start, _, kind, end in sorted(spans)]
+
+
+def redacted(text):
+    out, at = [], 0
+    for kind, start, end in all_pii(text):
+        if start >= at:
+            out += [text[at:start], f"<{kind.upper()}>"]
+        at = max(at, end)
+    return None if text is None else "".join(out) + text[at:]
+
+
+def kept_by_bands(text, limits, chunk_limits, chunk=4_096, odd_share=0.5):
+    """Whether the base rules and the compressed sizes of the whole and of its whole chunks keep a text."""
+    data = (text or "").encode()
+    if quality(text)[-1]:
+        return False
+
+    def ratio(part):
+        return len(zstandard.ZstdCompressor(level=3).compress(part)) / len(part)
+
+    _, low, high = max(band for band in limits if band[0] <= len(data))
+    parts = [data[i : i + chunk] for i in range(0, len(data), chunk) if i + chunk <= len(data)]
+    odd = [p for p in parts if not chunk_limits[0] <= ratio(p) <= chunk_limits[1]]
+    return low <= ratio(data) <= high and len(odd) <= odd_share * len(parts)
+
+
 def passages(texts, span):
     """(bytes, removed, runs, kept bytes) for each text."""
     data = [(t or "").encode() for t in texts]
