@@ -1,0 +1,102 @@
+"""Lookups that keep rows without a match out of the shuffle."""
+
+import dataclasses
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows_of
+from titleprep import scale
+from titleprep.operators import match
+
+
+@pytest.fixture
+def rows(spark):
+    """20,000 rows: every tenth key is in the table, a third share one absent key, some have none."""
+    i = F.col("id")
+    key = F.when(i % 3 == 0, "absent").when(i % 7 == 0, None).otherwise(F.concat(F.lit("k"), i.cast("string")))
+    return scale.reread(spark.range(20_000).select("id", key.alias("key"), (i % 5).cast("int").alias("n")))
+
+
+@pytest.fixture
+def table(spark):
+    keys = spark.range(0, 20_000, 10).select(
+        F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 4).cast("int").alias("x"), F.col("id").alias("y")
+    )
+    stored = scale.store(keys)
+    return dataclasses.replace(stored, bytes=scale.BROADCAST_BYTES + 1)
+
+
+def test_filter_lets_every_key_through_and_few_others(rows, table):
+    found = scale.KeyFilter.of(table, ["key"])
+    assert found.size >= 16 * table.rows and found.bitmaps.count() * 4_096 * 8 == found.size
+    assert found.passes(table.df, ["key"], "in").where("not `in`").count() == 0
+    passed = found.passes(rows, ["key"], "in")
+    assert passed.where("key is null and `in`").count() == 0
+    others = passed.join(table.df, "key", "left_anti").where("key is not null and key <> 'absent'")
+    assert others.where("`in`").count() < 0.12 * others.count()
+
+
+@pytest.mark.parametrize("hot_rows", [100, 10**9])
+@pytest.mark.parametrize("copies", [False, True])
+def test_sparse_lookup_equals_the_plain_join(rows, table, hot_rows, copies, monkeypatch):
+    monkeypatch.setattr(scale, "HOT_ROWS", hot_rows)
+    plain = rows.join(table.df, "key", "left").select("id", "key", "n", "x", "y")
+    found = scale.lookup(rows, [table], ["key"], copies=copies, sparse=True)
+    assert found.columns == ["id", "key", "n", "x", "y"] and found.schema["x"].dataType == plain.schema["x"].dataType
+    assert rows_of(found) == rows_of(plain)
+
+
+def test_several_tables_and_several_keys(rows, table):
+    other = scale.store(rows.where("id % 100 = 1").select("key", "n", F.lit(7).alias("z")).dropna().distinct())
+    other = dataclasses.replace(other, bytes=scale.BROADCAST_BYTES + 1)
+    both = dataclasses.replace(table, df=table.df.withColumnRenamed("x", "n"))
+    plain = rows.join(both.df, ["key", "n"], "left").join(other.df, ["key", "n"], "left")
+    found = scale.lookup(rows, [both, other], ["key", "n"], sparse=True)
+    assert rows_of(found) == rows_of(plain.select(*found.columns))
+
+
+def test_unmatched_rows_skip_the_shuffle(rows, table, monkeypatch):
+    """The join reads the matches and few other rows; the rest comes from the scan."""
+    joined = []
+    plain = scale._shuffle_join
+
+    def counted(left, *more):
+        joined.append(left.count())
+        return plain(left, *more)
+
+    monkeypatch.setattr(scale, "_shuffle_join", counted)
+    out = scale.lookup(rows, [table], ["key"], even=True, sparse=True)
+    matched = out.where("y is not null").count()
+    assert out.count() == 20_000 and matched <= joined[0] < matched + 0.12 * 20_000
+    # two exchanges for the join, those of broadcasts apart
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Union" in plan
+
+
+def test_no_filter_beyond_a_broadcast_or_of_unknown_size(rows, table, monkeypatch):
+    assert scale.KeyFilter.of(scale.unmeasured(table.df), ["key"]) is None
+    monkeypatch.setattr(scale, "BROADCAST_BYTES", 1_000)
+    assert scale.KeyFilter.of(table, ["key"]) is None
+    plain = rows.join(table.df, "key", "left").select("id", "key", "n", "x", "y")
+    assert rows_of(scale.lookup(rows, [table], ["key"], sparse=True)) == rows_of(plain)
+
+
+def test_empty_tables(spark, rows, table):
+    nothing = dataclasses.replace(scale.store(table.df.where("false")), bytes=scale.BROADCAST_BYTES + 1)
+    found = scale.lookup(rows, [nothing], ["key"], sparse=True)
+    assert found.count() == 20_000 and found.where("y is not null").count() == 0
+    assert scale.lookup(rows.where("false"), [table], ["key"], sparse=True).count() == 0
+
+
+def test_exact_match_with_a_large_catalogue(spark):
+    keys = spark.range(3_000).select(
+        F.concat(F.lit("film "), "id").alias("normalized_title"), (F.col("id") % 9 + 1990).cast("int").alias("release_year")
+    )
+    catalog = scale.store(keys.withColumn("tomatoMeter", F.lit(1.0)))
+    titles = spark.range(9_000).select(
+        F.concat(F.lit("film "), "id").alias("normalized_title"), (F.col("id") % 9 + 1990).cast("int").alias("year")
+    )
+    found = match.match_exact(titles, dataclasses.replace(catalog, bytes=scale.BROADCAST_BYTES + 1))
+    assert found.count() == 9_000 and found.where("tomatoMeter = 1").count() == 3_000
+    assert rows_of(found) == rows_of(match.match_exact(titles, catalog))

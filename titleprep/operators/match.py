@@ -48,7 +48,7 @@ def prepare_catalog(catalog: DataFrame) -> DataFrame:
 def match_exact(titles: DataFrame, catalog: scale.Stored) -> DataFrame:
     """Scores and genre of the catalogue row with the same title and year, null without one."""
     keyed = replace(catalog, df=catalog.df.withColumnRenamed(YEAR, "year"))
-    return scale.lookup(titles, [keyed], [TITLE, "year"])
+    return scale.lookup(titles, [keyed], [TITLE, "year"], sparse=True)
 
 
 def _cut(value: Column, place: Column) -> Column:
@@ -179,7 +179,8 @@ class Enricher:
         search per table.
         """
         matches = matches or self.match(titles)
-        joined = scale.lookup(_keyed(titles), [matches], [TITLE, "year"])
+        # without the normalised title a second reading costs more than it spares
+        joined = scale.lookup(_keyed(titles), [matches], [TITLE, "year"], sparse=TITLE in titles.columns)
         return joined.withColumns(
             {
                 "match_stage": F.coalesce("match_stage", F.lit("none")),

@@ -4,7 +4,8 @@
             is computed once and survives the loss of an executor.
 ``lookup``  left join against tables that are unique by key: broadcast when the
             measured size allows it, otherwise a shuffle in which hot keys and
-            null keys are spread over many tasks.
+            null keys are spread over many tasks.  ``sparse`` lookups keep rows
+            without a match out of that shuffle by a filter of the table's keys.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ HOT_SHARE = 20_000
 HOT_ROWS = 100_000
 _TRACKED_KEYS = 60_000
 _SKETCH_GROUPS = 256
+_FILTER_BITS = 16  # for each key: one absent key in 16 passes the filter
+_BITMAP = 32_768  # bits of one bitmap
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -210,18 +213,66 @@ def hot_keys(rows: DataFrame, keys: Sequence[str]) -> list[tuple[int | None, flo
     return [(r["item"], r["count"] / r["n"]) for r in found]
 
 
+@dataclass(frozen=True)
+class KeyFilter:
+    """Bits at the hashes of a table's keys, as bitmaps of 4 KB; ``size`` bits in all.
+
+    A row that fails has no match; one that passes need not have one.
+    """
+
+    bitmaps: DataFrame
+    size: int
+
+    @classmethod
+    def of(cls, table: Stored, keys: Sequence[str]) -> KeyFilter | None:
+        """A filter sized from the rows that were counted; None where it is unknown or beyond a broadcast.
+
+        Places are shuffled before they become bits, so what moves grows with the
+        keys and not with the number of tasks.
+        """
+        bitmaps = -(-max(table.rows, 1) * _FILTER_BITS // _BITMAP)
+        if table.rows < 0 or bitmaps * _BITMAP // 8 > BROADCAST_BYTES:
+            return None
+        places = cls._placed(table.df, keys, bitmaps * _BITMAP).select("_bitmap", "_bit").dropna()
+        found = places.repartition("_bitmap").groupBy("_bitmap").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+        return cls(reread(found), bitmaps * _BITMAP)
+
+    @staticmethod
+    def _placed(rows: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+        place = F.pmod(_key_hash(keys), F.lit(size))
+        return rows.withColumns(
+            {"_bitmap": F.floor(place / _BITMAP).cast("long"), "_bit": F.pmod(place, F.lit(_BITMAP)).cast("long")}
+        )
+
+    def passes(self, rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+        """``rows`` with a boolean column ``name``; false for unknown keys."""
+        octet = F.substring("_bits", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))
+        octet = F.conv(F.hex(octet), 16, 10).cast("int")
+        is_set = F.coalesce(F.getbit(octet, F.col("_bit") % 8) == 1, F.lit(False))
+        return (
+            self._placed(rows, keys, self.size)
+            .join(F.broadcast(self.bitmaps), "_bitmap", "left")
+            .withColumn(name, is_set)
+            .drop("_bitmap", "_bit", "_bits")
+        )
+
+
 def lookup(
     rows: DataFrame,
     tables: Sequence[Stored],
     keys: Sequence[str],
     copies: bool = False,
     even: bool = False,
+    sparse: bool = False,
 ) -> DataFrame:
     """Left join ``rows`` with ``tables``, each unique by ``keys``; columns keep their order.
 
     ``copies`` says that ``rows`` may hold many fully identical rows, which a
     hash of the row could not spread; ``even`` that no key occurs in many rows,
-    which spares the search for hot keys.
+    which spares the search for hot keys.  ``sparse`` says that many rows have no
+    match: where tables are joined by shuffle and their keys fit a filter that can be
+    broadcast, those rows stay out of it.  ``rows`` are then read twice, so they should
+    be a table or little more than one.
     """
     keys = list(keys)
     columns = rows.columns + [c for t in tables for c in t.df.columns if c not in keys]
@@ -229,17 +280,31 @@ def lookup(
     large = [t for t in tables if not t.fits_broadcast]
     for table in small:
         rows = rows.join(F.broadcast(table.df), keys, "left")
-    if large:
-        hot = [] if even else hot_keys(rows, keys)
-        if hot:
-            rows = _spread_join(rows, large, keys, hot, copies)
-        else:
-            for table in large:
-                # too large, or of unknown size: no estimate shall turn this into a broadcast
-                rows = rows.join(table.df.hint("merge"), keys, "left")
+    filters = [KeyFilter.of(t, keys) for t in large] if sparse else []
+    if filters and all(filters):
+        names = [f"_passes_{i}" for i in range(len(filters))]
+        for key_filter, name in zip(filters, names):
+            rows = key_filter.passes(rows, keys, name)
+        some = functools.reduce(lambda a, b: a | b, map(F.col, names))
+        absent = {f.name: F.lit(None).cast(f.dataType) for t in large for f in t.df.schema.fields if f.name not in keys}
+        apart = rows.where(~some).drop(*names).withColumns(absent)
+        joined = _shuffle_join(rows.where(some).drop(*names), large, keys, copies, even)
+        rows = joined.unionByName(apart.select(*joined.columns))
+    elif large:
+        rows = _shuffle_join(rows, large, keys, copies, even)
     return rows.select(*[f"`{c}`" for c in columns])
 
 
+def _shuffle_join(rows, tables, keys, copies, even):
+    hot = [] if even else hot_keys(rows, keys)
+    if hot:
+        return _spread_join(rows, tables, keys, hot, copies).drop("_salt")
+    for table in tables:
+        # too large, or of unknown size: no estimate shall turn this into a broadcast
+        rows = rows.join(table.df.hint("merge"), keys, "left")
+    return rows
+
+
 def _spread_join(rows, tables, keys, hot, copies):
     """Rows of a hot key get one of several salts; its table row is repeated for each salt.
 
