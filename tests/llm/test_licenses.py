@@ -1,0 +1,114 @@
+"""Licenses: each text and header recognised as itself, and the small table against plain cosines."""
+
+import math
+import os
+from collections import Counter
+
+import pytest
+
+from titleprep.llm import queries
+from titleprep.llm.licenses import DECIDING, TEMPLATES, LicenseScan, _versions, _words
+
+COMMON = "/usr/share/common-licenses"
+PROGRAM = """/* This program is free software{a} you can redistribute it and/or modify
+ * it under the terms of the GNU {kind}General Public License as published by
+ * the Free Software Foundation{b} either version {n} of the License, or
+ * (at your option) any later version.
+ *
+ */
+int main;
+"""
+HEADERS = [
+    ("GPL-2.0", PROGRAM.format(a=";", b=";", kind="", n="2")),
+    ("GPL-3.0", PROGRAM.format(a=":", b=",", kind="", n="3")),
+    ("LGPL-2.1", PROGRAM.format(a=";", b=";", kind="Lesser ", n="2.1")),
+    ("LGPL-3.0", PROGRAM.format(a=":", b=",", kind="Lesser ", n="3")),
+    (None, PROGRAM.format(a=";", b=";", kind="", n="1")),
+    ("MIT", TEMPLATES["MIT"][3]),
+    ("MIT", "MIT License\n\nCopyright (c) 2020 A Person\n\n" + TEMPLATES["MIT"][4][12:]),
+    ("Apache-2.0", TEMPLATES["Apache-2.0"][2]),
+    ("BSD-3-Clause", "Copyright A Person\n\n" + TEMPLATES["BSD-3-Clause"][1] + "\n\n" + TEMPLATES["BSD-3-Clause"][2]),
+    ("BSD-2-Clause", "Copyright A Person\n\n" + TEMPLATES["BSD-2-Clause"][1]),
+    ("BSD-3-Clause", TEMPLATES["BSD-3-Clause"][3]),
+    ("MPL-2.0", TEMPLATES["MPL-2.0"][1]),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    (None, "A license is a text about what one may do. The license of this one is none."),
+    (None, "word " * 3_000),
+]
+
+
+def scanned(spark, files):
+    rows = LicenseScan()(spark.createDataFrame(files, "path string, text string")).collect()
+    return {r["path"]: r["license"] for r in rows}
+
+
+def test_headers_of_every_version(spark):
+    got = scanned(spark, [(f"d{i}/x", text) for i, (_, text) in enumerate(HEADERS)])
+    assert [got[f"d{i}/x"] for i in range(len(HEADERS))] == [name for name, _ in HEADERS]
+
+
+@pytest.mark.skipif(not os.path.isdir(COMMON), reason="no license texts on this machine")
+def test_whole_license_texts(spark):
+    known = {
+        "Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+        "MPL-2.0": "MPL-2.0", "BSD": "BSD-3-Clause",
+    }
+    files = [(f"{n}/LICENSE", open(f"{COMMON}/{n}").read()) for n in known if os.path.exists(f"{COMMON}/{n}")]
+    files += [(f"{path[:-8]}/src/a.c", "int x;") for path, _ in files]
+    got = scanned(spark, files)
+    for path, _ in files:
+        assert got[path] == known[path.split("/")[0]], path
+
+
+def plain(text, least=0.8):
+    """(license, similarity, whether it opens the text) from dense vectors of all lines, paragraphs and the text."""
+    rows = [(name, _words(t.lower().encode())) for name, own in sorted(TEMPLATES.items()) for t in own]
+    found = Counter(w for _, words in rows for w in set(words))
+
+    def weight(word):
+        return math.log(1 + len(rows) / found.get(word, 1))
+
+    def cosine(a, b):
+        a, b = ({w: n * weight(w) for w, n in Counter(x).items()} for x in (a, b))
+        length = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+        return sum(x * b.get(w, 0) for w, x in a.items()) / length
+
+    data = (text or "").lower().encode()
+    whole, paragraphs = [], [[]]
+    for line in data.split(b"\n"):
+        if line.strip():
+            paragraphs[-1].append(_words(line))
+        elif paragraphs[-1]:
+            paragraphs.append([])
+    parts = []
+    for lines in paragraphs:
+        parts += [(line, _versions(line)) for line in lines if line]
+        joined = [w for line in lines for w in line]
+        parts.append((joined, _versions(joined)))
+        whole += joined
+    parts.append((whole, set().union(*(_versions([w for line in lines for w in line]) for lines in paragraphs))))
+    best = (0.0, None)
+    for words, stated in parts:
+        if not words:
+            continue
+        all_ = [(round(cosine(words, own), 9), -i, name, own) for i, (name, own) in enumerate(rows)]
+        fit = [x for x in all_ if not (stated and _versions(x[3])) or stated & _versions(x[3])]
+        top = max(s for s, *_ in fit)
+        if top >= least and top > best[0]:
+            close = [x for x in fit if x[0] >= max(top - 0.1, least)]
+            told = set(words) & set(DECIDING)
+            chosen = max(close, key=lambda x: (-len(told ^ (set(x[3]) & set(DECIDING))), x[0], x[1]))
+            if chosen[0] > best[0]:
+                best = (chosen[0], chosen[2])
+    return best[1]
+
+
+def test_own_licenses_of_the_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    own = {r["doc_id"]: r["_own"] for r in LicenseScan().own(docs).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect() if len(r["text"] or "") < 20_000}
+    expected = {i: plain(t) for i, t in texts.items()}
+    assert {i: own[i] for i in texts} == expected and any(expected.values())
+    # what the query reports as a document's own is that
+    rows = queries.QUERIES["op3_license_scan"](spark, sf_dir).where("license_from = 'own'").collect()
+    assert {r["doc_id"]: r["license"] for r in rows} == {i: name for i, name in own.items() if name}

@@ -1,9 +1,10 @@
 """Licenses of files: similarity to templates, then inheritance along directories.
 
-A header is any line of a text or any paragraph (lines without a blank line between
-them).  It is compared with license templates by the cosine of sparse TF-IDF vectors
+A header is any line of a text, any paragraph (lines without a blank line between
+them) or the whole text, of any length.  It is compared with license templates by the cosine of sparse TF-IDF vectors
 of words; the weights of words come from the templates, and words that no template
-has weigh as much as the rarest of them.  A text takes the license of its most
+has weigh as much as the rarest of them.  Templates that are nearly as similar are told
+apart by the version that the header states and by words like "lesser".  A text takes the license of its most
 similar header.  A file whose name is that of a license file, or that has nothing but
 the license text (with ``opening``, also one that opens with it), is a license file of its
 directory.  A file without a license of its
@@ -26,37 +27,113 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField,
 from titleprep.llm.common import add_columns, texts
 from titleprep.scale import lookup, reread, store
 
-# short notices by which files state their license
+# Notices, standard headers, titles and short whole texts of licenses.
 TEMPLATES: Mapping[str, tuple[str, ...]] = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file '
         "except in compliance with the License.",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file '
+        "except in compliance with the License. You may obtain a copy of the License at "
+        "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
+        'writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT '
+        "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
+        "specific language governing permissions and limitations under the License.",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
     ),
     "MIT": (
         "Released under the MIT License.",
+        "The MIT License (MIT)",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
         "and associated documentation files, to deal in the Software without restriction.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
+        'and associated documentation files (the "Software"), to deal in the Software without '
+        "restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+        "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+        "Software is furnished to do so, subject to the following conditions:",
+        "MIT License Permission is hereby granted, free of charge, to any person obtaining a copy of "
+        'this software and associated documentation files (the "Software"), to deal in the Software '
+        "without restriction, including without limitation the rights to use, copy, modify, merge, "
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to "
+        "whom the Software is furnished to do so, subject to the following conditions: The above "
+        "copyright notice and this permission notice shall be included in all copies or substantial "
+        'portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, '
+        "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS "
+        "FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT "
+        "HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+        "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE.",
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of "
         "the GNU General Public License as published by the Free Software Foundation, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU General Public License as published by the Free Software Foundation, either version 3 "
+        "of the License, or (at your option) any later version.",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU General Public License as published by the Free Software Foundation; either version 2 "
+        "of the License, or (at your option) any later version.",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    ),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    ),
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation; either "
+        "version 2.1 of the License, or (at your option) any later version.",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
     ),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
-    "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission.",
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: 1. Redistributions of source code "
+        "must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. 3. Neither the name of the copyright holder nor the names of its "
+        "contributors may be used to endorse or promote products derived from this software without "
+        "specific prior written permission.",
+    ),
+    "BSD-2-Clause": (
+        "Released under the BSD 2-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: 1. Redistributions of source code "
+        "must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution.",
+    ),
+    "MPL-2.0": (
+        "This file is subject to the terms of the Mozilla Public License, version 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy "
+        "of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        "Mozilla Public License Version 2.0",
     ),
-    "MPL-2.0": ("This file is subject to the terms of the Mozilla Public License, version 2.0.",),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.",),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.",),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.",),
 }
+# words that tell licenses with nearly the same text apart
+DECIDING = (b"lesser", b"affero", b"nc", b"nd", b"sa")
+_CLOSE = 0.1  # templates this near to the most similar one are told apart by those words
 LICENSE_FILE = r"(?i)^(un)?licen[cs]e([._-].*)?$|^copying([._-].*)?$"
 _WORDS = re.compile(rb"[a-z0-9]+(?:\.[0-9]+)*")
+_NUMBER = re.compile(rb"[0-9]+(?:\.[0-9]+)*")
 _BLANK = re.compile(rb"\n[\x20\x09\x0b-\x0d]*\n")
 
 
@@ -64,18 +141,25 @@ def _words(data: bytes) -> list[bytes]:
     return _WORDS.findall(data)
 
 
+def _versions(words: list[bytes]) -> set[bytes]:
+    """The numbers that follow the word version."""
+    return {b for a, b in zip(words, words[1:]) if a in (b"version", b"v") and _NUMBER.fullmatch(b)}
+
+
 @dataclass(frozen=True)
 class _Vectors:
     """The templates as unit vectors, by word."""
 
     names: list[str]
-    lengths: list[int]
+    versions: list[set[bytes]]
+    deciding: list[set[bytes]]
+    least: float
     weight: dict[bytes, float]
     unseen: float
     by_word: dict[bytes, list[tuple[int, float]]]
 
     @classmethod
-    def of(cls, templates: Mapping[str, tuple[str, ...]]) -> _Vectors:
+    def of(cls, templates: Mapping[str, tuple[str, ...]], least: float) -> _Vectors:
         rows = [(name, _words(t.lower().encode())) for name, own in sorted(templates.items()) for t in own]
         found = Counter(word for _, words in rows for word in set(words))
         weight = {word: math.log(1 + len(rows) / n) for word, n in found.items()}
@@ -87,43 +171,75 @@ class _Vectors:
                 by_word.setdefault(word, []).append((number, n * weight[word] / norm))
         return cls(
             [name for name, _ in rows],
-            [len(words) for _, words in rows],
+            [_versions(words) for _, words in rows],
+            [{w for w in words if w in DECIDING} for _, words in rows],
+            least,
             weight,
             math.log(1 + len(rows)),
             by_word,
         )
 
-    def best(self, words: list[bytes]) -> tuple[float, str | None]:
-        """The greatest cosine and its license, the first by name of equals."""
-        counts = Counter(words)
+    def best(self, counts: Counter[bytes], stated: set[bytes]) -> tuple[float, str | None]:
+        """The cosine and license of the template that fits best.
+
+        A template of another version than all of the ``stated`` ones does not fit.
+        Among close ones deciding words that only one side has count first, then the
+        cosine, then the name.
+        """
         if not any(word in self.by_word for word in counts):
             return 0.0, None
         norm = math.sqrt(sum((n * self.weight.get(w, self.unseen)) ** 2 for w, n in counts.items()))
         scores = [0.0] * len(self.names)
-        for word, n in counts.items():
-            for number, value in self.by_word.get(word, ()):
-                scores[number] += n * self.weight[word] / norm * value
-        score, number = max((round(s, 9), -i) for i, s in enumerate(scores))
+        for word in counts.keys() & self.by_word.keys():
+            part = counts[word] * self.weight[word] / norm
+            for number, value in self.by_word[word]:
+                scores[number] += part * value
+        fitting = [
+            (round(s, 9), i)
+            for i, (s, own) in enumerate(zip(scores, self.versions))
+            if not (stated and own) or own & stated
+        ]
+        if not fitting:
+            return 0.0, None
+        top = max(s for s, _ in fitting)
+        if top < self.least:
+            return top, None
+        close = [(s, i) for s, i in fitting if s >= max(top - _CLOSE, self.least)]
+        told = {word for word in DECIDING if word in counts}
+        _, score, number = max((-len(told ^ self.deciding[i]), s, -i) for s, i in close)
         return score, self.names[-number]
 
 
-def _own_license(data: bytes, vectors: _Vectors, least: float) -> tuple[str | None, float, bool, bool]:
-    """License and similarity of the best header; whether it opens the text and is all of it."""
-    # nothing over twice as long as the longest template is a header
-    longest = 2 * max(vectors.lengths)
+def _own_license(data: bytes, vectors: _Vectors) -> tuple[str | None, float, bool, bool]:
+    """License and similarity of the best header; whether it opens the text and is all of it.
+
+    Every line, every paragraph and the text as a whole are compared, however long.
+    """
     best, opens, size, total = (0.0, None), False, 0, 0
-    for paragraph in _BLANK.split(data.lower()):
+    text, named = Counter(), set()
+
+    def look(counts: Counter[bytes], stated: set[bytes], first: bool) -> None:
+        nonlocal best, opens, size
+        found = vectors.best(counts, stated)
+        if found[0] > best[0]:
+            best, opens, size = found, first, counts.total()
+
+    paragraphs = _BLANK.split(data.lower())
+    for paragraph in paragraphs:
         lines = [words for line in paragraph.split(b"\n") if (words := _words(line))]
-        whole = sum(map(len, lines))
-        parts = lines
-        if len(lines) > 1 and whole <= longest:
-            parts = [*lines, [w for words in lines for w in words]]
-        for number, words in enumerate(parts):
-            if len(words) <= longest and (found := vectors.best(words))[0] > best[0]:
-                best, size = found, len(words)
-                opens = total == 0 and number in (0, len(lines))
-        total += whole
-    if best[0] < least:
+        for number, words in enumerate(lines):
+            look(Counter(words), _versions(words), total == 0 and number == 0)
+        words = [w for line in lines for w in line]
+        counts, stated = Counter(words), _versions(words)
+        if len(lines) > 1:
+            look(counts, stated, total == 0)
+        if len(paragraphs) > 1:
+            text.update(counts)
+            named |= stated
+        total += len(words)
+    if text:
+        look(text, named, True)
+    if best[1] is None:
         return None, best[0], False, False
     return best[1], best[0], opens, size == total
 
@@ -150,8 +266,8 @@ class LicenseScan:
         """Adds ``_own``, ``_similarity``, ``_opens`` and ``_only`` (where the license stands)."""
 
         def run(batch):
-            vectors = _Vectors.of(self.templates)
-            found = [_own_license(t, vectors, self.least) for t in texts(batch, self.text_col)]
+            vectors = _Vectors.of(self.templates, self.least)
+            found = [_own_license(t, vectors) for t in texts(batch, self.text_col)]
             names, scores, opens, only = zip(*found) if found else ((), (), (), ())
             return {
                 "_own": pa.array(names, pa.string()),
