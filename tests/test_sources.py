@@ -131,3 +131,23 @@ def test_bad_lines_are_errors(spark, tmp_path):
     for df in (rows, records):
         with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE|Malformed"):
             df.collect()
+
+
+def test_one_part_keeps_the_order_and_sorts_nothing(spark, tmp_path):
+    rows = spark.range(5_000).select(F.xxhash64("id").alias("h"), "id").repartition(7, "id").orderBy("h")
+    one = writers.in_one_part(rows)
+    assert one.rdd.getNumPartitions() == 1
+    assert [r["h"] for r in one.collect()] == [r["h"] for r in rows.collect()]
+    assert "Sort" not in one._jdf.queryExecution().executedPlan().toString()
+    none = rows.where("h is null")
+    assert writers.in_one_part(none).count() == 0
+
+
+def test_lines_are_numbered_without_a_common_window(spark, tmp_path):
+    from titleprep.plans import queries
+
+    path = str(tmp_path / "lines")
+    spark.range(1_000, numPartitions=6).select(F.format_string("%04d", "id").alias("t")).write.text(path)
+    lines = queries._lines(spark, path)
+    assert sorted((r["line"], r["label"]) for r in lines.collect()) == [(i + 1, f"{i:04d}") for i in range(1_000)]
+    assert "Window" not in lines._jdf.queryExecution().executedPlan().toString()

@@ -21,7 +21,7 @@ from titleprep.plans.cleaning import Cleaner
 from titleprep.plans.enrichment import Finisher, enrich_splits, match_splits
 from titleprep.plans.features import FeatureBuilder
 from titleprep.sources.readers import read_columnar_json, read_csv, read_records
-from titleprep.sources.writers import write_csv, write_predictions
+from titleprep.sources.writers import in_one_part, write_csv, write_predictions
 
 SPLITS = ("train", "validation", "test")
 
@@ -47,7 +47,7 @@ def _write(
         if write_as == "csv":
             write_csv(frames[name], path, single_file=single_file)
         else:
-            (frames[name].coalesce(1) if single_file else frames[name]).write.mode("overwrite").parquet(path)
+            (in_one_part(frames[name]) if single_file else frames[name]).write.mode("overwrite").parquet(path)
     spark = next(iter(frames.values())).sparkSession
     written = _read(spark, paths, write_as, multiline)
     staged.keep(*written.values())
