@@ -52,3 +52,12 @@ def test_model_queries_run(spark, sf_dir, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert "writer_success_rate" in df.columns and df.count() == 1_500
+
+
+def test_one_document_is_written_from_sorted_parts(spark, sf_dir, monkeypatch):
+    from titleprep.plans import queries
+
+    sorted_before, in_one_part = [], queries.writers.in_one_part
+    monkeypatch.setattr(queries.writers, "in_one_part", lambda df: sorted_before.append(df.columns) or in_one_part(df))
+    assert QUERIES["columnar_json_document"](spark, sf_dir).count() == 1_500
+    assert sorted_before == [["line"]]
