@@ -184,3 +184,31 @@ def test_url_scores_follow_the_definition(spark):
         padded = "\x02\x02" + text + "\x03"
         got = sum(ratios[padded[i : i + 3]] for i in range(len(text) + 1)) / (len(text) + 1)
         assert abs(got - log_ratios(2, yes, no, text)) < 1.5
+
+
+def test_postings_are_added_in_parts():
+    import numpy as np
+
+    from titleprep.llm import search
+
+    sizes = np.array([3, 4, 9, 1, 1, 20, 2])
+    parts = list(search._parts(sizes, 8))
+    assert [(p.start, p.stop) for p in parts] == [(0, 2), (2, 3), (3, 5), (5, 6), (6, 7)]
+    assert list(search._parts(np.zeros(0, int), 8)) == []
+
+
+def test_results_do_not_depend_on_the_size_of_parts(monkeypatch):
+    import numpy as np
+
+    from titleprep.llm import search
+
+    rng = np.random.default_rng(3)
+    docs = []
+    for _ in range(700):
+        words = np.unique(rng.zipf(1.3, 40).astype(np.uint64) % 4_000)
+        docs.append((words, rng.integers(1, 4, len(words)).astype(np.int32), len(words)))
+    asked = [(docs[i][0], np.ones(len(docs[i][0]))) for i in range(0, 700, 50)]
+    index = search.Shard(list(docs), 30.0, 1.2, 0.75)
+    whole = [(n, d.tolist(), s.tolist()) for n, d, s in index.search(asked, 5)]
+    monkeypatch.setattr(search, "_POSTINGS", 7)
+    assert [(n, d.tolist(), s.tolist()) for n, d, s in index.search(asked, 5)] == whole
