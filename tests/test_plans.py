@@ -129,3 +129,12 @@ def test_titles_are_shuffled_once_for_all_lists(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert text_.count("SortMergeJoin") == 2 and text_.count("Exchange hashpartitioning") == 3
+
+
+def test_few_page_titles_come_to_the_orders(spark, sf_dir):
+    from titleprep.plans import views
+
+    rows = views.titles(spark, sf_dir)
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1
+    assert rows.count() == 1_500
