@@ -37,3 +37,11 @@ def test_repetitive_strings_have_few_runs():
     one, many = RunIndex([text]), RunIndex([text + bytes([65 + i]) for i in range(50)])
     # an end of a string is a run of its own
     assert many.runs < 2 * one.runs + 60 * 8
+
+
+def test_batches_of_groups_stay_below_their_size():
+    from titleprep.llm.passages import _batches
+
+    groups = [[(i, 0, b"x" * size)] for i, size in enumerate((5, 4, 30, 2, 2, 9))]
+    sizes = [[len(row[-1]) for group in batch for row in group] for batch in _batches(iter(groups), 10)]
+    assert sizes == [[5, 4], [30], [2, 2], [9]]

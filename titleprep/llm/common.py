@@ -21,10 +21,15 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of at most ``rows``, so that little is held in Python at a time."""
+    """The batches in parts of at most ``rows``, so that little is held in Python at a time.
+
+    What earlier batches took goes back to the system, not to the next task of the worker only.
+    """
+    pool = pa.default_memory_pool()
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        pool.release_unused()
 
 
 def word_lists(data: bytes, size: int = _PIECE) -> Iterator[list[bytes]]:

@@ -166,6 +166,35 @@ def _runs(hit: np.ndarray) -> tuple[list[int], list[int]]:
     return np.flatnonzero(edge == 1).tolist(), (np.flatnonzero(edge == -1) - 1).tolist()
 
 
+def _grouped(batches) -> Iterator[list[tuple]]:
+    """The different regions of each anchor, whose rows come one after the other."""
+    group, last = {}, None
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if group and row[0] != last:
+                yield list(group.values())
+                group = {}
+            last = row[0]
+            # a text that is read in several batches brings its regions again
+            group.setdefault(row[1], row)
+    if group:
+        yield list(group.values())
+
+
+def _batches(groups: Iterator[list[tuple]], most: int) -> Iterator[list[list[tuple]]]:
+    """Groups whose regions have at most ``most`` bytes together, or a single larger group."""
+    held, size = [], 0
+    for group in groups:
+        own = sum(len(row[-1]) for row in group)
+        if held and size + own > most:
+            yield held
+            held, size = [], 0
+        held.append(group)
+        size += own
+    if held:
+        yield held
+
+
 _ANCHORS = "_text binary, h long, d long, first int, strings int, place int, copies int"
 _MARKS = "h long, d long, starts array<int>, stops array<int>"
 
@@ -215,7 +244,7 @@ class RepeatedPassages:
         return columns.mapInArrow(run, schema.add("data", "binary"))
 
     def _anchors(self, docs: DataFrame) -> DataFrame:
-        """Regions whose anchor may occur twice."""
+        """Regions whose anchor may occur twice, written."""
         column = docs.select(F.col(self.text_col).alias("text"))
         span, word = self.span, self.word
 
@@ -259,7 +288,10 @@ class RepeatedPassages:
                         names=["_text", "h", "d", "first", "strings", "place", "copies"],
                     )
 
-        return column.mapInArrow(run, _ANCHORS)
+        anchors = reread(column.mapInArrow(run, _ANCHORS))
+        # the table is written: workers need not hold the filter during the steps that follow
+        shared.destroy()
+        return anchors
 
     def _fetched(self, docs: DataFrame, wanted: DataFrame) -> DataFrame:
         """``(h, d, copies, strings, place, region)`` for ``wanted``, read from the texts."""
@@ -314,24 +346,8 @@ class RepeatedPassages:
             )
 
         def run(batches):
-            groups, group, held = [], {}, 0
-            last = None
-            for batch in batches:
-                for row in zip(*(c.to_pylist() for c in batch.columns)):
-                    if row[0] != last:
-                        if group:
-                            groups.append(list(group.values()))
-                        group, last = {}, row[0]
-                        if held >= _BATCH_BYTES:
-                            yield batch_of(marks(groups))
-                            groups, held = [], 0
-                    # a text that is read in several batches brings its regions again
-                    if row[1] not in group:
-                        group[row[1]] = row
-                        held += len(row[-1])
-            if group:
-                groups.append(list(group.values()))
-            yield batch_of(marks(groups))
+            for groups in _batches(_grouped(batches), _BATCH_BYTES):
+                yield batch_of(marks(groups))
 
         return fetched.repartition("h").sortWithinPartitions("h").mapInArrow(run, _MARKS)
 
@@ -375,7 +391,7 @@ class RepeatedPassages:
 
     def marks(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Regions that may be repeated, and ``(h, d, starts, stops)``: the strings that are."""
-        anchors = reread(self._anchors(docs))
+        anchors = self._anchors(docs)
         row = F.struct("_text", "first", "strings", "place")
         grouped = reread(
             anchors.groupBy("h", "d").agg(F.sum("copies").alias("copies"), F.min(row).alias("_row"))
