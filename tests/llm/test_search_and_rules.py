@@ -197,6 +197,35 @@ def test_postings_are_added_in_parts():
     assert list(search._parts(np.zeros(0, int), 8)) == []
 
 
+def test_a_word_of_a_query_takes_twelve_bytes(as_docs):
+    import numpy as np
+
+    from titleprep.llm import search
+
+    places, counts = np.array([1, 1 << 63, (1 << 64) - 1], np.uint64), np.array([1, 2, 70_000])
+    for documents, width in ((100_000, 12), (1 << 32, 16)):
+        data = search._packed(places, counts, documents)
+        back = search._unpacked(data, documents)
+        assert len(data) == 3 * width and [b.tolist() for b in back] == [places.tolist(), counts.tolist()]
+    docs, top = as_docs([(1, "a b c"), (2, "a b d")]), TopK()
+    asked = top._bags(as_docs([(3, "a c c"), (4, "d e f")]), None)
+    rows = top._counted(top._statistics(docs), asked, 2).collect()
+    found = sorted(search._unpacked(r["_words"], 2)[1].tolist() for r in rows)
+    assert sorted(map(sorted, found)) == [[1], [1, 2]]
+
+
+def test_batches_are_small_only_inside(spark):
+    from titleprep.llm import search
+
+    before = spark.conf.get(search._ROWS_CONF)
+    with search._small_batches(spark):
+        rows = spark.range(2_000, numPartitions=1).mapInArrow(
+            lambda batches: (b.slice(0, 1) for b in batches if b.num_rows <= search._ROWS), "id long"
+        )
+        assert rows.count() == 2_000 // search._ROWS
+    assert spark.conf.get(search._ROWS_CONF) == before
+
+
 def test_results_do_not_depend_on_the_size_of_parts(monkeypatch):
     import numpy as np
 
