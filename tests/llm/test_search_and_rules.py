@@ -3,9 +3,11 @@ import math
 from llm import brute
 import pytest
 
+from titleprep.llm import search
 from titleprep.llm.licenses import LicenseScan
 from titleprep.llm.search import TopK
 from titleprep.llm.url_filter import UrlFilter
+from titleprep.scale import reread
 
 
 @pytest.mark.parametrize("shard_docs", [4, 32_768])
@@ -32,6 +34,36 @@ def test_top_k_prunes_nothing_that_counts(as_docs, prose):
     assert got == {(q, n + 1): i for q, best in expected.items() for n, (i, _) in enumerate(best)}
 
 
+def test_top_k_texts_without_an_id_take_no_place(as_docs, prose):
+    docs = [(None if i % 3 else i, prose(i, 40)) for i in range(60)]
+    queries = [(1, prose(7, 40)), (2, prose(8, 40))]
+    rows = TopK(k=5)(as_docs(docs), as_docs(queries)).collect()
+    every = brute.bm25([(i, t) for i, (_, t) in enumerate(docs)], queries, k=60)
+    for query, best in every.items():
+        got = sorted((r["rank"], r["doc_id"]) for r in rows if r["query_id"] == query)
+        assert [i for _, i in got] == [i for i, _ in best if i % 3 == 0][:5]
+
+
+def test_top_k_results_and_moved_queries_do_not_grow_with_the_shards(as_docs, prose, spark, monkeypatch):
+    docs = [(i, prose(i % 97, 30 + i % 50)) for i in range(800)]
+    queries = docs[::40]
+    written = []
+
+    def kept(df):
+        written.append(reread(df))
+        return written[-1]
+
+    monkeypatch.setattr(search, "reread", kept)
+    rows = TopK(shard_docs=10)(as_docs(docs), as_docs(queries)).collect()
+    tasks = spark.sparkContext.defaultParallelism
+    assert tasks < 80  # shards
+    # what the tasks give is written last; a text may have copies
+    assert len(queries) * 10 <= len(rows) and written[-1].count() <= tasks * len(queries) * 10
+    expected = brute.bm25(docs, queries)
+    got = {(r["query_id"], r["rank"]): r["doc_id"] for r in rows}
+    assert got == {(q, n + 1): i for q, best in expected.items() for n, (i, _) in enumerate(best)}
+
+
 def test_top_k_of_nothing(as_docs):
     assert TopK()(as_docs([]), as_docs([(1, "a")])).count() == 0
     assert TopK()(as_docs([(1, "a")]), as_docs([])).count() == 0
