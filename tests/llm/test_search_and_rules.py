@@ -273,3 +273,68 @@ def test_results_do_not_depend_on_the_size_of_parts(monkeypatch):
     whole = [(n, d.tolist(), s.tolist()) for n, d, s in index.search(asked, 5)]
     monkeypatch.setattr(search, "_POSTINGS", 7)
     assert [(n, d.tolist(), s.tolist()) for n, d, s in index.search(asked, 5)] == whole
+
+
+def _languages(rng, most, least):
+    """Documents of a common language, then of a rare one that shares no word with it."""
+    import numpy as np
+
+    docs = []
+    for first, count in ((0, most), (1_000_000, least)):
+        for _ in range(count):
+            words = np.unique(rng.zipf(1.3, 40).astype(np.uint64) % 4_000) + np.uint64(first)
+            docs.append((words, rng.integers(1, 4, len(words)).astype(np.int32), len(words)))
+    return docs
+
+
+def test_blocks_that_cannot_reach_the_best_are_not_multiplied():
+    import numpy as np
+
+    from titleprep.llm import search
+
+    docs = _languages(np.random.default_rng(5), 3_000, 100)
+    asked = [(docs[i][0], np.ones(len(docs[i][0]))) for i in range(3_000, 3_100, 9)]
+    index = search.Shard(list(docs), 30.0, 1.2, 0.75)
+    # words of the rare language are in a matrix where its documents are, though few of the shard have them
+    common = np.searchsorted(index.terms, np.uint64(1_000_001))
+    assert index.terms[common] == 1_000_001 and index.dense_number[common] >= 0
+    whole = {n: dict(zip(d.tolist(), s.tolist())) for n, d, s in index.search(asked, 5)}
+    for number, (terms, weights) in enumerate(asked):
+        scores = []
+        for at, (words, often, length) in enumerate(docs):
+            n = often[np.isin(words, terms)].astype(float)
+            scores.append((math.fsum(n * 2.2 / (n + 1.2 * (0.25 + 0.75 * length / 30.0))), at))
+        best = sorted(scores, reverse=True)[:5]
+        assert [whole[number][at] for _, at in best] == pytest.approx([score for score, _ in best])
+    # blocks of the common language are closed: what stands in their matrices is not looked at
+    floor = np.array([sorted(whole[number].values())[-5] for number in range(len(asked))])
+    block = 0
+    for _, matrix, most in index.groups:
+        for own in range(len(most)):
+            rows = index.order[block * search._BLOCK : (block + 1) * search._BLOCK]
+            if (rows < 3_000).all():
+                matrix[own * search._BLOCK : (own + 1) * search._BLOCK] = np.nan
+            block += 1
+    assert np.isnan([matrix[0, 0] for _, matrix, _ in index.groups]).any()
+    assert {n: dict(zip(d.tolist(), s.tolist())) for n, d, s in index.search(asked, 5, floor)} == whole
+
+
+def test_results_do_not_depend_on_what_is_dense(monkeypatch):
+    import numpy as np
+
+    from titleprep.llm import search
+
+    docs = _languages(np.random.default_rng(6), 1_500, 300)
+    asked = [(docs[i][0], np.arange(1, len(docs[i][0]) + 1) / 8) for i in range(0, 1_800, 90)]
+
+    def found():
+        index = search.Shard(list(docs), 30.0, 1.2, 0.75)
+        rows = [(n, sorted(zip(s.tolist(), d.tolist()))[-5:]) for n, d, s in index.search(asked, 5)]
+        return rows, max(matrix.size for _, matrix, _ in index.groups)
+
+    whole, cells = found()
+    assert cells > 8 * search._GROUP
+    monkeypatch.setattr(search, "_CELLS", 8 * search._GROUP)
+    assert found() == (whole, 8 * search._GROUP)
+    monkeypatch.setattr(search, "_CELLS", 0)
+    assert found() == (whole, 0)
