@@ -306,16 +306,12 @@ def test_blocks_that_cannot_reach_the_best_are_not_multiplied():
             scores.append((math.fsum(n * 2.2 / (n + 1.2 * (0.25 + 0.75 * length / 30.0))), at))
         best = sorted(scores, reverse=True)[:5]
         assert [whole[number][at] for _, at in best] == pytest.approx([score for score, _ in best])
-    # blocks of the common language are closed: what stands in their matrices is not looked at
+    # groups of the common language are closed: what stands in their matrices is not looked at
     floor = np.array([sorted(whole[number].values())[-5] for number in range(len(asked))])
-    block = 0
-    for _, matrix, most in index.groups:
-        for own in range(len(most)):
-            rows = index.order[block * search._BLOCK : (block + 1) * search._BLOCK]
-            if (rows < 3_000).all():
-                matrix[own * search._BLOCK : (own + 1) * search._BLOCK] = np.nan
-            block += 1
-    assert np.isnan([matrix[0, 0] for _, matrix, _ in index.groups]).any()
+    for start, (_, matrix) in zip(range(0, 3_100, search._GROUP), index.groups):
+        if (index.order[start : start + search._GROUP] < 3_000).all():
+            matrix[:] = np.nan
+    assert np.isnan([matrix[0, 0] for _, matrix in index.groups]).any()
     assert {n: dict(zip(d.tolist(), s.tolist())) for n, d, s in index.search(asked, 5, floor)} == whole
 
 
@@ -330,7 +326,7 @@ def test_results_do_not_depend_on_what_is_dense(monkeypatch):
     def found():
         index = search.Shard(list(docs), 30.0, 1.2, 0.75)
         rows = [(n, sorted(zip(s.tolist(), d.tolist()))[-5:]) for n, d, s in index.search(asked, 5)]
-        return rows, max(matrix.size for _, matrix, _ in index.groups)
+        return rows, max(matrix.size for _, matrix in index.groups)
 
     whole, cells = found()
     assert cells > 8 * search._GROUP
